@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from sessionloom.config import SCORE_DECIMALS
 from sessionloom.functions import vectors as V
 from sessionloom.operators.knn import QUERY_KEYS, unit_rows
+from sessionloom.operators.skew import salted_join
 
 SEEDS = ("least_similar", "most_similar")
 
@@ -42,7 +43,7 @@ def mmr(
     if seed not in SEEDS:
         raise ValueError(f"unknown MMR seed {seed!r}")
     rest = [c for c in candidates.columns if c not in QUERY_KEYS]
-    with_vectors = candidates.join(items.select("id", "embedding"), "id")
+    with_vectors = salted_join(candidates, items.select("id", "embedding"), "id", QUERY_KEYS)
     if metric == "cosine_sim":
         similarity = F.col("score")
     else:
