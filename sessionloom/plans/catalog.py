@@ -30,6 +30,10 @@ def rounded(name: str):
     return F.round(name, 6).alias(name)
 
 
+def _component(vector: str, i: int, name: str):
+    return F.round(F.col(vector)[i].cast("double"), 6).alias(name)
+
+
 def shown(candidates: DataFrame, *more: str) -> DataFrame:
     return candidates.select("session_id", "q_idx", "rank", "id", rounded("score"), *more)
 
@@ -138,7 +142,7 @@ def fetch(spark, sf_dir):
     """The item most often signalled."""
     counts = w.signals_log(spark, sf_dir).groupBy("item_id").count()
     top = counts.orderBy(F.desc("count"), "item_id").first()["item_id"]
-    return items.fetch(w.items(spark, sf_dir), top).select("id", "label", F.round(F.col("embedding")[0], 6).alias("e0"))
+    return items.fetch(w.items(spark, sf_dir), top).select("id", "label", _component("embedding", 0, "e0"))
 
 
 @query
@@ -263,7 +267,7 @@ def multi_search_dot(spark, sf_dir):
 def signal_item_join(spark, sf_dir):
     joined = signals.signal_item_join(w.signals_log(spark, sf_dir), w.items(spark, sf_dir))
     return joined.select(
-        "session_id", "seq", "label", "weight", "item_id", "history_value", F.round(F.col("embedding")[0], 6).alias("e0")
+        "session_id", "seq", "label", "weight", "item_id", "history_value", _component("embedding", 0, "e0")
     )
 
 
@@ -285,8 +289,8 @@ def _vector_ends(rows: DataFrame) -> DataFrame:
         "session_id",
         "q_idx",
         rounded("weight"),
-        F.round(F.col("embedding")[0], 6).alias("first_x"),
-        F.round(F.col("embedding")[w.DIM - 1], 6).alias("last_x"),
+        _component("embedding", 0, "first_x"),
+        _component("embedding", w.DIM - 1, "last_x"),
     )
 
 
@@ -491,7 +495,7 @@ def vector_concat(spark, sf_dir):
     return _pairs(spark, sf_dir).select(
         V.concat_ids(F.col("a"), F.col("b")).alias("id"),
         F.size(joined).alias("dim"),
-        F.round(joined[w.DIM], 6).alias("x"),
+        F.round(joined[w.DIM].cast("double"), 6).alias("x"),
     )
 
 
