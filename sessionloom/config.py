@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Defaults that decide results.
 BATCH_SIZE = 10
@@ -77,11 +80,27 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """A table of literal rows."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(schema.fields)
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint after a size check; larger tables keep a shuffled join."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    """A configuration table as a local, broadcast table, if it is small.
+
+    At most ``max_rows`` rows are brought in, once, instead of being computed
+    again in every join; a larger table is returned as it is and joined by shuffle.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return df
+    # One partition: aggregates over a configuration table then need no shuffle.
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema).coalesce(1))
 
 
 def default_parallelism(spark: SparkSession) -> int:

@@ -58,17 +58,18 @@ def knn_join(
     metric: str = "cosine_sim",
     exclude: DataFrame | None = None,
     block_floats: int = BLOCK_FLOATS,
+    n_items: int | None = None,
 ) -> DataFrame:
     """Exact top-k join: every query against every item.
 
     ``queries(session_id, q_idx, embedding, top_k, ...)``; further columns are
     carried to the result. ``exclude(session_id, history_value)`` lists what a
-    session must not be served. Returns ``(session_id, q_idx, rank, id, score)``
+    session must not be served; ``n_items`` saves counting the collection. Returns ``(session_id, q_idx, rank, id, score)``
     plus the carried columns.
     """
     dim = max(embedding_width(items), 1)
     rows = max(block_floats // dim, 1)
-    n_items = items.count()
+    n_items = items.count() if n_items is None else n_items
     n_hash = max(math.ceil(n_items / rows), 1)
     unique_values = _history_is_id(items)
     parts = _item_parts(items, n_hash, rows, unique_values)

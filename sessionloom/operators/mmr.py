@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from sessionloom.config import SCORE_DECIMALS
 from sessionloom.functions import vectors as V
 from sessionloom.operators.knn import QUERY_KEYS, unit_rows
-from sessionloom.operators.skew import salted_join
 
 SEEDS = ("least_similar", "most_similar")
 
@@ -43,69 +42,69 @@ def mmr(
     if seed not in SEEDS:
         raise ValueError(f"unknown MMR seed {seed!r}")
     rest = [c for c in candidates.columns if c not in QUERY_KEYS]
-    with_vectors = salted_join(candidates, items.select("id", "embedding"), "id", QUERY_KEYS)
+    # Popular items skew this join; adaptive execution splits their partitions.
+    with_vectors = candidates.join(items.select("id", "embedding"), "id")
     if metric == "cosine_sim":
         similarity = F.col("score")
     else:
         similarity = F.round(V.cosine("query_embedding", "embedding"), SCORE_DECIMALS)
     # A query holds at most its top_k candidates, so the lists are short.
+    row = F.struct("rank", *[c for c in rest if c != "rank"])
     lists = with_vectors.groupBy(*QUERY_KEYS).agg(
-        F.array_sort(F.collect_list(F.struct("rank", similarity.alias("sim"), "embedding"))).alias("c"),
+        F.array_sort(F.collect_list(F.struct("rank", similarity.alias("sim"), "embedding", row.alias("row")))).alias("c"),
         F.first("top_k_mmr").alias("n_wanted"),
     )
     packed = lists.select(
         *QUERY_KEYS,
         "n_wanted",
-        F.col("c.rank").alias("ranks"),
         F.col("c.sim").alias("sims"),
         F.flatten("c.embedding").alias("flat"),
+        F.col("c.row").alias("rows"),
     )
+    kept = [*QUERY_KEYS, "rows"]
     schema = T.StructType(
-        [packed.schema[k] for k in QUERY_KEYS]
-        + [T.StructField("rank", T.IntegerType()), T.StructField("pick", T.IntegerType())]
+        [packed.schema[k] for k in kept] + [T.StructField("picks", T.ArrayType(T.IntegerType()))]
     )
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield from pick_batch(batch, lam, seed, schema.names)
+                columns = [*[batch[k] for k in kept], picked(batch, lam, seed)]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    picks = packed.mapInArrow(choose, schema)
-    chosen = candidates.join(picks, [*QUERY_KEYS, "rank"])
-    return chosen.withColumn("rank", F.col("pick")).select(*QUERY_KEYS, *rest)
+    chosen = packed.mapInArrow(choose, schema).select(*QUERY_KEYS, "rows", F.posexplode("picks").alias("n", "at"))
+    taken = chosen.select(*QUERY_KEYS, (F.col("n") + 1).alias("n"), F.get("rows", "at").alias("row"))
+    fields = [F.col("n").alias("rank") if c == "rank" else F.col(f"row.{c}").alias(c) for c in rest]
+    return taken.select(*QUERY_KEYS, *fields)
 
 
-def pick_batch(batch: pa.RecordBatch, lam: float, seed: str, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Picks of all queries of one batch, in blocks of bounded size."""
-    sizes = np.asarray(batch["ranks"].value_lengths())
+def picked(batch: pa.RecordBatch, lam: float, seed: str) -> pa.ListArray:
+    """Positions picked for each query of a batch, worked out in bounded blocks."""
+    sizes = np.asarray(batch["sims"].value_lengths())
     bounds = np.concatenate([[0], np.cumsum(sizes)])
-    ranks = batch["ranks"].flatten().to_numpy()
     sims = batch["sims"].flatten().to_numpy()
     flat = batch["flat"].flatten().to_numpy()
     width = len(flat) // max(bounds[-1], 1)
     vectors = unit_rows(flat.reshape(-1, width).astype(np.float64))
     wanted = batch["n_wanted"].to_numpy()
+    keep_all = wanted <= 0
+    goal = np.where(keep_all, sizes, np.minimum(wanted, sizes))
     step = max(1, _BLOCK_CELLS // max(int(sizes.max()) * width, 1))
+    pieces = []
     for a in range(0, len(sizes), step):
         b = min(a + step, len(sizes))
         lo, hi = bounds[a], bounds[b]
         row = np.repeat(np.arange(b - a), sizes[a:b])
         col = np.arange(hi - lo) - np.repeat(bounds[a:b] - lo, sizes[a:b])
-        n = int(sizes[a:b].max())
-        block = np.zeros((b - a, n, width))
-        sim = np.full((b - a, n), -np.inf)
+        shape = (b - a, int(sizes[a:b].max()))
+        block, sim = np.zeros((*shape, width)), np.full(shape, -np.inf)
         block[row, col] = vectors[lo:hi]
         sim[row, col] = sims[lo:hi]
-        keep_all = wanted[a:b] <= 0
-        goal = np.where(keep_all, sizes[a:b], np.minimum(wanted[a:b], sizes[a:b]))
-        picks = greedy_picks(block, sim, goal, lam, seed)
-        picks[keep_all] = np.arange(picks.shape[1])
-        query, order = np.nonzero(np.arange(picks.shape[1])[None, :] < goal[:, None])
-        taken = pa.array(query + a)
-        chosen = ranks[lo + (bounds[a:b] - lo)[query] + picks[query, order]]
-        columns = [batch["session_id"].take(taken), batch["q_idx"].take(taken)]
-        columns += [pa.array(chosen, pa.int32()), pa.array(order + 1, pa.int32())]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+        picks = greedy_picks(block, sim, goal[a:b], lam, seed)
+        picks[keep_all[a:b]] = np.arange(picks.shape[1])
+        pieces.append(picks[np.arange(picks.shape[1])[None, :] < goal[a:b, None]])
+    offsets = np.concatenate([[0], np.cumsum(goal)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(pieces), pa.int32()))
 
 
 def greedy_picks(block: np.ndarray, sim: np.ndarray, goal: np.ndarray, lam: float, seed: str) -> np.ndarray:

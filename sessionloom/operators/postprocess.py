@@ -113,9 +113,11 @@ def apply_params(
     shuffle: bool = True,
 ) -> DataFrame:
     """The whole chain: threshold, MMR, dedup, sort, cut per query, shuffle."""
-    kept = apply_threshold(candidates, metric)
+    # A session's candidates are few; together in one partition, they need no
+    # further shuffle for the windows by query, by id and by session.
+    kept = apply_threshold(candidates.repartition("session_id"), metric)
     plain = kept.where(~F.col("apply_mmr"))
     diverse = mmr(kept.where("apply_mmr"), items, metric=metric, seed=mmr_seed)
-    unique = remove_duplicates(plain.unionByName(diverse.select(*plain.columns)))
+    unique = remove_duplicates(plain.unionByName(diverse).repartition("session_id"))
     ranked = truncate_per_query(rank_candidates(unique, metric))
     return shuffle_pool(ranked, seed) if shuffle else flatten_results(ranked)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionloom.config import stage
+from sessionloom.config import local_table, stage
 from sessionloom.operators.knn import matrix
 
 CODEBOOK = "stage int, m int, code int, centroid array<double>"
@@ -38,7 +38,7 @@ def train_product_quantizer(
         for m in range(book.shape[0])
         for k in range(book.shape[1])
     ]
-    return vectors.sparkSession.createDataFrame(rows, CODEBOOK)
+    return local_table(vectors.sparkSession, rows, CODEBOOK)
 
 
 def _fit(points: DataFrame, n_slices: int, n_codes: int, rounds: int, seed: int) -> np.ndarray:
@@ -121,7 +121,7 @@ def _lists(m: np.ndarray) -> pa.ListArray:
 
 def codebooks(codebook: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The model as two (slice, code, width) arrays."""
-    rows = codebook.orderBy("stage", "m", "code").collect()
+    rows = sorted(codebook.select("stage", "m", "code", "centroid").collect())
     books = [[r for r in rows if r["stage"] == s] for s in (0, 1)]
     n_slices = rows[-1]["m"] + 1
     first, second = (np.array([r["centroid"] for r in b]).reshape(n_slices, len(b) // n_slices, -1) for b in books)

@@ -11,9 +11,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sessionloom.config import SCORE_DECIMALS, USER_EMBEDDINGS_LAST_N
+from sessionloom.config import SCORE_DECIMALS, USER_EMBEDDINGS_LAST_N, local_table
 from sessionloom.functions import vectors as V
-from sessionloom.operators.skew import salted_join
 
 POLICIES = ("plain", "spread")
 
@@ -30,7 +29,8 @@ def latest_signals(signals_log: DataFrame, last_n: int = USER_EMBEDDINGS_LAST_N)
 def user_embeddings(signals_log: DataFrame, items: DataFrame, last_n: int = USER_EMBEDDINGS_LAST_N) -> DataFrame:
     """The session's profile: vectors and weights of its latest signals."""
     vectors = items.select(F.col("id").alias("item_id"), "embedding")
-    joined = salted_join(latest_signals(signals_log, last_n), vectors, "item_id", ["session_id", "q_idx"])
+    # Popular items skew this join; adaptive execution splits their partitions.
+    joined = latest_signals(signals_log, last_n).join(vectors, "item_id")
     return joined.select("session_id", "q_idx", "embedding", "weight")
 
 
@@ -83,14 +83,16 @@ def biased_profile(profile: DataFrame, bias: DataFrame) -> DataFrame:
     Bias queries are numbered after the profile's; a session without a profile
     has its bias alone.
     """
-    length = profile.groupBy("session_id").agg((F.max("q_idx") + 1).alias("_base"))
-    numbered = bias.join(length, "session_id", "left").withColumn(
-        "q_idx", (F.coalesce("_base", F.lit(0)) + F.col("bias_idx")).cast("int")
-    )
     biased = bias.select("session_id").distinct()
-    return profile.join(biased, "session_id", "left_semi").unionByName(
-        numbered.select("session_id", "q_idx", "embedding", "weight")
-    )
+    return profile.join(biased, "session_id", "left_semi").unionByName(numbered_bias(profile, bias))
+
+
+def numbered_bias(profile: DataFrame, bias: DataFrame) -> DataFrame:
+    """The bias queries, numbered on from the end of each session's profile."""
+    length = profile.groupBy("session_id").agg((F.max("q_idx") + 1).alias("_base"))
+    number = (F.coalesce("_base", F.lit(0)) + F.col("bias_idx")).cast("int")
+    numbered = bias.join(length, "session_id", "left").withColumn("q_idx", number)
+    return numbered.select("session_id", "q_idx", "embedding", "weight")
 
 
 def missing_bias(requests: DataFrame, bias: DataFrame) -> DataFrame:
@@ -113,7 +115,7 @@ def kmeans_topics(items: DataFrame, k: int, seed: int = 0, max_iter: int = 20) -
     points = items.select(array_to_vector("embedding").alias("features"))
     model = KMeans(k=k, seed=seed, maxIter=max_iter).fit(points)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return items.sparkSession.createDataFrame(rows, "topic int, embedding array<double>")
+    return local_table(items.sparkSession, rows, "topic int, embedding array<double>")
 
 
 def collection_centroid(items: DataFrame) -> DataFrame:

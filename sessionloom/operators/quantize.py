@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionloom.config import QUANTIZER_LEVELS
+from sessionloom.config import QUANTIZER_LEVELS, local_table
 from sessionloom.functions import vectors as V
 
 METHODS = ("exact", "sketch")
 
 # Bins of the exact method's first pass, and vectors their borders are taken from.
 BINS = 4096
-BORDER_SAMPLE = 20_000
+BORDER_SAMPLE = 1000
 
 
 def train_scalar_quantizer(vectors: DataFrame, levels: int = QUANTIZER_LEVELS, method: str = "exact") -> DataFrame:
@@ -62,7 +62,7 @@ def exact_quantiles(vectors: DataFrame, fractions: list[float]) -> DataFrame:
     wanted = sorted({int(p) for p in positions} | {min(int(p) + 1, n - 1) for p in positions})
     hit = np.searchsorted(ends, np.array(wanted), side="right")
     ranks = [(w, int(bins[h]), int(ends[h - 1]) if h else 0) for w, h in zip(wanted, hit)]
-    ranks_df = F.broadcast(spark.createDataFrame(ranks, "k long, bin int, base long"))
+    ranks_df = F.broadcast(local_table(spark, ranks, "k long, bin int, base long"))
 
     values = vectors.mapInArrow(_values_of_bins(borders, sorted({r[1] for r in ranks})), "bin int, x double, c long")
     distinct = values.groupBy("bin", "x").agg(F.sum("c").alias("c"))
@@ -73,16 +73,14 @@ def exact_quantiles(vectors: DataFrame, fractions: list[float]) -> DataFrame:
     for level, p in enumerate(positions):
         a, b = value[int(p)], value[min(int(p) + 1, n - 1)]
         rows.append((level, float(a + (b - a) * (p - int(p)))))
-    return spark.createDataFrame(rows, "level int, cut double")
+    return local_table(spark, rows, "level int, cut double")
 
 
 def _borders(vectors: DataFrame) -> np.ndarray:
-    share = min(1.0, BORDER_SAMPLE / max(vectors.count(), 1))
-    sample = vectors if share == 1.0 else vectors.sample(share, 0)
-    cuts = sample.select(F.explode("embedding").alias("x")).agg(
-        F.percentile_approx("x", [i / BINS for i in range(1, BINS)], 10 * BINS).alias("q")
-    )
-    return np.unique(np.array(cuts.first()["q"] or [0.0], dtype=np.float64))
+    share = min(1.0, 2 * BORDER_SAMPLE / max(vectors.count(), 1))
+    sample = (vectors if share == 1.0 else vectors.sample(share, 0)).limit(BORDER_SAMPLE).toArrow()
+    x = np.sort(sample["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+    return np.unique(x[np.linspace(0, len(x) - 1, BINS).astype(int)]) if len(x) else np.zeros(1)
 
 
 def _flat(batch: pa.RecordBatch) -> np.ndarray:
@@ -116,7 +114,8 @@ def _values_of_bins(borders: np.ndarray, wanted: list[int]):
 
 def cut_points(quantiles: DataFrame) -> np.ndarray:
     """The model as an array: one number per level."""
-    return np.array([r["cut"] for r in quantiles.orderBy("level").collect()])
+    rows = quantiles.select("level", "cut").collect()
+    return np.array([cut for _, cut in sorted(rows)])
 
 
 def quantize(vectors: DataFrame, quantiles: DataFrame) -> DataFrame:

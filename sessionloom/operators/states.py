@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionloom.config import broadcast_if_small, stage
+from sessionloom.config import broadcast_if_small, local_table, stage
 from sessionloom.sources.blueprints import START_STATE, step_maps
 from sessionloom.sources.signals import BATCH, DEFAULT
 
@@ -32,12 +32,13 @@ def session_state_trace(actions: DataFrame, sessions: DataFrame, nodes: DataFram
     state)``. Returns the actions with ``state``, ``next_state`` and the batch
     type and parameters of the node the action left.
     """
+    nodes = broadcast_if_small(nodes)
     resolved = resolve_steps(actions, sessions, nodes, edges)
     ordered = stage(
         resolved.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER).withColumn("part", F.spark_partition_id())
     )
     traced = replay(ordered, incoming_states(ordered))
-    spec = broadcast_if_small(nodes.select("blueprint", "node_ord", "name", "batch_type", "params"))
+    spec = nodes.select("blueprint", "node_ord", "name", "batch_type", "params")
     left = spec.withColumnsRenamed({"node_ord": "state_ord", "name": "state"})
     reached = spec.select("blueprint", F.col("node_ord").alias("next_ord"), F.col("name").alias("next_state"))
     return (
@@ -47,21 +48,19 @@ def session_state_trace(actions: DataFrame, sessions: DataFrame, nodes: DataFram
     )
 
 
-def resolve_steps(actions: DataFrame, sessions: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def resolve_steps(
+    actions: DataFrame, sessions: DataFrame, nodes: DataFrame, edges: DataFrame, keep: list[str] | None = None
+) -> DataFrame:
     """Attach each action's step function and the session's first state."""
-    steps = step_maps(nodes, edges)
-    own = broadcast_if_small(steps.select("blueprint", "action", F.col("step").alias("_own")))
-    default = broadcast_if_small(
-        steps.where(F.col("action") == DEFAULT).select("blueprint", F.col("step").alias("_default"))
-    )
-    ordinals = broadcast_if_small(
-        nodes.select("blueprint", F.col("name").alias("state"), F.col("node_ord").alias("first_state"))
-    )
+    steps = broadcast_if_small(step_maps(nodes, edges))
+    own = steps.select("blueprint", "action", F.col("step").alias("_own"))
+    default = steps.where(F.col("action") == DEFAULT).select("blueprint", F.col("step").alias("_default"))
+    ordinals = nodes.select("blueprint", F.col("name").alias("state"), F.col("node_ord").alias("first_state"))
     states = sessions.select("session_id", "blueprint", "state").join(ordinals, ["blueprint", "state"], "left")
     states = states.where(F.col("first_state").isNotNull() | (F.col("state") == START_STATE))
     states = states.select("session_id", "blueprint", F.coalesce("first_state", F.lit(0)).alias("first_state"))
     return (
-        actions.select(*ORDER, F.upper("action").alias("action"))
+        actions.select(*ORDER, F.upper("action").alias("action"), *(keep or []))
         .join(states, "session_id")
         .join(own, ["blueprint", "action"], "left")
         .join(default, "blueprint", "left")
@@ -82,7 +81,7 @@ def incoming_states(ordered: DataFrame) -> dict[int, int]:
     if not crossing:
         return {}
     key = ordered.schema["session_id"].dataType
-    crossing_rows = ordered.sparkSession.createDataFrame([(s,) for s in crossing], T.StructType([T.StructField("session_id", key)]))
+    crossing_rows = local_table(ordered.sparkSession, [(s,) for s in crossing], T.StructType([T.StructField("session_id", key)]))
     rows = ordered.join(F.broadcast(crossing_rows), "session_id", "left_semi")
     schema = T.StructType(
         [

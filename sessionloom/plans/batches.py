@@ -7,10 +7,13 @@ serves all requests, whatever their batch type.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.config import BATCH_SIZE, MINIMUM_TOPK, stage
+from sessionloom.functions import vectors as V
 from sessionloom.operators import profiles
 from sessionloom.operators.budgets import adjust_weights, set_top_k
 from sessionloom.operators.knn import knn_join
@@ -39,7 +42,7 @@ def budgeted_queries(profile: DataFrame, requests: DataFrame, batch_size: int) -
     p = weighted.select(
         "session_id",
         "q_idx",
-        F.transform("embedding", lambda x: x.cast("double")).alias("embedding"),
+        V.as_double("embedding").alias("embedding"),
         "budget",
         "params.threshold",
         "params.apply_mmr",
@@ -73,6 +76,7 @@ def serve(
     seed: int = 0,
 ) -> DataFrame:
     """Search, post-process and cut to the batch size."""
+    exclude = None if exclude is None else stage(exclude)
     candidates = knn_join(stage(queries), items, metric, exclude)
     # MMR and the rest branch from the search; it is run once.
     pool = apply_params(stage(candidates), items, metric, seed)
@@ -98,7 +102,8 @@ def personalized_batch(
     seed: int = 0,
 ) -> DataFrame:
     """Neighbours of the profile; sessions without one get a random batch."""
-    queries, _ = personalized_queries(requests, profile, items, batch_size, policy, seed)
+    own = profiles.personalized_profile(profile, requests, policy, seed=seed, **_spread_model(items, policy))
+    queries = budgeted_queries(own, requests, batch_size)
     fallback = requests.join(profile.select("session_id").distinct(), "session_id", "left_anti")
     rest = random_batch_queries(fallback, embedding_width(items), batch_size, seed)
     exclude = None
@@ -107,13 +112,11 @@ def personalized_batch(
     return serve(queries.unionByName(rest), items, batch_size, exclude, seed=seed)
 
 
-def personalized_queries(requests, profile, items, batch_size, policy, seed) -> tuple[DataFrame, DataFrame]:
-    """Budgeted queries of the requests and the profile rows they came from."""
-    spread = {}
-    if policy == "spread":
-        spread = {"centroid": profiles.collection_centroid(items), "dim": embedding_width(items)}
-    rows = profiles.personalized_profile(profile, requests, policy, seed=seed, **spread)
-    return budgeted_queries(rows, requests, batch_size), rows
+def _spread_model(items: DataFrame, policy: str) -> dict:
+    """What the policy ``spread`` has to know of the collection."""
+    if policy != "spread":
+        return {}
+    return {"centroid": profiles.collection_centroid(items), "dim": embedding_width(items)}
 
 
 def biased_batch(
@@ -127,9 +130,9 @@ def biased_batch(
     seed: int = 0,
 ) -> DataFrame:
     """Neighbours of profile and bias vectors; requests without bias get nothing."""
-    _, rows = personalized_queries(requests, profile, items, batch_size, policy, seed)
+    own = profiles.personalized_profile(profile, requests, policy, seed=seed, **_spread_model(items, policy))
     asked = bias.join(requests.select("session_id"), "session_id", "left_semi")
-    queries = budgeted_queries(profiles.biased_profile(rows, asked), requests, batch_size)
+    queries = budgeted_queries(profiles.biased_profile(own, asked), requests, batch_size)
     exclude = None if history is None else history_values(history)
     return serve(queries, items, batch_size, exclude, seed=seed)
 
@@ -174,24 +177,39 @@ def next_batch(
     share one search.
     """
     requests = stage(plan_requests(sessions, nodes, edges))
+    return serve_requests(requests, profile, items, topics, bias, history, batch_size, policy, seed), requests
+
+
+def serve_requests(
+    requests: DataFrame,
+    profile: DataFrame,
+    items: DataFrame,
+    topics: DataFrame,
+    bias: DataFrame,
+    history: DataFrame | None = None,
+    batch_size: int = BATCH_SIZE,
+    policy: str = "plain",
+    seed: int = 0,
+) -> DataFrame:
+    """Batches for requests ``(session_id, batch_type, params, has_embeddings)`` of any type."""
     dim = embedding_width(items)
-    known = profile.select("session_id").distinct()
-    personal = requests.where("batch_type = 'personalized'")
-    cold = personal.join(known, "session_id", "left_anti")
-    biased = requests.where("batch_type = 'biased'")
-    sampled = requests.where("batch_type = 'sampled'")
-    chance = requests.where("batch_type = 'random'").unionByName(cold)
-
-    own, _ = personalized_queries(personal, profile, items, batch_size, policy, seed)
-    _, rows = personalized_queries(biased, profile, items, batch_size, policy, seed)
+    cold = (F.col("batch_type") == "personalized") & ~F.col("has_embeddings")
+    chance = requests.where((F.col("batch_type") == "random") | cold)
+    warm = requests.where((F.col("batch_type") != "random") & ~cold)
+    biased = warm.where("batch_type = 'biased'")
+    sampled = warm.where("batch_type = 'sampled'")
+
+    own = profiles.personalized_profile(
+        profile, warm.where("batch_type <> 'sampled'"), policy, seed=seed, **_spread_model(items, policy)
+    )
     asked = bias.join(biased.select("session_id"), "session_id", "left_semi")
     drawn = profiles.sampled_profile(sampled.select("session_id", "params.n_topics"), topics, seed)
-    queries = (
-        own.unionByName(budgeted_queries(profiles.biased_profile(rows, asked), biased, batch_size))
-        .unionByName(budgeted_queries(drawn, sampled, batch_size))
-        .unionByName(random_batch_queries(chance, dim, batch_size, seed))
+    weighted = [own, profiles.numbered_bias(own, asked), drawn]
+    weighted = reduce(DataFrame.unionByName, [x.withColumn("embedding", V.as_double("embedding")) for x in weighted])
+    queries = budgeted_queries(weighted, warm, batch_size).unionByName(
+        random_batch_queries(chance, dim, batch_size, seed)
     )
     exclude = None
     if history is not None:
         exclude = history_values(history).join(chance.select("session_id"), "session_id", "left_anti")
-    return serve(queries, items, batch_size, exclude, seed=seed), requests
+    return serve(queries, items, batch_size, exclude, seed=seed)

@@ -14,6 +14,7 @@ from sessionloom.operators.mmr import mmr
 from sessionloom.plans import batches, sketch
 from sessionloom.plans import workload as w
 from sessionloom.sources import blueprints, history, items, sessions, signals
+from sessionloom.streaming import events, fold, serving
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,8 +58,8 @@ def load_items(spark, sf_dir):
 
 @query
 def load_signals(spark, sf_dir):
-    events = w.table(spark, sf_dir, "events")
-    added = events.select(
+    log = w.table(spark, sf_dir, "events")
+    added = log.select(
         F.struct("ts", "event_id").alias("ord"), F.col("event_type").alias("label"), F.col("value").alias("weight")
     )
     return signals.load_signals(signals.vocabulary(spark), added)
@@ -637,3 +638,56 @@ def apply_params(spark, sf_dir):
     found = stage(latest_candidates(spark, sf_dir)).withColumns(params)
     pool = postprocess.apply_params(found, w.items(spark, sf_dir), seed=2)
     return pool.select("session_id", "q_idx", "rank", "position", "id", rounded("score"))
+
+
+# --- streaming -------------------------------------------------------------
+
+
+def _action_stream(spark, sf_dir) -> DataFrame:
+    schema = w.table(spark, sf_dir, "events").schema
+    stream = events.read_stream(spark, sf_dir, schema, pathGlobFilter="events.parquet")
+    return signals.parse_actions(w.events_as_actions(stream), signals.vocabulary(spark)).where("known")
+
+
+@query
+def dedup_signals(spark, sf_dir):
+    """Every event arrives twice."""
+    path = new_table_path(spark, "dedup")
+    twice = _action_stream(spark, sf_dir).unionByName(_action_stream(spark, sf_dir))
+    events.run_available(events.dedup_signals(twice, "seq"), events.table_sink(path), "dedup")
+    return spark.read.parquet(path).select("session_id", "seq", "action")
+
+
+@query
+def signal_stream(spark, sf_dir):
+    path = new_table_path(spark, "fold")
+    nodes, edges = w.builtin(spark)
+    routed = sessions.route_algorithm(w.sessions(spark, sf_dir))
+    folded = fold.signal_stream(spark, _action_stream(spark, sf_dir), routed, nodes, edges)
+    events.run_available(folded, events.table_sink(path), "fold")
+    stored = spark.read.parquet(path)
+    return stored.select("session_id", "seq", "action", "state", "next_state", "has_embeddings", "profile_size")
+
+
+def _serving_tables(spark, sf_dir) -> serving.Tables:
+    all_items = w.items(spark, sf_dir)
+    nodes, edges = w.builtin(spark)
+    routed = stage(sessions.route_algorithm(w.sessions(spark, sf_dir)))
+    tables = serving.Tables(new_table_path(spark, "serving")).create(spark)
+    server = serving.Server(
+        tables, routed, all_items, nodes, edges, w.topics(all_items), w.bias(routed, all_items)
+    )
+    events.run_available(_action_stream(spark, sf_dir), server, "serving")
+    return tables
+
+
+@query
+def update_state(spark, sf_dir):
+    tables = _serving_tables(spark, sf_dir)
+    return serving.latest_states(tables.read(spark, "states", serving.STATES))
+
+
+@query
+def batch_stream(spark, sf_dir):
+    tables = _serving_tables(spark, sf_dir)
+    return served(tables.read(spark, "served", serving.SERVED))

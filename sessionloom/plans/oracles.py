@@ -629,3 +629,46 @@ _CTES["chain_in"] = """SELECT *, 0.3::DOUBLE AS threshold, session_id % 2 = 0 AS
     4 AS top_k_mmr FROM found"""
 _chain("chain", "chain_in", 2)
 _oracle("apply_params", "SELECT session_id, q_idx, rank, position, id, round(score, 6) AS score FROM chain")
+
+# --- streaming -------------------------------------------------------------
+
+_oracle("dedup_signals", "SELECT session_id, seq, action FROM numbered")
+_oracle(
+    "signal_stream",
+    """SELECT t.session_id, t.seq, t.action, t.state, t.next_state,
+    coalesce(sum((x.action <> 'BATCH')::INT) OVER (PARTITION BY x.session_id ORDER BY x.n
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > 0 AS has_embeddings,
+    least(sum((x.action <> 'BATCH')::INT) OVER (PARTITION BY x.session_id ORDER BY x.n), 50)::INT AS profile_size
+    FROM trace t JOIN numbered x ON t.session_id = x.session_id AND t.n = x.n""",
+)
+_oracle(
+    "update_state",
+    """SELECT session_id, arg_max(next_state, n) AS state, bool_or(action <> 'BATCH') AS has_embeddings
+    FROM trace GROUP BY session_id""",
+)
+_CTES["last_ask"] = """SELECT t.session_id, t.state, t.batch_type, x.blueprint, x.ts, x.seq
+    FROM trace t JOIN numbered x ON t.session_id = x.session_id AND t.n = x.n WHERE t.action = 'BATCH'
+    QUALIFY row_number() OVER (PARTITION BY t.session_id ORDER BY t.n DESC) = 1"""
+_CTES["live_log"] = """SELECT s.*, row_number() OVER (PARTITION BY s.session_id ORDER BY s.ts DESC, s.seq DESC) - 1 AS q_idx
+    FROM slog s JOIN last_ask a ON s.session_id = a.session_id AND (s.ts, s.seq) < (a.ts, a.seq)"""
+_CTES["live_profile"] = """SELECT l.session_id, l.q_idx, i.e, l.weight FROM live_log l JOIN items i ON l.item_id = i.id
+    WHERE q_idx < 50"""
+_CTES["live_ask"] = """SELECT a.session_id, a.batch_type, nd.last_n, nd.n_topics, nd.threshold, nd.mmr
+    FROM last_ask a JOIN nodes nd ON nd.blueprint = a.blueprint AND nd.name = a.state"""
+_CTES["live_chance"] = _CTES["ask_chance"].replace("asked", "live_ask").replace("profile", "live_profile")
+_CTES["live_personal"] = "SELECT * FROM live_ask WHERE batch_type = 'personalized'"
+_CTES["live_biased"] = "SELECT * FROM live_ask WHERE batch_type = 'biased'"
+_CTES["live_sampled"] = "SELECT * FROM live_ask WHERE batch_type = 'sampled'"
+_CTES["live_own"] = _own("live_personal").replace("profile p", "live_profile p")
+_CTES["live_biased_own"] = _own("live_biased").replace("profile p", "live_profile p")
+_CTES["live_biased_w"] = _with_bias("live_biased_own", "live_biased")
+_CTES["live_drawn"] = _drawn("live_sampled")
+_budgets("live_own_q", "live_own", "live_personal")
+_budgets("live_biased_q", "live_biased_w", "live_biased")
+_budgets("live_drawn_q", "live_drawn", "live_sampled")
+_random_vectors("live_r", "live_chance", 10, 0)
+_CTES["live_q"] = f"""SELECT * FROM live_own_q UNION ALL BY NAME SELECT * FROM live_biased_q
+    UNION ALL BY NAME SELECT * FROM live_drawn_q UNION ALL BY NAME {_chance('live_r')}"""
+_CTES["live_hist"] = """SELECT DISTINCT session_id, item_id AS hv FROM live_log
+    WHERE session_id NOT IN (SELECT session_id FROM live_chance)"""
+_oracle("batch_stream", _batch("liv", "live_q", "live_hist"))

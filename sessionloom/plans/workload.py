@@ -7,10 +7,12 @@ item named in ``props``, an error is no valid action.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.config import stage
+from sessionloom.config import broadcast_if_small, stage
 from sessionloom.operators.profiles import label_topics, user_embeddings
 from sessionloom.operators.states import session_state_trace
 from sessionloom.sources import blueprints, signals
@@ -95,9 +97,10 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(user_embeddings(signals_log(spark, sf_dir), items(spark, sf_dir)))
 
 
+@lru_cache(maxsize=1)
 def builtin(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     nodes, edges, _ = blueprints.load_blueprints(blueprints.builtin_documents(spark))
-    return nodes, edges
+    return broadcast_if_small(nodes), broadcast_if_small(edges)
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

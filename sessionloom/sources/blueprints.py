@@ -12,7 +12,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.config import broadcast_if_small
+from sessionloom.config import broadcast_if_small, local_table
 from sessionloom.sources.signals import BATCH, DEFAULT
 
 BATCH_TYPES = ("personalized", "biased", "sampled", "random")
@@ -134,7 +134,7 @@ _PARAMS = (
 
 def builtin_documents(spark: SparkSession) -> DataFrame:
     """The built-in blueprints as documents ``(blueprint, doc)``."""
-    return spark.createDataFrame([(k, json.dumps(v)) for k, v in BLUEPRINTS.items()], "blueprint string, doc string")
+    return local_table(spark, [(k, json.dumps(v)) for k, v in BLUEPRINTS.items()], "blueprint string, doc string")
 
 
 def normalise_params(raw):
@@ -235,17 +235,18 @@ def transition_lookup(requests: DataFrame, nodes: DataFrame, edges: DataFrame) -
     An action without an edge of its own takes the DEFAULT edge, BATCH included;
     ``next_state`` is NULL where there is none.
     """
-    first = _first_edges(edges)
+    first = broadcast_if_small(_first_edges(edges))
+    nodes = broadcast_if_small(nodes)
     own = first.withColumnsRenamed({"start": "_at", "end": "_own"})
     default = first.where(F.col("action") == DEFAULT).select("blueprint", F.col("start").alias("_at"), F.col("end").alias("_default"))
     start = nodes.where("node_ord = 0").select("blueprint", F.col("name").alias("_start"))
     spec = nodes.select("blueprint", F.col("name").alias("_at"), "batch_type", "params")
     return (
-        requests.join(broadcast_if_small(start), "blueprint", "left")
+        requests.join(start, "blueprint", "left")
         .withColumn("_at", F.when(F.col("state") == START_STATE, F.col("_start")).otherwise(F.col("state")))
-        .join(broadcast_if_small(own), ["blueprint", "_at", "action"], "left")
-        .join(broadcast_if_small(default), ["blueprint", "_at"], "left")
-        .join(broadcast_if_small(spec), ["blueprint", "_at"], "left")
+        .join(own, ["blueprint", "_at", "action"], "left")
+        .join(default, ["blueprint", "_at"], "left")
+        .join(spec, ["blueprint", "_at"], "left")
         .withColumn("next_state", F.coalesce("_own", "_default"))
         .drop("_start", "_at", "_own", "_default")
     )

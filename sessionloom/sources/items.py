@@ -25,9 +25,15 @@ def load_items(
         items = items.where(F.size("embedding") == dim)
     field = "id" if history_field in (id_col, "id") else history_field
     rest = [c for c in items.columns if c not in ("id", "embedding")]
-    # The mark lets a search skip the repeated-value handling.
+    # The marks let a search skip a look at the data.
     mark = {"history_value_is_id": True} if field == "id" else {}
-    return items.select("id", "embedding", F.col(field).alias("history_value", metadata=mark), *rest)
+    width = {} if dim is None else {"dim": dim}
+    return items.select(
+        "id",
+        F.col("embedding").alias("embedding", metadata=width),
+        F.col(field).alias("history_value", metadata=mark),
+        *rest,
+    )
 
 
 def rejected_items(df: DataFrame, dim: int, id_col: str = "id", embedding_col: str = "embedding") -> DataFrame:
@@ -37,7 +43,10 @@ def rejected_items(df: DataFrame, dim: int, id_col: str = "id", embedding_col: s
 
 
 def embedding_width(items: DataFrame) -> int:
-    """Width of the collection, read from a single row."""
+    """Width of the collection: as loaded, else read from a single row."""
+    known = (items.schema["embedding"].metadata or {}).get("dim")
+    if known:
+        return known
     row = items.select(F.size("embedding").alias("n")).first()
     return row["n"] if row else 0
 

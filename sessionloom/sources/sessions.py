@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.sources.blueprints import SIMPLE_BLUEPRINT, START_STATE
+from sessionloom.sources.signals import BATCH
 
 SIMPLE, CUSTOM, FACTORY = "SIMPLE", "CUSTOM", "FACTORY"
 
@@ -70,7 +71,15 @@ def temporary_sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
 
 
 def update_states(sessions: DataFrame, trace: DataFrame) -> DataFrame:
-    """Session records after the actions of ``trace(session_id, ts, seq, next_state)``."""
-    latest = trace.groupBy("session_id").agg(F.max_by("next_state", F.struct("ts", "seq")).alias("_next"))
+    """Session records after the actions of ``trace(session_id, ts, seq, action, next_state)``."""
+    latest = trace.groupBy("session_id").agg(
+        F.max_by("next_state", F.struct("ts", "seq")).alias("_next"),
+        F.max(F.col("action") != BATCH).alias("_signalled"),
+    )
     joined = sessions.join(latest, "session_id", "left")
-    return joined.withColumn("state", F.coalesce("_next", "state")).drop("_next")
+    return joined.withColumns(
+        {
+            "state": F.coalesce("_next", "state"),
+            "has_embeddings": F.col("has_embeddings") | F.coalesce("_signalled", F.lit(False)),
+        }
+    ).drop("_next", "_signalled")

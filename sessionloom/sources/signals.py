@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionloom.config import local_table
 from sessionloom.operators.skew import salted_join
 
 # Signal labels and weights.
@@ -59,7 +60,7 @@ DEFINITION = "label string, weight double"
 
 def vocabulary(spark: SparkSession) -> DataFrame:
     """The built-in signals: ``(label, weight)``."""
-    return spark.createDataFrame(SIGNALS, DEFINITION)
+    return local_table(spark, SIGNALS, DEFINITION)
 
 
 def definitions_from_json(docs: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def definitions_from_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def definitions_from_list(spark: SparkSession, signals: list[dict]) -> DataFrame:
-    doc = spark.createDataFrame([(0, json.dumps(signals))], "doc_ord int, doc string")
+    doc = local_table(spark, [(0, json.dumps(signals))], "doc_ord int, doc string")
     return definitions_from_json(doc)
 
 
