@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.config import new_table_path, stage
 from sessionloom.functions import vectors as V
-from sessionloom.operators import budgets, knn, postprocess, product, profiles, quantize, states
+from sessionloom.operators import budgets, ivf, knn, postprocess, product, profiles, quantize, states
 from sessionloom.operators.mmr import mmr
 from sessionloom.plans import batches, sketch
 from sessionloom.plans import workload as w
@@ -241,12 +241,15 @@ def search(spark, sf_dir):
     return knn.search(all_items, vector, 10).select("rank", "id", rounded("score"))
 
 
-def _all_items_as_queries(spark, sf_dir, metric):
-    all_items = w.items(spark, sf_dir)
-    queries = all_items.select(
+def _item_queries(all_items: DataFrame) -> DataFrame:
+    return all_items.select(
         F.col("id").alias("session_id"), F.lit(0).alias("q_idx"), "embedding", F.lit(10).alias("top_k")
     )
-    return shown(knn.knn_join(queries, all_items, metric))
+
+
+def _all_items_as_queries(spark, sf_dir, metric):
+    all_items = w.items(spark, sf_dir)
+    return shown(knn.knn_join(_item_queries(all_items), all_items, metric))
 
 
 @query
@@ -264,6 +267,33 @@ def multi_search_dot(spark, sf_dir):
     return _all_items_as_queries(spark, sf_dir, "dot_product")
 
 
+@query
+def indexed_search(spark, sf_dir):
+    """The same result as ``multi_search``, through an index."""
+    all_items = w.items(spark, sf_dir)
+    index = ivf.build_index(all_items, ivf.train_cells(all_items, 16))
+    return shown(ivf.ivf_join(_item_queries(all_items), index))
+
+
+@query
+def indexed_history_search(spark, sf_dir):
+    """The same result as ``history_search``, through an index."""
+    all_items = w.items(spark, sf_dir)
+    index = ivf.build_index(all_items, ivf.train_cells(all_items, 16))
+    seen = history.history_values(w.history(spark, sf_dir))
+    return shown(ivf.ivf_join(stage(w.latest_queries(spark, sf_dir)), index, exclude=seen))
+
+
+@query
+def approximate_search(spark, sf_dir):
+    """Recall of a search that visits half of the cells."""
+    all_items = w.items(spark, sf_dir)
+    index = ivf.build_index(all_items, ivf.train_cells(all_items, 16))
+    queries = _item_queries(all_items)
+    found = ivf.recall(ivf.ivf_join(queries, index, n_probe=8), knn.knn_join(queries, all_items))
+    return found.select("expected", rounded("recall"))
+
+
 @query
 def signal_item_join(spark, sf_dir):
     joined = signals.signal_item_join(w.signals_log(spark, sf_dir), w.items(spark, sf_dir))

@@ -392,6 +392,8 @@ for _name, _metric in (
     ("multi_search_dot", "dot_product"),
 ):
     _oracle(_name, _shown(f"({_knn('item_queries', metric=_metric)})"))
+ORACLES["indexed_search"] = ORACLES["multi_search"]
+ORACLES["indexed_history_search"] = ORACLES["history_search"]
 _oracle(
     "signal_item_join",
     """SELECT session_id, seq, s.label, weight, item_id, item_id AS history_value, round(e[1], 6) AS e0
