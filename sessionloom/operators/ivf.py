@@ -86,6 +86,7 @@ def build_index(
     indexed = assigned.join(cell_table, "cell").withColumn("unit", (F.col("first_unit") + part).cast("int"))
     numbers = F.explode(F.sequence(F.col("first_unit"), F.col("first_unit") + F.col("n_parts") - 1))
     units = cell_table.select("cell", numbers.alias("unit")).select("cell", F.col("unit").cast("int").alias("unit"))
+    units = broadcast_if_small(units)
     return Index(
         indexed.select("id", "embedding", "history_value", "unit"), units, centroids, radius, sizes, metric, rows
     )
@@ -192,7 +193,7 @@ def _probe_rest(limited: DataFrame, index: Index) -> DataFrame:
 
 def _search_cells(probes: DataFrame, index: Index, exclude: DataFrame | None) -> DataFrame:
     """Search the cells each query lists."""
-    visits = probes.withColumn("cell", F.explode("cells")).drop("cells").join(F.broadcast(index.units), "cell").drop("cell")
+    visits = probes.withColumn("cell", F.explode("cells")).drop("cells").join(index.units, "cell").drop("cell")
     # As many query groups per unit as its visitors fill: one row per unit.
     groups = visits.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / index.unit_rows).cast("int").alias("groups"))
     groups = broadcast_if_small(groups)

@@ -11,11 +11,14 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sessionloom.config import SCORE_DECIMALS, USER_EMBEDDINGS_LAST_N, local_table
+from sessionloom.config import SCORE_DECIMALS, USER_EMBEDDINGS_LAST_N, broadcast_if_small, default_parallelism, local_table
 from sessionloom.functions import vectors as V
 
 POLICIES = ("plain", "spread")
 
+# Topic vectors up to which the topic table is broadcast.
+MAX_LOCAL_TOPICS = 2048
+
 
 def latest_signals(signals_log: DataFrame, last_n: int = USER_EMBEDDINGS_LAST_N) -> DataFrame:
     """Each session's most recent signals, numbered from the latest (``q_idx`` 0)."""
@@ -129,6 +132,7 @@ def sampled_profile(requests: DataFrame, topics: DataFrame, seed: int = 0) -> Da
     ``requests(session_id, n_topics)``; ``topics`` is a model table of a few rows.
     """
     n = topics.count()
+    topics = broadcast_if_small(topics, MAX_LOCAL_TOPICS)
     drawn = F.array_sort(
         F.transform(
             F.sequence(F.lit(0), F.lit(n - 1)),
@@ -141,16 +145,18 @@ def sampled_profile(requests: DataFrame, topics: DataFrame, seed: int = 0) -> Da
     picked = requests.select("session_id", F.posexplode(F.slice(drawn, 1, F.col("n_topics"))).alias("q_idx", "d"))
     return (
         picked.select("session_id", "q_idx", F.col("d.topic").alias("topic"))
-        .join(F.broadcast(topics), "topic")
+        .join(topics, "topic")
         .select("session_id", "q_idx", "embedding", F.lit(1.0).alias("weight"))
     )
 
 
-def random_profile(requests: DataFrame, dim: int, n: int, seed: int = 0) -> DataFrame:
-    """``n`` random unit vectors for each request."""
-    rows = requests.select("session_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("q_idx"))
-    vector = V.random_unit_vector(dim, seed, F.col("session_id"), F.col("q_idx"))
-    return rows.select("session_id", "q_idx", vector.alias("embedding"), F.lit(1.0).alias("weight"))
+def random_profile(requests: DataFrame, dim: int, n: int, seed: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``n`` random unit vectors for each request; ``keep`` names request columns to carry."""
+    # A request is a short row but much work: spread it before it grows.
+    spread = requests.repartition(default_parallelism(requests.sparkSession), "session_id")
+    rows = spread.select("session_id", *keep, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("q_idx"))
+    drawn = rows.withColumn("_u", V.uniforms(dim, seed, F.col("session_id"), F.col("q_idx")))
+    return drawn.select("session_id", "q_idx", V.unit(F.col("_u")).alias("embedding"), F.lit(1.0).alias("weight"), *keep)
 
 
 def random_queries(spark: SparkSession, n: int, dim: int, top_k: int, seed: int = 0) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionloom.config import broadcast_if_small, local_table, stage
+from sessionloom.operators.skew import salted_join
 from sessionloom.sources.blueprints import START_STATE, step_maps
 from sessionloom.sources.signals import BATCH, DEFAULT
 
@@ -59,10 +60,13 @@ def resolve_steps(
     states = sessions.select("session_id", "blueprint", "state").join(ordinals, ["blueprint", "state"], "left")
     states = states.where(F.col("first_state").isNotNull() | (F.col("state") == START_STATE))
     states = states.select("session_id", "blueprint", F.coalesce("first_state", F.lit(0)).alias("first_state"))
+    wanted = actions.select(*ORDER, F.upper("action").alias("action"), *(keep or []))
+    if actions.isStreaming:
+        placed = wanted.join(states, "session_id")
+    else:
+        placed = salted_join(wanted, states, "session_id", ["ts", "seq"])
     return (
-        actions.select(*ORDER, F.upper("action").alias("action"), *(keep or []))
-        .join(states, "session_id")
-        .join(own, ["blueprint", "action"], "left")
+        placed.join(own, ["blueprint", "action"], "left")
         .join(default, "blueprint", "left")
         .withColumn("step", F.coalesce("_own", "_default"))
         .drop("_own", "_default")
@@ -218,5 +222,6 @@ def has_embeddings(actions: DataFrame) -> DataFrame:
     """Mark each action by whether its session had given a signal before it."""
     order = F.struct("ts", "seq")
     first = actions.where(F.col("action") != BATCH).groupBy("session_id").agg(F.min(order).alias("_first"))
-    joined = actions.join(first, "session_id", "left")
+    # A session with a large share of the log must not meet its row in one task.
+    joined = salted_join(actions, first, "session_id", ["ts", "seq"], "left")
     return joined.withColumn("has_embeddings", F.coalesce(order > F.col("_first"), F.lit(False))).drop("_first")

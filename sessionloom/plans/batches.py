@@ -53,9 +53,8 @@ def budgeted_queries(profile: DataFrame, requests: DataFrame, batch_size: int) -
 
 def random_batch_queries(requests: DataFrame, dim: int, batch_size: int, seed: int) -> DataFrame:
     """Random queries: neither threshold nor MMR, whatever the node says."""
-    rows = profiles.random_profile(requests, dim, batch_size, seed)
     top_k = 2 * MINIMUM_TOPK
-    return rows.join(requests.select("session_id", "params"), "session_id").select(
+    return profiles.random_profile(requests, dim, batch_size, seed, keep=("params",)).select(
         "session_id",
         "q_idx",
         "embedding",

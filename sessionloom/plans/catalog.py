@@ -281,7 +281,7 @@ def indexed_history_search(spark, sf_dir):
     all_items = w.items(spark, sf_dir)
     index = ivf.build_index(all_items, ivf.train_cells(all_items, 16))
     seen = history.history_values(w.history(spark, sf_dir))
-    return shown(ivf.ivf_join(stage(w.latest_queries(spark, sf_dir)), index, exclude=seen))
+    return shown(ivf.ivf_join(w.latest_queries(spark, sf_dir), index, exclude=seen))
 
 
 @query

@@ -90,7 +90,7 @@ def signals_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What sessions have signalled."""
     log = signals_log(spark, sf_dir)
-    return log.select("session_id", F.col("item_id").alias("history_value"), F.col("ts").alias("served_ts"))
+    return stage(log.select("session_id", F.col("item_id").alias("history_value"), F.col("ts").alias("served_ts")))
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,15 +111,16 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return create_sessions(users.withColumn("label", label), "embeddings")
 
 
-def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trace(spark: SparkSession, sf_dir: str, new_sessions: DataFrame | None = None) -> DataFrame:
     nodes, edges = builtin(spark)
-    routed = route_algorithm(sessions(spark, sf_dir))
-    return session_state_trace(valid_actions(spark, sf_dir), routed, nodes, edges)
+    new_sessions = sessions(spark, sf_dir) if new_sessions is None else new_sessions
+    return session_state_trace(valid_actions(spark, sf_dir), route_algorithm(new_sessions), nodes, edges)
 
 
 def current_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sessions after all their actions."""
-    return update_states(sessions(spark, sf_dir), trace(spark, sf_dir))
+    new_sessions = stage(sessions(spark, sf_dir))
+    return update_states(new_sessions, trace(spark, sf_dir, new_sessions))
 
 
 def bias(sessions: DataFrame, items: DataFrame) -> DataFrame:
@@ -192,4 +193,4 @@ def custom_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_queries(spark: SparkSession, sf_dir: str, n: int = 3, top_k: int = 8) -> DataFrame:
     """Queries of each session's latest signals."""
     rows = user_embeddings(signals_log(spark, sf_dir), items(spark, sf_dir), n)
-    return rows.withColumn("top_k", F.lit(top_k))
+    return stage(rows.withColumn("top_k", F.lit(top_k)))

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.config import local_table
+from sessionloom.config import broadcast_if_small, local_table
 from sessionloom.operators.skew import salted_join
 
 # Signal labels and weights.
@@ -104,7 +104,8 @@ def parse_actions(events: DataFrame, signals: DataFrame) -> DataFrame:
     ``known`` is false where the action is neither BATCH nor a signal.
     """
     parsed = events.withColumn("action", F.upper("action"))
-    looked_up = parsed.join(F.broadcast(signals), parsed["action"] == signals["label"], "left").drop("label")
+    signals = broadcast_if_small(signals)
+    looked_up = parsed.join(signals, parsed["action"] == signals["label"], "left").drop("label")
     is_batch = F.coalesce(F.col("action") == BATCH, F.lit(False))
     return looked_up.withColumn("is_batch", is_batch).withColumn("known", is_batch | F.col("weight").isNotNull())
 

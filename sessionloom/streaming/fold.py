@@ -7,8 +7,7 @@ from typing import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sessionloom.config import USER_EMBEDDINGS_LAST_N, broadcast_if_small
 from sessionloom.operators.states import prefix_compose, resolve_steps
@@ -20,45 +19,28 @@ OUTPUT = (
     "session_id long, ts timestamp, seq long, action string, blueprint string, "
     "state_ord int, next_ord int, has_embeddings boolean, profile_size int"
 )
-# Built from objects: a worker has no session that could parse a text.
-_STATE = T.StructType(
-    [
-        T.StructField("state", T.IntegerType()),
-        T.StructField("items", T.ArrayType(T.LongType())),
-        T.StructField("weights", T.ArrayType(T.DoubleType())),
-    ]
-)
-
-
-class SessionFold(StatefulProcessor):
-    """State of one session: its node and its latest signals."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.session = handle.getValueState("session", _STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # Order matters within a micro-batch, whose size the trigger bounds.
-        actions = pd.concat(rows).sort_values(["ts", "seq"], kind="stable")
-        state, items, weights = self.session.get() if self.session.exists() else (None, [], [])
-        items, weights = list(items), list(weights)
-        first = int(actions["first_state"].iloc[0]) if state is None else state
-        steps = np.array(actions["step"].tolist(), dtype=np.int32)
-        after = prefix_compose(steps, np.array([0]))[:, first]
-        before = np.concatenate([[first], after[:-1]])
-
-        signal = (actions["action"] != BATCH).to_numpy()
-        seen = len(items) + np.cumsum(signal)
-        items = (items + actions["item_id"][signal].astype(int).tolist())[-USER_EMBEDDINGS_LAST_N:]
-        weights = (weights + actions["weight"][signal].astype(float).tolist())[-USER_EMBEDDINGS_LAST_N:]
-        self.session.update((int(after[-1]), items, weights))
-        out = actions[["session_id", "ts", "seq", "action", "blueprint"]].copy()
-        out["state_ord"], out["next_ord"] = before.astype(np.int32), after.astype(np.int32)
-        out["has_embeddings"] = (seen - signal) > 0
-        out["profile_size"] = np.minimum(seen, USER_EMBEDDINGS_LAST_N).astype(np.int32)
-        yield out
-
-    def close(self) -> None:
-        pass
+_STATE = "state int, items array<long>, weights array<double>"
+
+
+def fold_session(key, rows: Iterator[pd.DataFrame], session: GroupState) -> Iterator[pd.DataFrame]:
+    """One session's actions of a micro-batch; its state is its node and its latest signals."""
+    # Order matters within a micro-batch, whose size the trigger bounds.
+    actions = pd.concat(rows)
+    actions = actions.iloc[np.lexsort((actions["seq"].to_numpy(), actions["ts"].to_numpy()))]
+    state, items, weights = session.get if session.exists else (None, [], [])
+    first = int(actions["first_state"].iloc[0]) if state is None else state
+    steps = np.array(actions["step"].tolist(), dtype=np.int32)
+    after = prefix_compose(steps, np.array([0]))[:, first]
+    before = np.concatenate([[first], after[:-1]])
+
+    signal = (actions["action"] != BATCH).to_numpy()
+    seen = len(items) + np.cumsum(signal)
+    items = (list(items) + actions["item_id"].to_numpy()[signal].astype(int).tolist())[-USER_EMBEDDINGS_LAST_N:]
+    weights = (list(weights) + actions["weight"].to_numpy()[signal].tolist())[-USER_EMBEDDINGS_LAST_N:]
+    session.update((int(after[-1]), items, weights))
+    columns = {c: actions[c].to_numpy() for c in ("session_id", "ts", "seq", "action", "blueprint")}
+    columns |= {"state_ord": before, "next_ord": after, "has_embeddings": (seen - signal) > 0}
+    yield pd.DataFrame({**columns, "profile_size": np.minimum(seen, USER_EMBEDDINGS_LAST_N)})
 
 
 def signal_stream(
@@ -69,11 +51,8 @@ def signal_stream(
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     nodes = broadcast_if_small(nodes)
     resolved = resolve_steps(actions, sessions, nodes, edges, keep=["weight", "item_id"])
-    folded = resolved.groupBy("session_id").transformWithStateInPandas(
-        statefulProcessor=SessionFold(),
-        outputStructType=T.StructType.fromDDL(OUTPUT),
-        outputMode="Append",
-        timeMode="None",
+    folded = resolved.groupBy("session_id").applyInPandasWithState(
+        fold_session, OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
     )
     names = nodes.select("blueprint", "node_ord", "name")
     return (
