@@ -34,11 +34,11 @@ def session_state_trace(actions: DataFrame, sessions: DataFrame, nodes: DataFram
     type and parameters of the node the action left.
     """
     nodes = broadcast_if_small(nodes)
-    resolved = resolve_steps(actions, sessions, nodes, edges)
+    resolved, table = resolve_steps(actions, sessions, nodes, edges)
     ordered = stage(
         resolved.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER).withColumn("part", F.spark_partition_id())
     )
-    traced = replay(ordered, incoming_states(ordered))
+    traced = replay(ordered, incoming_states(ordered, table), table)
     spec = nodes.select("blueprint", "node_ord", "name", "batch_type", "params")
     left = spec.withColumnsRenamed({"node_ord": "state_ord", "name": "state"})
     reached = spec.select("blueprint", F.col("node_ord").alias("next_ord"), F.col("name").alias("next_state"))
@@ -51,9 +51,19 @@ def session_state_trace(actions: DataFrame, sessions: DataFrame, nodes: DataFram
 
 def resolve_steps(
     actions: DataFrame, sessions: DataFrame, nodes: DataFrame, edges: DataFrame, keep: list[str] | None = None
-) -> DataFrame:
-    """Attach each action's step function and the session's first state."""
-    steps = broadcast_if_small(step_maps(nodes, edges))
+) -> tuple[DataFrame, np.ndarray | None]:
+    """Attach each action's ``step`` and the session's first state.
+
+    Where the blueprints are few, ``step`` is a row number of the returned table
+    of step functions, so that long logs carry a number; else it is the function.
+    """
+    maps = step_maps(nodes, edges)
+    steps, table = broadcast_if_small(maps), None
+    if steps is not maps:
+        rows = steps.collect()
+        table = step_matrix(pa.array([r["step"] for r in rows], pa.list_(pa.int32())))
+        numbered = [(r["blueprint"], r["action"], i) for i, r in enumerate(rows)]
+        steps = F.broadcast(local_table(nodes.sparkSession, numbered, "blueprint string, action string, step int"))
     own = steps.select("blueprint", "action", F.col("step").alias("_own"))
     default = steps.where(F.col("action") == DEFAULT).select("blueprint", F.col("step").alias("_default"))
     ordinals = nodes.select("blueprint", F.col("name").alias("state"), F.col("node_ord").alias("first_state"))
@@ -65,15 +75,11 @@ def resolve_steps(
         placed = wanted.join(states, "session_id")
     else:
         placed = salted_join(wanted, states, "session_id", ["ts", "seq"])
-    return (
-        placed.join(own, ["blueprint", "action"], "left")
-        .join(default, "blueprint", "left")
-        .withColumn("step", F.coalesce("_own", "_default"))
-        .drop("_own", "_default")
-    )
+    found = placed.join(own, ["blueprint", "action"], "left").join(default, "blueprint", "left")
+    return found.withColumn("step", F.coalesce("_own", "_default")).drop("_own", "_default"), table
 
 
-def incoming_states(ordered: DataFrame) -> dict[int, int]:
+def incoming_states(ordered: DataFrame, table: np.ndarray | None) -> dict[int, int]:
     """For partitions that begin inside a session: the state it arrives in.
 
     What reaches the driver is two session ids per partition and, for sessions
@@ -97,7 +103,7 @@ def incoming_states(ordered: DataFrame) -> dict[int, int]:
     )
 
     def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from compose_partition(batches, schema.names)
+        yield from compose_partition(batches, table, schema.names)
 
     pieces = rows.mapInArrow(compose, schema).collect()
     arriving, state, session = {}, 0, None
@@ -110,14 +116,16 @@ def incoming_states(ordered: DataFrame) -> dict[int, int]:
     return arriving
 
 
-def compose_partition(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+def compose_partition(
+    batches: Iterator[pa.RecordBatch], table: np.ndarray | None, names: list[str]
+) -> Iterator[pa.RecordBatch]:
     """One row per session of the partition: the composition of its steps."""
     held: tuple | None = None  # (part, session, first state, composed step)
     for batch in batches:
         if not batch.num_rows:
             continue
         starts = segment_starts(batch["session_id"])
-        composed = prefix_compose(step_matrix(batch["step"]), starts)
+        composed = prefix_compose(steps_of(batch["step"], table), starts)
         lasts = np.append(starts[1:], len(composed)) - 1
         for start, last in zip(starts, lasts):
             row = (
@@ -148,7 +156,7 @@ def _piece(held: tuple, batch: pa.RecordBatch, names: list[str]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def replay(ordered: DataFrame, arriving: dict[int, int]) -> DataFrame:
+def replay(ordered: DataFrame, arriving: dict[int, int], table: np.ndarray | None) -> DataFrame:
     """State ordinals before and after every row."""
     kept = [f for f in ordered.schema if f.name not in ("step", "part", "first_state")]
     schema = T.StructType(
@@ -157,13 +165,13 @@ def replay(ordered: DataFrame, arriving: dict[int, int]) -> DataFrame:
     carried = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from replay_partition(batches, arriving, carried)
+        yield from replay_partition(batches, arriving, table, carried)
 
     return ordered.mapInArrow(run, schema)
 
 
 def replay_partition(
-    batches: Iterator[pa.RecordBatch], arriving: dict[int, int], carried: list[str]
+    batches: Iterator[pa.RecordBatch], arriving: dict[int, int], table: np.ndarray | None, carried: list[str]
 ) -> Iterator[pa.RecordBatch]:
     session, state, fresh = None, None, True
     for batch in batches:
@@ -178,7 +186,7 @@ def replay_partition(
         elif batch["session_id"][0].as_py() == session:
             entry[0] = state
         fresh = False
-        composed = prefix_compose(step_matrix(batch["step"]), starts)
+        composed = prefix_compose(steps_of(batch["step"], table), starts)
         after = composed[np.arange(n), np.repeat(entry, sizes)]
         before = np.roll(after, 1)
         before[starts] = entry
@@ -193,6 +201,11 @@ def segment_starts(sessions: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(changes) + 1])
 
 
+def steps_of(column: pa.Array, table: np.ndarray | None) -> np.ndarray:
+    """The step function of each row."""
+    return step_matrix(column) if table is None else table[column.to_numpy()]
+
+
 def step_matrix(steps: pa.Array) -> np.ndarray:
     """Step functions as rows; shorter ones are filled up with 'stay'."""
     sizes = np.asarray(steps.value_lengths())

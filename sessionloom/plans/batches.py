@@ -1,13 +1,16 @@
 """The batches a session can be served, for all sessions at once.
 
 Requests are ``(session_id, params[, ...])`` with a node's typed parameters; the
-result is ``served(session_id, position, id, score, q_idx, ...)``. One search
-serves all requests, whatever their batch type.
+result is ``served(session_id, position, id, score, q_idx)``. One search serves
+all requests, whatever their batch type. Profiles, topics and histories are read
+more than once, so they should be tables.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,23 @@ _QUERY_COLUMNS = [
 ]
 
 
+@dataclass
+class Options:
+    """How batches are made.
+
+    ``search(queries, exclude=...)`` finds candidates under ``metric``; by default
+    all items are searched, exactly. For a large collection give one that goes
+    through an index, such as ``partial(ivf_join, index=..., n_probe=8)``.
+    """
+
+    batch_size: int = BATCH_SIZE
+    policy: str = "plain"
+    seed: int = 0
+    metric: str = "cosine_sim"
+    mmr_seed: str = "least_similar"
+    search: Callable[..., DataFrame] | None = None
+
+
 def budgeted_queries(profile: DataFrame, requests: DataFrame, batch_size: int) -> DataFrame:
     """Queries of a weighted profile with budgets and the node's parameters."""
     weighted = adjust_weights(profile, batch_size).join(requests.select("session_id", "params"), "session_id")
@@ -66,29 +86,34 @@ def random_batch_queries(requests: DataFrame, dim: int, batch_size: int, seed: i
     )
 
 
-def serve(
-    queries: DataFrame,
-    items: DataFrame,
-    batch_size: int,
-    exclude: DataFrame | None = None,
-    metric: str = "cosine_sim",
-    seed: int = 0,
-) -> DataFrame:
+def serve(queries: DataFrame, items: DataFrame, options: Options, exclude: DataFrame | None = None) -> DataFrame:
     """Search, post-process and cut to the batch size."""
+    if options.metric != "cosine_sim":
+        # MMR compares by cosine; scores of other metrics do not tell it.
+        queries = queries.withColumn("query_embedding", F.col("embedding"))
     exclude = None if exclude is None else stage(exclude)
-    candidates = knn_join(stage(queries), items, metric, exclude)
+    search = options.search or partial(knn_join, items=items, metric=options.metric)
     # MMR and the rest branch from the search; it is run once.
-    pool = apply_params(stage(candidates), items, metric, seed)
-    batch = take_batch(pool, batch_size)
+    candidates = stage(search(stage(queries), exclude=exclude))
+    pool = apply_params(candidates, items, options.metric, options.seed, options.mmr_seed)
+    batch = take_batch(pool, options.batch_size)
     return batch.select("session_id", "position", "id", "score", "q_idx")
 
 
+def _own_rows(profile: DataFrame, requests: DataFrame, items: DataFrame, options: Options) -> DataFrame:
+    """What the requests' nodes look at of the profiles."""
+    spread = {}
+    if options.policy == "spread":
+        spread = {"centroid": profiles.collection_centroid(items), "dim": embedding_width(items)}
+    return profiles.personalized_profile(profile, requests, options.policy, seed=options.seed, **spread)
+
+
 def random_batch(
-    requests: DataFrame, items: DataFrame, batch_size: int = BATCH_SIZE, seed: int = 0, exclude: DataFrame | None = None
+    requests: DataFrame, items: DataFrame, options: Options = Options(), exclude: DataFrame | None = None
 ) -> DataFrame:
     """Neighbours of random vectors; history is left aside unless ``exclude`` is given."""
-    queries = random_batch_queries(requests, embedding_width(items), batch_size, seed)
-    return serve(queries, items, batch_size, exclude, seed=seed)
+    queries = random_batch_queries(requests, embedding_width(items), options.batch_size, options.seed)
+    return serve(queries, items, options, exclude)
 
 
 def personalized_batch(
@@ -96,26 +121,17 @@ def personalized_batch(
     profile: DataFrame,
     items: DataFrame,
     history: DataFrame | None = None,
-    batch_size: int = BATCH_SIZE,
-    policy: str = "plain",
-    seed: int = 0,
+    options: Options = Options(),
 ) -> DataFrame:
     """Neighbours of the profile; sessions without one get a random batch."""
-    own = profiles.personalized_profile(profile, requests, policy, seed=seed, **_spread_model(items, policy))
-    queries = budgeted_queries(own, requests, batch_size)
-    fallback = requests.join(profile.select("session_id").distinct(), "session_id", "left_anti")
-    rest = random_batch_queries(fallback, embedding_width(items), batch_size, seed)
+    own = _own_rows(profile, requests, items, options)
+    queries = budgeted_queries(own, requests, options.batch_size)
+    cold = requests.join(profile.select("session_id").distinct(), "session_id", "left_anti")
+    chance = random_batch_queries(cold, embedding_width(items), options.batch_size, options.seed)
     exclude = None
     if history is not None:
-        exclude = history_values(history).join(fallback.select("session_id"), "session_id", "left_anti")
-    return serve(queries.unionByName(rest), items, batch_size, exclude, seed=seed)
-
-
-def _spread_model(items: DataFrame, policy: str) -> dict:
-    """What the policy ``spread`` has to know of the collection."""
-    if policy != "spread":
-        return {}
-    return {"centroid": profiles.collection_centroid(items), "dim": embedding_width(items)}
+        exclude = history_values(history).join(cold.select("session_id"), "session_id", "left_anti")
+    return serve(queries.unionByName(chance), items, options, exclude)
 
 
 def biased_batch(
@@ -124,16 +140,14 @@ def biased_batch(
     bias: DataFrame,
     items: DataFrame,
     history: DataFrame | None = None,
-    batch_size: int = BATCH_SIZE,
-    policy: str = "plain",
-    seed: int = 0,
+    options: Options = Options(),
 ) -> DataFrame:
     """Neighbours of profile and bias vectors; requests without bias get nothing."""
-    own = profiles.personalized_profile(profile, requests, policy, seed=seed, **_spread_model(items, policy))
+    own = _own_rows(profile, requests, items, options)
     asked = bias.join(requests.select("session_id"), "session_id", "left_semi")
-    queries = budgeted_queries(profiles.biased_profile(own, asked), requests, batch_size)
+    queries = budgeted_queries(profiles.biased_profile(own, asked), requests, options.batch_size)
     exclude = None if history is None else history_values(history)
-    return serve(queries, items, batch_size, exclude, seed=seed)
+    return serve(queries, items, options, exclude)
 
 
 def sampled_batch(
@@ -141,14 +155,13 @@ def sampled_batch(
     topics: DataFrame,
     items: DataFrame,
     history: DataFrame | None = None,
-    batch_size: int = BATCH_SIZE,
-    seed: int = 0,
+    options: Options = Options(),
 ) -> DataFrame:
     """Neighbours of topics drawn for each session."""
-    drawn = profiles.sampled_profile(requests.select("session_id", "params.n_topics"), topics, seed)
-    queries = budgeted_queries(drawn, requests, batch_size)
+    drawn = profiles.sampled_profile(requests.select("session_id", "params.n_topics"), topics, options.seed)
+    queries = budgeted_queries(drawn, requests, options.batch_size)
     exclude = None if history is None else history_values(history)
-    return serve(queries, items, batch_size, exclude, seed=seed)
+    return serve(queries, items, options, exclude)
 
 
 def plan_requests(sessions: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -166,17 +179,11 @@ def next_batch(
     topics: DataFrame,
     bias: DataFrame,
     history: DataFrame | None = None,
-    batch_size: int = BATCH_SIZE,
-    policy: str = "plain",
-    seed: int = 0,
+    options: Options = Options(),
 ) -> tuple[DataFrame, DataFrame]:
-    """The next batch of every session, and the requests with their ``next_state``.
-
-    Sessions are split by the batch type of the node they are in; their queries
-    share one search.
-    """
+    """The next batch of every session, and the requests with their ``next_state``."""
     requests = stage(plan_requests(sessions, nodes, edges))
-    return serve_requests(requests, profile, items, topics, bias, history, batch_size, policy, seed), requests
+    return serve_requests(requests, profile, items, topics, bias, history, options), requests
 
 
 def serve_requests(
@@ -186,29 +193,30 @@ def serve_requests(
     topics: DataFrame,
     bias: DataFrame,
     history: DataFrame | None = None,
-    batch_size: int = BATCH_SIZE,
-    policy: str = "plain",
-    seed: int = 0,
+    options: Options = Options(),
 ) -> DataFrame:
-    """Batches for requests ``(session_id, batch_type, params, has_embeddings)`` of any type."""
-    dim = embedding_width(items)
+    """Batches for requests ``(session_id, batch_type, params, has_embeddings)`` of any type.
+
+    Requests are split by batch type; their queries share one search. A biased
+    request without a bias gets nothing, a personalized one without a profile a
+    random batch.
+    """
     cold = (F.col("batch_type") == "personalized") & ~F.col("has_embeddings")
     chance = requests.where((F.col("batch_type") == "random") | cold)
     warm = requests.where((F.col("batch_type") != "random") & ~cold)
-    biased = warm.where("batch_type = 'biased'")
-    sampled = warm.where("batch_type = 'sampled'")
-
-    own = profiles.personalized_profile(
-        profile, warm.where("batch_type <> 'sampled'"), policy, seed=seed, **_spread_model(items, policy)
-    )
-    asked = bias.join(biased.select("session_id"), "session_id", "left_semi")
-    drawn = profiles.sampled_profile(sampled.select("session_id", "params.n_topics"), topics, seed)
-    weighted = [own, profiles.numbered_bias(own, asked), drawn]
-    weighted = reduce(DataFrame.unionByName, [x.withColumn("embedding", V.as_double("embedding")) for x in weighted])
-    queries = budgeted_queries(weighted, warm, batch_size).unionByName(
-        random_batch_queries(chance, dim, batch_size, seed)
+    asked = bias.join(warm.where("batch_type = 'biased'").select("session_id"), "session_id", "left_semi")
+    personal = warm.where("batch_type = 'personalized'")
+    biased = warm.where("batch_type = 'biased'").join(asked.select("session_id").distinct(), "session_id", "left_semi")
+    sampled = warm.where("batch_type = 'sampled'").select("session_id", "params.n_topics")
+
+    own = _own_rows(profile, personal.unionByName(biased), items, options)
+    drawn = profiles.sampled_profile(sampled, topics, options.seed)
+    parts = [own, profiles.numbered_bias(own, asked), drawn]
+    weighted = reduce(DataFrame.unionByName, [x.withColumn("embedding", V.as_double("embedding")) for x in parts])
+    queries = budgeted_queries(weighted, warm, options.batch_size).unionByName(
+        random_batch_queries(chance, embedding_width(items), options.batch_size, options.seed)
     )
     exclude = None
     if history is not None:
         exclude = history_values(history).join(chance.select("session_id"), "session_id", "left_anti")
-    return serve(queries, items, batch_size, exclude, seed=seed)
+    return serve(queries, items, options, exclude)

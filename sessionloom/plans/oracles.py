@@ -623,6 +623,7 @@ _CTES["next_q"] = f"""SELECT * FROM next_own_q UNION ALL BY NAME SELECT * FROM n
     UNION ALL BY NAME SELECT * FROM next_drawn_q UNION ALL BY NAME {_chance('next_r')}"""
 _CTES["next_hist"] = "SELECT * FROM hist WHERE session_id NOT IN (SELECT session_id FROM ask_chance)"
 _oracle("next_batch", _batch("nxt", "next_q", "next_hist"))
+ORACLES["next_batch_indexed"] = ORACLES["next_batch"]
 _oracle(
     "next_batch_requests",
     "SELECT session_id, blueprint, coalesce(shown_state, '0') AS state, batch_type, next_state FROM asked",

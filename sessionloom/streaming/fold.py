@@ -22,7 +22,9 @@ OUTPUT = (
 _STATE = "state int, items array<long>, weights array<double>"
 
 
-def fold_session(key, rows: Iterator[pd.DataFrame], session: GroupState) -> Iterator[pd.DataFrame]:
+def fold_session(
+    key, rows: Iterator[pd.DataFrame], session: GroupState, table: np.ndarray | None
+) -> Iterator[pd.DataFrame]:
     """One session's actions of a micro-batch; its state is its node and its latest signals."""
     # Order matters within a micro-batch, whose size the trigger bounds.
     actions = pd.concat(rows)
@@ -30,6 +32,7 @@ def fold_session(key, rows: Iterator[pd.DataFrame], session: GroupState) -> Iter
     state, items, weights = session.get if session.exists else (None, [], [])
     first = int(actions["first_state"].iloc[0]) if state is None else state
     steps = np.array(actions["step"].tolist(), dtype=np.int32)
+    steps = steps if table is None else table[steps]
     after = prefix_compose(steps, np.array([0]))[:, first]
     before = np.concatenate([[first], after[:-1]])
 
@@ -50,9 +53,13 @@ def signal_stream(
     state before and after each and the size of the session's profile."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     nodes = broadcast_if_small(nodes)
-    resolved = resolve_steps(actions, sessions, nodes, edges, keep=["weight", "item_id"])
+    resolved, table = resolve_steps(actions, sessions, nodes, edges, keep=["weight", "item_id"])
+
+    def fold(key, rows, session):
+        yield from fold_session(key, rows, session, table)
+
     folded = resolved.groupBy("session_id").applyInPandasWithState(
-        fold_session, OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
+        fold, OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
     )
     names = nodes.select("blueprint", "node_ord", "name")
     return (

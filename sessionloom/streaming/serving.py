@@ -15,10 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.config import BATCH_SIZE, stage
+from sessionloom.config import stage
 from sessionloom.operators.profiles import user_embeddings
 from sessionloom.operators.states import session_state_trace
-from sessionloom.plans.batches import serve_requests
+from sessionloom.plans.batches import Options, serve_requests
 from sessionloom.sources.signals import BATCH
 
 STATES = "session_id long, state string, has_embeddings boolean, batch_id int"
@@ -85,11 +85,11 @@ class Server:
         edges: DataFrame,
         topics: DataFrame,
         bias: DataFrame,
-        batch_size: int = BATCH_SIZE,
+        options: Options = Options(),
     ):
         self.tables, self.sessions, self.items = tables, sessions, items
         self.nodes, self.edges, self.topics, self.bias = nodes, edges, topics, bias
-        self.batch_size = batch_size
+        self.options = options
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, tables = batch.sparkSession, self.tables
@@ -122,7 +122,5 @@ class Server:
         seen = log.select("session_id", "item_id").union(served)
         values = self.items.select(F.col("id").alias("item_id"), "history_value")
         history = seen.join(values, "item_id").select("session_id", "history_value")
-        found = serve_requests(
-            requests, profile, self.items, self.topics, self.bias, history, self.batch_size
-        )
+        found = serve_requests(requests, profile, self.items, self.topics, self.bias, history, self.options)
         tables.write(found, "served", batch_id)

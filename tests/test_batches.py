@@ -35,7 +35,7 @@ def test_batches_hold_no_history_and_no_repeats(spark, sf_dir):
     items = w.items(spark, sf_dir)
     seen = w.history(spark, sf_dir)
     asked = w.requests_in(spark, sf_dir, "UNIQUE_JOURNEYS", "Dedicated")
-    found = stage(batches.personalized_batch(asked, w.profile(spark, sf_dir), items, seen, batch_size=7))
+    found = stage(batches.personalized_batch(asked, w.profile(spark, sf_dir), items, seen, batches.Options(batch_size=7)))
     assert found.join(seen.select("session_id", F.col("history_value").alias("id")), ["session_id", "id"]).isEmpty()
     per_session = found.groupBy("session_id").agg(F.count("id").alias("n"), F.count_distinct("id").alias("d"))
     assert per_session.where("n <> d or n > 7").isEmpty() and per_session.count() > 0
@@ -50,6 +50,19 @@ def test_cold_sessions_get_a_random_batch(spark, sf_dir):
     assert sorted(cold.collect()) == sorted(chance.collect()) != []
 
 
+def test_other_metrics(spark, sf_dir):
+    """Items are unit vectors: all metrics rank alike, so MMR picks the same."""
+    asked = w.requests_in(spark, sf_dir, "UNIQUE_JOURNEYS", "Dedicated")
+    asked = asked.withColumn("params", F.col("params").withField("threshold", F.lit(None).cast("double")))
+    profile, items = w.profile(spark, sf_dir), w.items(spark, sf_dir)
+    served = [
+        {(r["session_id"], r["id"]) for r in batches.personalized_batch(asked, profile, items, options=o).collect()}
+        for o in (batches.Options(), batches.Options(metric="euclidean_dist"))
+    ]
+    # A copy of the query ends up first or last by rounding alone; the rest agrees.
+    assert len(served[0] & served[1]) >= 0.9 * len(served[0] | served[1])
+
+
 def test_biased_requests_without_bias_are_rejected(spark, sf_dir):
     asked = w.requests_in(spark, sf_dir, "UNIQUE_JOURNEYS", "Welcome")
     bias = w.bias(asked, w.items(spark, sf_dir)).where("session_id <> 3")
@@ -117,7 +130,7 @@ def test_serving_stream(spark, sf_dir, split_events, tmp_path):
     nodes, edges = w.builtin(spark)
     routed = stage(sessions.route_algorithm(w.sessions(spark, sf_dir)))
     tables = serving.Tables(str(tmp_path)).create(spark)
-    server = serving.Server(tables, routed, items, nodes, edges, w.topics(items), w.bias(routed, items), batch_size=4)
+    server = serving.Server(tables, routed, items, nodes, edges, w.topics(items), w.bias(routed, items), batches.Options(batch_size=4))
 
     def twice(batch, batch_id):
         server(batch, batch_id)
