@@ -30,6 +30,10 @@ QUERY_KEYS = ["session_id", "q_idx"]
 QUERY_RUN = 1024
 EXCLUSIONS_PER_TASK = 1 << 22
 
+# Cells of the score matrix, and pairs scored exactly, that are held at a time.
+TILE_CELLS = 1 << 23
+RESCORE = 1 << 17
+
 
 def score_column(a, b, metric: str):
     """The score of two vectors as an expression."""
@@ -230,10 +234,7 @@ def block_search(queries: pa.Table, items: pa.Table, metric: str, carried: list[
         rows, cols, scores = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     else:
         ks = queries["top_k"].to_numpy()
-        blocked = _blocked_columns(queries, items, skips)
-        step = max(1, (1 << 23) // len(m))
-        pieces = [_best(q[a : a + step], m, ks[a : a + step], metric, blocked, a) for a in range(0, len(q), step)]
-        rows, cols, scores = (np.concatenate(p) for p in zip(*pieces))
+        rows, cols, scores = block_top_k(q, m, ks, metric, _blocked_columns(queries, items, skips))
     out = queries.take(pa.array(rows, pa.int64()))
     columns = {c: out[c] for c in [*QUERY_KEYS, *carried]}
     columns["id"] = items["item_id"].take(pa.array(cols, pa.int64()))
@@ -263,34 +264,63 @@ def _blocked_columns(queries: pa.Table, items: pa.Table, skips: pa.Table) -> lis
     return [columns[s] for s in pc.index_in(queries["session_id"], sessions).to_numpy()]
 
 
-def _best(q, m, ks, metric, blocked, offset):
-    """Row, column and score of each query's best items, ties to the lower position."""
+def block_top_k(q, m, ks, metric, blocked=None):
+    """Row, column and score of each query's best items, ties to the lower column.
+
+    A single-precision product finds what can be among the best, its error bound
+    allowed for; only those pairs are scored in double precision.
+    """
     if metric == "cosine_sim":
-        goodness = np.round(unit_rows(q) @ unit_rows(m).T, SCORE_DECIMALS)
-    elif metric == "dot_product":
-        goodness = np.round(q @ m.T, SCORE_DECIMALS)
-    else:
-        squares = (q * q).sum(1)[:, None] + (m * m).sum(1)[None, :] - 2 * (q @ m.T)
-        goodness = -squares
-    if blocked is not None:
-        for r in range(len(q)):
-            goodness[r, blocked[offset + r]] = -np.inf
-    k = min(int(ks.max()), len(m))
-    floor = -np.partition(-goodness, k - 1, axis=1)[:, k - 1]
+        q, m = unit_rows(q), unit_rows(m)
+    squares = (m * m).sum(1)
+    reach = np.sqrt((q * q).sum(1)) * np.sqrt(squares.max())
     if metric == "euclidean_dist":
-        # The expanded square is inexact; keep all that could be among the best
-        # and measure those directly.
-        slack = 1e-12 * (1 + (q * q).sum(1) + (m * m).sum(1).max()) + 1e-9
-        floor = np.where(np.isfinite(floor), floor - slack, floor)
-    rows, cols = np.nonzero((goodness >= floor[:, None]) & np.isfinite(goodness))
+        reach = 2 * reach + squares.max()
+    slack = (reach * ((q.shape[1] + 4) * 2.4e-7 + 1e-8) + 1e-8).astype(np.float32)
+    q32, m32, squares = q.astype(np.float32), m.astype(np.float32).T, squares.astype(np.float32)
+    step = max(1, TILE_CELLS // len(m))
+    pieces = []
+    for a in range(0, len(q), step):
+        goodness = q32[a : a + step] @ m32
+        if metric == "euclidean_dist":
+            goodness = 2 * goodness - squares
+        if blocked is not None:
+            for r in range(len(goodness)):
+                goodness[r, blocked[a + r]] = -np.inf
+        floor = _kth_best(goodness, int(ks[a : a + step].max())) - slack[a : a + step]
+        rows, cols = np.nonzero(goodness >= floor[:, None])
+        allowed = goodness[rows, cols] > -np.inf
+        rows, cols = rows[allowed] + a, cols[allowed]
+        score = np.concatenate(
+            [np.zeros(0)]
+            + [_scores(q[rows[i : i + RESCORE]], m[cols[i : i + RESCORE]], metric) for i in range(0, len(rows), RESCORE)]
+        )
+        order = np.lexsort((cols, score if metric == "euclidean_dist" else -score, rows))
+        rows, cols, score = rows[order], cols[order], score[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        keep = place < ks[rows]
+        pieces.append((rows[keep], cols[keep], score[keep]))
+    return tuple(np.concatenate(p) for p in zip(*pieces))
+
+
+def _kth_best(goodness: np.ndarray, k: int) -> np.ndarray:
+    """A lower bound of each row's k-th largest value.
+
+    The k-th largest of the maxima of short runs will do, at a fraction of the
+    work of ranking the row.
+    """
+    n = goodness.shape[1]
+    run = min(64, n // (4 * k))
+    if run > 1:
+        runs = n // run
+        goodness = goodness[:, : runs * run].reshape(len(goodness), runs, run).max(axis=2)
+    at = max(goodness.shape[1] - k, 0)
+    return np.partition(goodness, at, axis=1)[:, at]
+
+
+def _scores(q: np.ndarray, m: np.ndarray, metric: str) -> np.ndarray:
     if metric == "euclidean_dist":
-        score = np.round(np.sqrt(((q[rows] - m[cols]) ** 2).sum(1)), SCORE_DECIMALS)
-        key = score
+        raw = np.sqrt(((q - m) ** 2).sum(1))
     else:
-        score = goodness[rows, cols]
-        key = -score
-    order = np.lexsort((cols, key, rows))
-    rows, cols, score = rows[order], cols[order], score[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    keep = place < ks[rows]
-    return rows[keep] + offset, cols[keep], score[keep]
+        raw = np.einsum("ij,ij->i", q, m)
+    return np.round(raw, SCORE_DECIMALS)
