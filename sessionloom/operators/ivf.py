@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from sessionloom.config import BLOCK_FLOATS, broadcast_if_small, stage
 from sessionloom.functions import vectors as V
-from sessionloom.operators.knn import QUERY_KEYS, QUERY_RUN, best_first, matrix, search_units, unit_rows
+from sessionloom.operators.knn import QUERY_KEYS, QUERY_RUN, TILE_CELLS, best_first, matrix, search_units, unit_rows
 from sessionloom.operators.skew import salted_join
 from sessionloom.sources.items import embedding_width
 
@@ -65,12 +65,11 @@ def build_index(
     )
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                d = distances(prepared(batch["embedding"], metric), centroids)
-                cell = d.argmin(1)
-                columns = [pa.array(cell, pa.int32()), pa.array(d[np.arange(len(d)), cell])]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
+        for batch in tiles(batches, len(centroids)):
+            d = distances(prepared(batch["embedding"], metric), centroids)
+            cell = d.argmin(1)
+            columns = [pa.array(cell, pa.int32()), pa.array(d[np.arange(len(d)), cell])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
 
     assigned = stage(base.mapInArrow(assign, schema))
     rows = max(block_floats // max(embedding_width(items), 1), 1)
@@ -124,18 +123,26 @@ def ivf_join(queries: DataFrame, index: Index, n_probe: int | None = None, exclu
     return ranked.where(F.col("rank") <= F.col("top_k"))
 
 
-def _map_cells(queries: DataFrame, schema: T.StructType, choose, metric: str) -> DataFrame:
+def tiles(batches: Iterator[pa.RecordBatch], n_cells: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their distances to all cells fit in memory."""
+    step = max(1, TILE_CELLS // n_cells)
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
+def _map_cells(queries: DataFrame, schema: T.StructType, choose, index: Index) -> DataFrame:
     """Replace or add the column ``cells`` by a function of a batch and its vectors."""
+    metric, n_cells = index.metric, len(index.centroids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                chosen = choose(batch, prepared(batch["embedding"], metric))
-                rows, cells = np.nonzero(chosen)
-                offsets = np.searchsorted(rows, np.arange(len(chosen) + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells, pa.int32()))
-                columns = [lists if n == "cells" else batch[n] for n in schema.names]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        for batch in tiles(batches, n_cells):
+            chosen = choose(batch, prepared(batch["embedding"], metric))
+            rows, cells = np.nonzero(chosen)
+            offsets = np.searchsorted(rows, np.arange(len(chosen) + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells, pa.int32()))
+            columns = [lists if n == "cells" else batch[n] for n in schema.names]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return queries.mapInArrow(run, schema)
 
@@ -169,7 +176,7 @@ def _probe_first(queries: DataFrame, index: Index, n_probe: int | None, exclude:
         np.put_along_axis(chosen, order, take & (ordered > 0), axis=1)
         return chosen
 
-    return _map_cells(queries, _with_cells(queries.schema, drop), choose, index.metric)
+    return _map_cells(queries, _with_cells(queries.schema, drop), choose, index)
 
 
 def _probe_rest(limited: DataFrame, index: Index) -> DataFrame:
@@ -188,7 +195,7 @@ def _probe_rest(limited: DataFrame, index: Index) -> DataFrame:
         chosen[row, visited.flatten().to_numpy()] = False
         return chosen
 
-    return _map_cells(limited, _with_cells(limited.schema, ("limit",)), choose, metric)
+    return _map_cells(limited, _with_cells(limited.schema, ("limit",)), choose, index)
 
 
 def _search_cells(probes: DataFrame, index: Index, exclude: DataFrame | None) -> DataFrame:

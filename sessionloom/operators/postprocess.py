@@ -72,7 +72,7 @@ def shuffle_pool(candidates: DataFrame, seed: int = 0) -> DataFrame:
     return candidates.withColumn("position", F.row_number().over(order))
 
 
-def take_batch(shuffled: DataFrame, batch_size: int) -> DataFrame:
+def take_batch(shuffled: DataFrame, batch_size: int | Column) -> DataFrame:
     return shuffled.where(F.col("position") <= batch_size)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sessionloom.config import SCORE_DECIMALS, USER_EMBEDDINGS_LAST_N, broadcast_if_small, default_parallelism, local_table
@@ -150,11 +150,14 @@ def sampled_profile(requests: DataFrame, topics: DataFrame, seed: int = 0) -> Da
     )
 
 
-def random_profile(requests: DataFrame, dim: int, n: int, seed: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
+def random_profile(
+    requests: DataFrame, dim: int, n: int | Column, seed: int = 0, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """``n`` random unit vectors for each request; ``keep`` names request columns to carry."""
     # A request is a short row but much work: spread it before it grows.
     spread = requests.repartition(default_parallelism(requests.sparkSession), "session_id")
-    rows = spread.select("session_id", *keep, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("q_idx"))
+    last = (n if isinstance(n, Column) else F.lit(n)).cast("int") - 1
+    rows = spread.select("session_id", *keep, F.explode(F.sequence(F.lit(0), last)).alias("q_idx"))
     drawn = rows.withColumn("_u", V.uniforms(dim, seed, F.col("session_id"), F.col("q_idx")))
     return drawn.select("session_id", "q_idx", V.unit(F.col("_u")).alias("embedding"), F.lit(1.0).alias("weight"), *keep)
 

@@ -11,12 +11,11 @@ from sessionloom.config import default_parallelism
 def hot_keys(df: DataFrame, key: str, shares: int) -> DataFrame:
     """Keys holding more than ``1/shares`` of the rows: fewer than ``shares`` rows,
     each with the number of slices its rows are to be cut into."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg((F.count(F.lit(1)) / F.lit(shares)).alias("_per_slice"))
-    return (
-        counts.join(F.broadcast(total), F.col("_n") > F.col("_per_slice"))
-        .select(key, F.ceil(F.col("_n") / F.col("_per_slice")).cast("int").alias("_slices"))
-    )
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
+    # One row, attached by a constant key.
+    total = counts.groupBy("_one").agg((F.sum("_n") / F.lit(shares)).alias("_per_slice"))
+    hot = counts.join(F.broadcast(total), "_one").where(F.col("_n") > F.col("_per_slice"))
+    return hot.select(key, F.ceil(F.col("_n") / F.col("_per_slice")).cast("int").alias("_slices"))
 
 
 def salted_join(facts: DataFrame, dims: DataFrame, key: str, spread: list[str], how: str = "inner") -> DataFrame:

@@ -1,6 +1,6 @@
 """The batches a session can be served, for all sessions at once.
 
-Requests are ``(session_id, params[, ...])`` with a node's typed parameters; the
+Requests are ``(session_id, params[, batch_size])`` with a node's typed parameters; the
 result is ``served(session_id, position, id, score, q_idx)``. One search serves
 all requests, whatever their batch type. Profiles, topics and histories are read
 more than once, so they should be tables.
@@ -36,6 +36,7 @@ _QUERY_COLUMNS = [
     "threshold",
     "apply_mmr",
     "remove_duplicates",
+    "batch_size",
 ]
 
 
@@ -56,10 +57,17 @@ class Options:
     search: Callable[..., DataFrame] | None = None
 
 
+def _sized(requests: DataFrame, batch_size: int) -> DataFrame:
+    """Requests with their parameters and batch size: their own, or the given one."""
+    own = F.col("batch_size") if "batch_size" in requests.columns else F.lit(batch_size)
+    return requests.select("session_id", "params", own.cast("int").alias("batch_size"))
+
+
 def budgeted_queries(profile: DataFrame, requests: DataFrame, batch_size: int) -> DataFrame:
     """Queries of a weighted profile with budgets and the node's parameters."""
-    weighted = adjust_weights(profile, batch_size).join(requests.select("session_id", "params"), "session_id")
-    p = weighted.select(
+    asked = profile.join(_sized(requests, batch_size), "session_id")
+    p = adjust_weights(asked, F.col("batch_size")).select(
+        "batch_size",
         "session_id",
         "q_idx",
         V.as_double("embedding").alias("embedding"),
@@ -74,7 +82,8 @@ def budgeted_queries(profile: DataFrame, requests: DataFrame, batch_size: int) -
 def random_batch_queries(requests: DataFrame, dim: int, batch_size: int, seed: int) -> DataFrame:
     """Random queries: neither threshold nor MMR, whatever the node says."""
     top_k = 2 * MINIMUM_TOPK
-    return profiles.random_profile(requests, dim, batch_size, seed, keep=("params",)).select(
+    asked = _sized(requests, batch_size)
+    return profiles.random_profile(asked, dim, F.col("batch_size"), seed, keep=("params", "batch_size")).select(
         "session_id",
         "q_idx",
         "embedding",
@@ -83,6 +92,7 @@ def random_batch_queries(requests: DataFrame, dim: int, batch_size: int, seed: i
         F.lit(None).cast("double").alias("threshold"),
         F.lit(False).alias("apply_mmr"),
         "params.remove_duplicates",
+        "batch_size",
     )
 
 
@@ -96,7 +106,7 @@ def serve(queries: DataFrame, items: DataFrame, options: Options, exclude: DataF
     # MMR and the rest branch from the search; it is run once.
     candidates = stage(search(stage(queries), exclude=exclude))
     pool = apply_params(candidates, items, options.metric, options.seed, options.mmr_seed)
-    batch = take_batch(pool, options.batch_size)
+    batch = take_batch(pool, F.col("batch_size"))
     return batch.select("session_id", "position", "id", "score", "q_idx")
 
 

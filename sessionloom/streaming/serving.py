@@ -6,6 +6,7 @@ repeated micro-batch replaces what its first try wrote:
 ``states``   node of each session the micro-batch touched
 ``signals``  its signals
 ``served``   the batches it served
+``late``     actions that came too late to be replayed, if lateness is limited
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from sessionloom.sources.signals import BATCH
 
 STATES = "session_id long, state string, has_embeddings boolean, batch_id int"
 SIGNALS = "session_id long, ts timestamp, seq long, label string, weight double, item_id long, batch_id int"
+LATE = "session_id long, ts timestamp, seq long, action string, batch_id int"
 SERVED = "session_id long, position int, id long, score double, q_idx int, batch_id int"
 
 
@@ -43,7 +45,7 @@ class Tables:
 
     def create(self, spark: SparkSession) -> "Tables":
         """Empty tables, as micro-batch -1."""
-        for name, schema in (("states", STATES), ("signals", SIGNALS), ("served", SERVED)):
+        for name, schema in (("states", STATES), ("signals", SIGNALS), ("served", SERVED), ("late", LATE)):
             empty = spark.createDataFrame([], schema).drop("batch_id")
             self.write(empty.coalesce(1), name, -1)
         return self
@@ -86,14 +88,15 @@ class Server:
         topics: DataFrame,
         bias: DataFrame,
         options: Options = Options(),
+        lateness: str | None = None,
     ):
         self.tables, self.sessions, self.items = tables, sessions, items
         self.nodes, self.edges, self.topics, self.bias = nodes, edges, topics, bias
-        self.options = options
+        self.options, self.lateness = options, lateness
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, tables = batch.sparkSession, self.tables
-        actions = stage(batch)
+        actions = self.on_time(stage(batch), batch_id)
         previous = latest_states(tables.read(spark, "states", STATES, before=batch_id))
         known = previous.select("session_id", F.col("state").alias("_state"))
         current = self.sessions.join(known, "session_id", "left")
@@ -104,6 +107,19 @@ class Server:
         self.serve(trace, batch_id)
         update_states(tables, trace, previous, batch_id)
 
+    def on_time(self, actions: DataFrame, batch_id: int) -> DataFrame:
+        """Set aside actions older than the newest signal of earlier micro-batches allows."""
+        if self.lateness is None:
+            return actions
+        earlier = self.tables.read(actions.sparkSession, "signals", SIGNALS, before=batch_id)
+        newest = earlier.agg(F.max("ts")).first()[0]
+        if newest is None:
+            return actions
+        oldest = F.lit(newest) - F.expr(f"INTERVAL {self.lateness}")
+        late = actions.where(F.col("ts") < oldest)
+        self.tables.write(late.select("session_id", "ts", "seq", "action"), "late", batch_id)
+        return actions.where(F.col("ts") >= oldest)
+
     def serve(self, trace: DataFrame, batch_id: int) -> None:
         """One batch for each session that asked, as of its last request."""
         spark, tables = trace.sparkSession, self.tables

@@ -59,8 +59,36 @@ def test_other_metrics(spark, sf_dir):
         {(r["session_id"], r["id"]) for r in batches.personalized_batch(asked, profile, items, options=o).collect()}
         for o in (batches.Options(), batches.Options(metric="euclidean_dist"))
     ]
-    # A copy of the query ends up first or last by rounding alone; the rest agrees.
-    assert len(served[0] & served[1]) >= 0.9 * len(served[0] | served[1])
+    assert served[0] == served[1] != set()
+
+
+def test_batch_size_of_each_request(spark, sf_dir):
+    asked = w.requests_in(spark, sf_dir, "UNIQUE_JOURNEYS", "Dedicated")
+    asked = asked.withColumn("batch_size", F.when(F.col("session_id") % 2 == 0, 3).otherwise(12))
+    items, profile = w.items(spark, sf_dir), w.profile(spark, sf_dir)
+    found = stage(batches.personalized_batch(asked, profile, items))
+    for size, rest in ((3, 0), (12, 1)):
+        mine = F.col("session_id") % 2 == rest
+        alone = batches.personalized_batch(asked.where(mine).drop("batch_size"), profile, items, options=batches.Options(size))
+        assert sorted(found.where(mine).collect()) == sorted(alone.collect()) != []
+    chance = batches.random_batch(asked, items).groupBy("session_id").count()
+    assert {(r["session_id"] % 2, r["count"]) for r in chance.collect()} == {(0, 3), (1, 12)}
+
+
+def test_late_actions_are_set_aside(spark, sf_dir, tmp_path):
+    items = w.items(spark, sf_dir)
+    nodes, edges = w.builtin(spark)
+    routed = stage(sessions.route_algorithm(w.sessions(spark, sf_dir)))
+    tables = serving.Tables(str(tmp_path)).create(spark)
+    server = serving.Server(
+        tables, routed, items, nodes, edges, w.topics(items), w.bias(routed, items), lateness="1 DAY"
+    )
+    log = w.valid_actions(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    late = F.dayofmonth("ts") < 5
+    server(log.where(F.dayofmonth("ts") == 10), 0)
+    server(log.where((F.dayofmonth("ts") == 11) | late), 1)
+    assert tables.read(spark, "late", serving.LATE).count() == log.where(late).count() > 0
+    assert tables.read(spark, "signals", serving.SIGNALS).where("dayofmonth(ts) < 5").isEmpty()
 
 
 def test_biased_requests_without_bias_are_rejected(spark, sf_dir):
