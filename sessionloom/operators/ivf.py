@@ -21,7 +21,16 @@ from pyspark.sql import types as T
 
 from sessionloom.config import BLOCK_FLOATS, broadcast_if_small, stage
 from sessionloom.functions import vectors as V
-from sessionloom.operators.knn import QUERY_KEYS, QUERY_RUN, TILE_CELLS, best_first, matrix, search_units, unit_rows
+from sessionloom.operators.knn import (
+    QUERY_KEYS,
+    QUERY_RUN,
+    TILE_CELLS,
+    best_first,
+    matching_types,
+    matrix,
+    search_units,
+    unit_rows,
+)
 from sessionloom.operators.skew import salted_join
 from sessionloom.sources.items import embedding_width
 
@@ -105,7 +114,7 @@ def distances(m: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 def ivf_join(queries: DataFrame, index: Index, n_probe: int | None = None, exclude: DataFrame | None = None) -> DataFrame:
     """Top-k join through the index; arguments and result as ``knn_join``."""
     if exclude is not None:
-        exclude = stage(exclude.select("session_id", "history_value").distinct())
+        exclude = stage(matching_types(exclude, queries, index.items).distinct())
     first = stage(_probe_first(queries, index, n_probe, exclude))
     found = _search_cells(first, index, exclude)
     if n_probe is not None:

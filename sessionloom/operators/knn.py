@@ -109,7 +109,7 @@ def knn_join(
     if exclude is not None:
         runs = F.sequence(F.lit(0).cast("long"), F.lit(max_q // QUERY_RUN).cast("long"))
         skips = (
-            exclude.select("session_id", "history_value")
+            matching_types(exclude, queries, items)
             .distinct()
             .withColumn("h", _hash_unit(n_hash))
             .withColumn("run", F.explode(runs))
@@ -174,6 +174,14 @@ def search_units(
     return ranked.where(F.col("rank") <= F.col("top_k")).select(*QUERY_KEYS, "rank", "id", "score", *carried)
 
 
+def matching_types(exclude: DataFrame, queries: DataFrame, items: DataFrame) -> DataFrame:
+    """Exclusions in the types of the columns they are hashed and compared with."""
+    return exclude.select(
+        F.col("session_id").cast(queries.schema["session_id"].dataType).alias("session_id"),
+        F.col("history_value").cast(items.schema["history_value"].dataType).alias("history_value"),
+    )
+
+
 def _hash_unit(n: int):
     return F.pmod(F.xxhash64("history_value"), F.lit(n)).cast("int")
 
