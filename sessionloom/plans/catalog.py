@@ -729,10 +729,10 @@ def _serving_tables(spark, sf_dir) -> serving.Tables:
 @query
 def update_state(spark, sf_dir):
     tables = _serving_tables(spark, sf_dir)
-    return serving.latest_states(tables.read(spark, "states", serving.STATES))
+    return serving.latest_states(tables.read(spark, "states"))
 
 
 @query
 def batch_stream(spark, sf_dir):
     tables = _serving_tables(spark, sf_dir)
-    return served(tables.read(spark, "served", serving.SERVED))
+    return served(tables.read(spark, "served"))

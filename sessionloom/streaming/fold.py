@@ -15,11 +15,11 @@ from sessionloom.sources.signals import BATCH
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-OUTPUT = (
-    "session_id long, ts timestamp, seq long, action string, blueprint string, "
+_OUTPUT = (
+    "session_id {session}, ts timestamp, seq long, action string, blueprint string, "
     "state_ord int, next_ord int, has_embeddings boolean, profile_size int"
 )
-_STATE = "state int, items array<long>, weights array<double>"
+_STATE = "state int, items array<{item}>, weights array<double>"
 
 
 def fold_session(
@@ -38,7 +38,7 @@ def fold_session(
 
     signal = (actions["action"] != BATCH).to_numpy()
     seen = len(items) + np.cumsum(signal)
-    items = (list(items) + actions["item_id"].to_numpy()[signal].astype(int).tolist())[-USER_EMBEDDINGS_LAST_N:]
+    items = (list(items) + actions["item_id"].to_numpy()[signal].tolist())[-USER_EMBEDDINGS_LAST_N:]
     weights = (list(weights) + actions["weight"].to_numpy()[signal].tolist())[-USER_EMBEDDINGS_LAST_N:]
     session.update((int(after[-1]), items, weights))
     columns = {c: actions[c].to_numpy() for c in ("session_id", "ts", "seq", "action", "blueprint")}
@@ -46,6 +46,10 @@ def fold_session(
     yield pd.DataFrame({**columns, "profile_size": np.minimum(seen, USER_EMBEDDINGS_LAST_N)})
 
 
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
 def signal_stream(
     spark: SparkSession, actions: DataFrame, sessions: DataFrame, nodes: DataFrame, edges: DataFrame
 ) -> DataFrame:
@@ -58,8 +62,9 @@ def signal_stream(
     def fold(key, rows, session):
         yield from fold_session(key, rows, session, table)
 
+    types = {"session": _type(actions, "session_id"), "item": _type(actions, "item_id")}
     folded = resolved.groupBy("session_id").applyInPandasWithState(
-        fold, OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
+        fold, _OUTPUT.format(**types), _STATE.format(**types), "append", GroupStateTimeout.NoTimeout
     )
     names = nodes.select("blueprint", "node_ord", "name")
     return (

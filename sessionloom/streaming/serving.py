@@ -22,21 +22,28 @@ from sessionloom.operators.states import session_state_trace
 from sessionloom.plans.batches import Options, serve_requests
 from sessionloom.sources.signals import BATCH
 
-STATES = "session_id long, state string, has_embeddings boolean, batch_id int"
-SIGNALS = "session_id long, ts timestamp, seq long, label string, weight double, item_id long, batch_id int"
-LATE = "session_id long, ts timestamp, seq long, action string, batch_id int"
-SERVED = "session_id long, position int, id long, score double, q_idx int, batch_id int"
+SCHEMAS = {
+    "states": "session_id {session}, state string, has_embeddings boolean",
+    "signals": "session_id {session}, ts timestamp, seq long, label string, weight double, item_id {item}",
+    "served": "session_id {session}, position int, id {item}, score double, q_idx int",
+    "late": "session_id {session}, ts timestamp, seq long, action string",
+}
 
 
 @dataclass
 class Tables:
-    """The tables of one serving stream."""
+    """The tables of one serving stream; ids of sessions and items are of the given types."""
 
     root: str
+    session: str = "long"
+    item: str = "long"
 
-    def read(self, spark: SparkSession, name: str, schema: str, before: int | None = None) -> DataFrame:
+    def schema(self, name: str) -> str:
+        return SCHEMAS[name].format(session=self.session, item=self.item)
+
+    def read(self, spark: SparkSession, name: str, before: int | None = None) -> DataFrame:
         """Rows of all micro-batches, or of those before one."""
-        written = spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
+        written = spark.read.schema(self.schema(name) + ", batch_id int").option("basePath", f"{self.root}/{name}")
         rows = written.option("ignoreMissingFiles", "true").parquet(f"{self.root}/{name}")
         return rows if before is None else rows.where(F.col("batch_id") < before)
 
@@ -45,9 +52,8 @@ class Tables:
 
     def create(self, spark: SparkSession) -> "Tables":
         """Empty tables, as micro-batch -1."""
-        for name, schema in (("states", STATES), ("signals", SIGNALS), ("served", SERVED), ("late", LATE)):
-            empty = spark.createDataFrame([], schema).drop("batch_id")
-            self.write(empty.coalesce(1), name, -1)
+        for name in SCHEMAS:
+            self.write(spark.createDataFrame([], self.schema(name)).coalesce(1), name, -1)
         return self
 
 
@@ -60,7 +66,7 @@ def latest_states(states: DataFrame) -> DataFrame:
 
 def compact_states(spark: SparkSession, tables: Tables, upto: int, target: "Tables") -> None:
     """Write the states after micro-batch ``upto`` as the start of new tables."""
-    target.write(latest_states(tables.read(spark, "states", STATES, before=upto + 1)), "states", -1)
+    target.write(latest_states(tables.read(spark, "states", before=upto + 1)), "states", -1)
 
 
 def update_states(tables: Tables, trace: DataFrame, previous: DataFrame, batch_id: int) -> None:
@@ -97,7 +103,7 @@ class Server:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, tables = batch.sparkSession, self.tables
         actions = self.on_time(stage(batch), batch_id)
-        previous = latest_states(tables.read(spark, "states", STATES, before=batch_id))
+        previous = latest_states(tables.read(spark, "states", before=batch_id))
         known = previous.select("session_id", F.col("state").alias("_state"))
         current = self.sessions.join(known, "session_id", "left")
         current = current.withColumn("state", F.coalesce("_state", "state")).drop("_state")
@@ -111,7 +117,7 @@ class Server:
         """Set aside actions older than the newest signal of earlier micro-batches allows."""
         if self.lateness is None:
             return actions
-        earlier = self.tables.read(actions.sparkSession, "signals", SIGNALS, before=batch_id)
+        earlier = self.tables.read(actions.sparkSession, "signals", before=batch_id)
         newest = earlier.agg(F.max("ts")).first()[0]
         if newest is None:
             return actions
@@ -127,14 +133,14 @@ class Server:
         asked = trace.where(F.col("action") == BATCH).groupBy("session_id")
         last = asked.agg(F.max_by(F.struct("batch_type", "params", order.alias("at")), order).alias("r"))
         last = stage(last.select("session_id", "r.batch_type", "r.params", "r.at"))
-        signals = tables.read(spark, "signals", SIGNALS, before=batch_id + 1)
+        signals = tables.read(spark, "signals", before=batch_id + 1)
         log = signals.join(last.select("session_id", "at"), "session_id").where(order < F.col("at"))
         log = stage(log.drop("at", "batch_id"))
         profile = stage(user_embeddings(log, self.items))
         warm = profile.select("session_id").distinct().withColumn("has_embeddings", F.lit(True))
         requests = last.drop("at").join(warm, "session_id", "left")
         requests = stage(requests.withColumn("has_embeddings", F.coalesce("has_embeddings", F.lit(False))))
-        served = tables.read(spark, "served", SERVED, before=batch_id).select("session_id", F.col("id").alias("item_id"))
+        served = tables.read(spark, "served", before=batch_id).select("session_id", F.col("id").alias("item_id"))
         seen = log.select("session_id", "item_id").union(served)
         values = self.items.select(F.col("id").alias("item_id"), "history_value")
         history = seen.join(values, "item_id").select("session_id", "history_value")

@@ -87,8 +87,8 @@ def test_late_actions_are_set_aside(spark, sf_dir, tmp_path):
     late = F.dayofmonth("ts") < 5
     server(log.where(F.dayofmonth("ts") == 10), 0)
     server(log.where((F.dayofmonth("ts") == 11) | late), 1)
-    assert tables.read(spark, "late", serving.LATE).count() == log.where(late).count() > 0
-    assert tables.read(spark, "signals", serving.SIGNALS).where("dayofmonth(ts) < 5").isEmpty()
+    assert tables.read(spark, "late").count() == log.where(late).count() > 0
+    assert tables.read(spark, "signals").where("dayofmonth(ts) < 5").isEmpty()
 
 
 def test_biased_requests_without_bias_are_rejected(spark, sf_dir):
@@ -165,14 +165,43 @@ def test_serving_stream(spark, sf_dir, split_events, tmp_path):
         server(batch, batch_id)
 
     events.run_available(action_stream(spark, sf_dir, split_events), twice, "serving")
-    states = serving.latest_states(tables.read(spark, "states", serving.STATES))
+    states = serving.latest_states(tables.read(spark, "states"))
     expected = w.current_sessions(spark, sf_dir).select("session_id", "state", "has_embeddings")
     assert sorted(states.collect()) == sorted(expected.collect())
-    assert tables.read(spark, "signals", serving.SIGNALS).count() == w.signals_log(spark, sf_dir).count()
-    served = tables.read(spark, "served", serving.SERVED)
+    assert tables.read(spark, "signals").count() == w.signals_log(spark, sf_dir).count()
+    served = tables.read(spark, "served")
     assert served.select("batch_id").distinct().count() == 3
     assert served.groupBy("session_id", "batch_id").count().where("count > 4").isEmpty()
 
     compact = serving.Tables(str(tmp_path / "compact")).create(spark)
     serving.compact_states(spark, tables, 2, compact)
-    assert sorted(serving.latest_states(compact.read(spark, "states", serving.STATES)).collect()) == sorted(states.collect())
+    assert sorted(serving.latest_states(compact.read(spark, "states")).collect()) == sorted(states.collect())
+
+
+def test_text_ids(spark, sf_dir, tmp_path):
+    """Ids of sessions and items may be texts."""
+    items = w.items(spark, sf_dir)
+    named = items.withColumn("id", F.concat(F.lit("i"), "id")).withColumn("history_value", F.col("id"))
+    nodes, edges = w.builtin(spark)
+    asked = w.sessions(spark, sf_dir).withColumn("session_id", F.concat(F.lit("s"), "session_id"))
+    routed = stage(sessions.route_algorithm(asked))
+    log = w.valid_actions(spark, sf_dir).withColumns(
+        {
+            "ts": F.col("ts").cast("timestamp"),
+            "session_id": F.concat(F.lit("s"), "session_id"),
+            "item_id": F.concat(F.lit("i"), "item_id"),
+        }
+    )
+    path = str(tmp_path / "log")
+    log.write.parquet(path)
+    tables = serving.Tables(str(tmp_path / "tables"), "string", "string").create(spark)
+    # Topics and bias vectors are ids-free copies of the numbered items' ones.
+    server = serving.Server(tables, routed, named, nodes, edges, w.topics(items), w.bias(routed, items))
+    server(spark.read.parquet(path), 0)
+    served = tables.read(spark, "served")
+    assert served.count() > 0 and served.where("id NOT LIKE 'i%' OR session_id NOT LIKE 's%'").isEmpty()
+
+    stream = events.read_stream(spark, path, log.schema)
+    folded = fold.signal_stream(spark, stream, routed, nodes, edges)
+    events.run_available(folded, events.table_sink(str(tmp_path / "out")), "fold")
+    assert spark.read.parquet(str(tmp_path / "out")).count() == log.count()
