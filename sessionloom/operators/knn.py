@@ -278,6 +278,9 @@ def block_top_k(q, m, ks, metric, blocked=None):
     A single-precision product finds what can be among the best, its error bound
     allowed for; only those pairs are scored in double precision.
     """
+    # Items with NaN or infinite components cannot be scored; they are never found.
+    broken = ~np.isfinite(m).all(axis=1)
+    q, m = np.nan_to_num(q, posinf=0, neginf=0), np.where(broken[:, None], 0, m)
     if metric == "cosine_sim":
         q, m = unit_rows(q), unit_rows(m)
     squares = (m * m).sum(1)
@@ -292,10 +295,12 @@ def block_top_k(q, m, ks, metric, blocked=None):
         goodness = q32[a : a + step] @ m32
         if metric == "euclidean_dist":
             goodness = 2 * goodness - squares
+        if broken.any():
+            goodness[:, broken] = -np.inf
         if blocked is not None:
             for r in range(len(goodness)):
                 goodness[r, blocked[a + r]] = -np.inf
-        floor = _kth_best(goodness, int(ks[a : a + step].max())) - slack[a : a + step]
+        floor = _kth_best(goodness, max(int(ks[a : a + step].max()), 1)) - slack[a : a + step]
         rows, cols = np.nonzero(goodness >= floor[:, None])
         allowed = goodness[rows, cols] > -np.inf
         rows, cols = rows[allowed] + a, cols[allowed]

@@ -75,7 +75,11 @@ def resolve_steps(
         placed = wanted.join(states, "session_id")
     else:
         placed = salted_join(wanted, states, "session_id", ["ts", "seq"])
-    found = placed.join(own, ["blueprint", "action"], "left").join(default, "blueprint", "left")
+    if table is None and not actions.isStreaming:
+        found = salted_join(placed, own, ["blueprint", "action"], ["session_id", "seq"], "left")
+        found = salted_join(found, default, "blueprint", ["session_id", "seq"], "left")
+    else:
+        found = placed.join(own, ["blueprint", "action"], "left").join(default, "blueprint", "left")
     return found.withColumn("step", F.coalesce("_own", "_default")).drop("_own", "_default"), table
 
 

@@ -131,6 +131,26 @@ def test_trace_of_sessions_that_span_partitions(spark):
     assert sorted((r["session_id"], r["seq"], r["state"], r["next_state"]) for r in trace) == sorted(expected)
 
 
+def test_trace_with_many_blueprints(spark, monkeypatch):
+    """Where blueprints are too many to be broadcast, rows carry their step functions."""
+    from sessionloom import config
+
+    nodes, edges, _ = load(spark, **{f"bp{i}": TWO_NODES for i in range(30)})
+    monkeypatch.setattr(config.broadcast_if_small, "__defaults__", (10,))
+    rng = np.random.default_rng(4)
+    rows, expected = [], []
+    for s in range(60):
+        actions = rng.choice(["BATCH", "LIKE", "NEW_SIGNAL"], 20).tolist()
+        rows += [(s, t, t, a) for t, a in enumerate(actions)]
+        expected += [(s, t, *x) for t, x in enumerate(walk(TWO_NODES, actions))]
+    log = local_table(spark, rows, "session_id long, ts long, seq long, action string")
+    # A third of the sessions shares one blueprint.
+    names = [(s, f"bp{0 if s % 3 == 0 else s % 30}", "0") for s in range(60)]
+    who = local_table(spark, names, "session_id long, blueprint string, state string")
+    trace = states.session_state_trace(log, who, nodes, edges).collect()
+    assert sorted((r["session_id"], r["seq"], r["state"], r["next_state"]) for r in trace) == sorted(expected)
+
+
 def test_trace_starts_in_the_stored_state(spark):
     nodes, edges, _ = load(spark, bp=TWO_NODES)
     log = local_table(spark, [(1, 1, 1, "BATCH")], "session_id long, ts long, seq long, action string")

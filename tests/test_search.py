@@ -100,6 +100,31 @@ def test_fewer_items_than_asked_for(spark):
     assert found(knn.knn_join(query_table(spark, q, top_k), item_table(spark, m))) == expected(q, m, "cosine_sim", top_k)
 
 
+@pytest.mark.parametrize("metric", knn.METRICS)
+def test_broken_items_are_never_found(spark, metric):
+    m, q = vectors(40), vectors(4, 1)
+    m[5, 2], m[6, 0], m[7, 1] = np.nan, np.inf, -np.inf
+    top_k = np.array([10, 3, 40, 1])
+    got = knn.knn_join(query_table(spark, q, top_k), item_table(spark, m), metric)
+    m[5:8] = 1
+    assert found(got) == expected(q, m, metric, top_k, lambda s, j: j in (5, 6, 7))
+
+
+def test_large_blocks(spark):
+    """Runs of maxima are used from some hundred items on."""
+    m, q = vectors(3000), vectors(40, 1)
+    m[1000:2000] = m[1000]
+    q[:10] = m[1000]
+    top_k = np.arange(40) % 12 + 1
+    for metric in knn.METRICS:
+        rows, cols, score = knn.block_top_k(q.astype(float), m.astype(float), top_k, metric)
+        exact = scores(q, m, metric)
+        for i in range(40):
+            order = np.lexsort((np.arange(3000), exact[i] if metric == "euclidean_dist" else -exact[i]))[: top_k[i]]
+            np.testing.assert_array_equal(cols[rows == i], order)
+            np.testing.assert_allclose(score[rows == i], exact[i][order], atol=2e-9)
+
+
 def test_no_queries(spark):
     none = query_table(spark, vectors(4), np.full(4, 2)).where("session_id < 0")
     assert knn.knn_join(none, item_table(spark, vectors(10))).count() == 0
