@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import decision_list
+from sessionloom.llm import best_fit, decision_list
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,5 +20,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules,)}
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op6_best_fit_packing)}
 ORACLES: dict[str, str] = {}
