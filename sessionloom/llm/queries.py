@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import best_fit, decision_list
+from sessionloom.llm import best_fit, chosen_path, decision_list
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = decision_list.fit_rules(docs, table(spark, sf_dir, "labels"))
@@ -30,5 +34,5 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op6_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_chosen_path, op2_quality_rules, op6_best_fit_packing)}
 ORACLES: dict[str, str] = {}
