@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import best_fit, chosen_path, decision_list
+from sessionloom.llm import best_fit, chosen_path, decision_list, phrase_automata
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_automata.digest(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -34,5 +38,5 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chosen_path, op2_quality_rules, op6_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_chosen_path, op2_quality_rules, op5_phrase_automata, op6_best_fit_packing)}
 ORACLES: dict[str, str] = {}

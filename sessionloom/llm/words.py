@@ -129,6 +129,18 @@ class Words:
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_WORD_BASE, len(hashes)), dtype=np.uint64)])
             return at, mix((sums[at + n] - sums[at]) * _powers(inverse, len(hashes))[at])
 
+    def sequences(self, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of the words ``begin[i]:end[i]``, the same wherever they stand."""
+        inverse = pow(_WORD_BASE, -1, 1 << 64)
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_WORD_BASE, len(hashes)), dtype=np.uint64)])
+            shift = _powers(inverse, len(hashes) + 1)[begin]
+            return mix((sums[end] - sums[begin]) * shift + mix((end - begin).astype(np.uint64)))
+
+    def identities(self, hashes: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of each text's words."""
+        return self.sequences(hashes, self.first[:-1], self.first[1:])
+
 
 def covered(n: int, starts: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
     """Which of ``n`` places lie in any of the given runs."""
