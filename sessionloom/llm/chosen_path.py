@@ -293,3 +293,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, trees: int = TREES) -> D
     out = sigs.drop("sig").join(named, ["n_shingles", "h1", "h2"], "left")
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, trees: int = TREES) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates; rows without id stay."""
+    kept = near_duplicates(docs, percent, trees).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))

@@ -22,7 +22,7 @@ FIT_ROWS = 20_000
 REPEAT_WORDS = 8
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_punct"]
-STATS_SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS)
+COUNTS_SCHEMA = ", ".join(f"{c} long" for c in COUNTS)
 
 #: Statistics the rules may test, as SQL over the counts.
 FEATURES = {
@@ -70,6 +70,7 @@ def _repeated(words: Words) -> np.ndarray:
 
 
 def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts after the columns that are there."""
     for batch in batches:
         for part in text_slices(batch):
             texts = part.column("text")
@@ -80,7 +81,6 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             marked[1:] = (words.data[:-1] == 0xC3) & (words.data[1:] <= 0x9E) & ~lead[1:]
             lines = np.array([_lines(t) for t in texts.to_pylist()], np.int64).reshape(-1, 2)
             columns = [
-                part.column("doc_id"),
                 words.counts,
                 words.per_text(lead & words.inside),
                 words.per_text(_SYMBOL[words.data]),
@@ -91,16 +91,18 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words.per_text(_DIGIT[words.data]),
                 words.per_text(_PUNCT[words.data]),
             ]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", *COUNTS])
+            counts = [pa.array(c, pa.int64()) for c in columns]
+            yield pa.RecordBatch.from_arrays([*part.columns, *counts], names=[*part.schema.names, *COUNTS])
 
 
 def text_stats(docs: DataFrame) -> DataFrame:
-    """The counts of every whole text: a row for each row of ``docs``.
+    """``doc_id`` and the counts of every whole text: a row for each row of ``docs``.
 
     A null or empty text has zeros; repeated rows are counted each by itself; other
     columns are not read.
     """
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_stats, STATS_SCHEMA)
+    schema = "doc_id long, text string, " + COUNTS_SCHEMA
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string")).mapInArrow(_stats, schema).drop("text")
 
 
 @dataclass(frozen=True)
@@ -209,12 +211,24 @@ def rule_number(rules: list[Rule]) -> Column:
     return F.lit(0) if out is None else out.otherwise(0)
 
 
+FAILED = "n_words < 20 or 100 * n_repeat_words > 30 * n_words"
+
+
 def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """Counts, ``base_failed``, ``rule`` (the first one that holds) and ``kept``.
 
     Texts under 20 words, null and empty ones among them, or with more than 30 % of
     their words in repeated windows fail whatever the rules say.
     """
-    failed = F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")
-    out = with_features(text_stats(docs)).withColumn("base_failed", failed).withColumn("rule", rule_number(rules))
+    out = with_features(text_stats(docs)).withColumn("base_failed", F.expr(FAILED)).withColumn("rule", rule_number(rules))
     return out.withColumn("kept", F.expr("not base_failed and rule = 0"))
+
+
+def passing(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows of ``docs`` that pass, whatever their other columns are called."""
+    names = docs.columns
+    carried = {c: "text" if c == "text" else f"_column_{k}" for k, c in enumerate(names)}
+    plain = docs.select([F.col(f"`{c}`").alias(carried[c]) for c in names])
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in plain.schema] + [COUNTS_SCHEMA])
+    judged = with_features(plain.mapInArrow(_stats, schema)).where(~F.expr(FAILED)).where(rule_number(rules) == 0)
+    return judged.select([F.col(carried[c]).alias(c) for c in names])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import best_fit, chosen_path, decision_list, phrase_automata
+from sessionloom.llm import best_fit, chosen_path, decision_list, phrase_automata, raking
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raking.mix_probabilities(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.col("_source").alias("source"),
+        F.col("_lang").alias("lang"),
+        F.col("_topic").alias("topic"),
+        F.col("_tokens").alias("n_tokens"),
+        F.round("_probability", 9).alias("probability"),
+        (F.col("_drawn") < F.col("_probability")).alias("kept"),
+    )
+
+
 def op5_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_automata.digest(table(spark, sf_dir, "documents"))
 
@@ -38,5 +50,5 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chosen_path, op2_quality_rules, op5_phrase_automata, op6_best_fit_packing)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_chosen_path, op2_quality_rules, op4_raking, op5_phrase_automata, op6_best_fit_packing)}
+ORACLES: dict[str, str] = {"op4_raking": raking.oracle()}
