@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import best_fit, chosen_path, decision_list, phrase_automata, raking
+from sessionloom.llm import best_fit, chosen_path, decision_list, kneser_ney, phrase_automata, raking
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,5 +50,13 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chosen_path, op2_quality_rules, op4_raking, op5_phrase_automata, op6_best_fit_packing)}
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = kneser_ney.fit(docs.where(remainder != 2))
+    held_out = F.coalesce(remainder == 2, F.lit(False)).alias("held_out")
+    return kneser_ney.predict(docs, model).select("doc_id", held_out, "lang_pred", "score", "entropy")
+
+
+QUERIES = {f.__name__: f for f in (op1_chosen_path, op2_quality_rules, op4_raking, op5_phrase_automata, op6_best_fit_packing, op7_kneser_ney)}
 ORACLES: dict[str, str] = {"op4_raking": raking.oracle()}
