@@ -7,7 +7,8 @@ Independent trees repeat this until the chance to miss a pair is negligible.
 Two things keep groups of thousands of copies linear. Equal sets stand for one
 another from the start. And first every member of a node is compared with the node's
 smallest one only; afterwards a node needs splitting or comparing only as far as its
-members are not yet known to be in one component.
+members are not yet known to be in one component. A comparison takes place in one task,
+on full sets, and returns a spanning forest instead of pairs.
 """
 
 from __future__ import annotations
@@ -20,18 +21,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.config import stage
-from sessionloom.llm.components import components
+from sessionloom.llm.components import components, forest
 from sessionloom.llm.words import Words, mix, text_slices
 
 SHINGLE_WORDS = 5
 HASHES = 64
-TREES = 12
+TREES = 10
 #: Chance that a node selects a second token.
-SECOND_BRANCH = 0.3
+SECOND_BRANCH = 0.2
 FIRST_DEPTH = 2
 MAX_DEPTH = 16
 #: Nodes up to this size are compared exhaustively.
-SMALL_NODE = 48
+SMALL_NODE = 1024
+#: Columns of the incidence matrix of sets and shingles that are held at a time.
+BLOCK_SHINGLES = 4096
 
 _draw = np.random.default_rng(20_24)
 _FACTORS = _draw.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -171,24 +174,65 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
-def _leaf_pairs(least: int):
-    """Pairs of different components in a small node whose signatures agree enough."""
+def _bounds(keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])).tolist()
+    return zip(at[:-1], at[1:])
+
+
+def _candidates(least: int):
+    """Members of a node with a partner of another component whose signature agrees enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "node"):
+            label, sig = table.column("label").to_numpy(), _signatures(table.column("sig"))
+            chosen = np.zeros(len(label), bool)
+            for lo, hi in _bounds(table.column("node").to_numpy()):
+                own = sig[lo:hi].T.copy()
+                agree = np.zeros((hi - lo, hi - lo), np.uint8)
+                for row in own:
+                    agree += row[:, None] == row
+                near = (agree >= least) & (label[lo:hi, None] != label[lo:hi])
+                chosen[lo:hi] = near.any(1)
+            yield from table.select(["node", "doc_id", "label"]).filter(pa.array(chosen)).combine_chunks().to_batches()
+
+    return run
+
+
+def _common(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sizes of all intersections of ``n`` sets, given as (value, row)."""
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    shared = times > 1
+    order = np.argsort(column, kind="stable")
+    order = order[shared[column[order]]]
+    place, row = (np.cumsum(shared) - 1)[column[order]], rows[order]
+    out = np.zeros((n, n), np.float32)
+    for begin in range(0, int(shared.sum()), BLOCK_SHINGLES):
+        lo, hi = np.searchsorted(place, [begin, begin + BLOCK_SHINGLES])
+        block = np.zeros((n, BLOCK_SHINGLES), np.float32)
+        block[row[lo:hi], place[lo:hi] - begin] = 1
+        out += block @ block.T
+    return out
+
+
+def _linked(percent: int):
+    """A spanning forest of the links between components inside each node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "node"):
-            node, doc, label = (table.column(c).to_numpy() for c in ("node", "doc_id", "label"))
-            sig = _signatures(table.column("sig"))
-            bounds = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]]))
-            left, right = [], []
-            for lo, hi in zip(bounds[:-1], bounds[1:]):
-                i, j = np.triu_indices(hi - lo, 1)
-                i, j = i + lo, j + lo
-                apart = label[i] != label[j]
-                i, j = i[apart], j[apart]
-                near = (sig[i] == sig[j]).sum(1) >= least
-                left.append(doc[i[near]])
-                right.append(doc[j[near]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (left, right)], names=["a", "b"])
+            table = table.combine_chunks()
+            doc, label = table.column("doc_id").to_numpy(), table.column("label").to_numpy()
+            sets = table.column("shingles").combine_chunks()
+            limits = np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy())])
+            values = sets.flatten().to_numpy()
+            for lo, hi in _bounds(table.column("node").to_numpy()):
+                sizes = np.diff(limits[lo : hi + 1])
+                common = _common(values[limits[lo] : limits[hi]], np.repeat(np.arange(hi - lo), sizes), hi - lo)
+                near = 100 * common >= percent * (sizes[:, None] + sizes - common)
+                i, j = np.nonzero(near & (label[lo:hi, None] != label[lo:hi]))
+                if len(i):
+                    a, b = forest(doc[lo:hi], doc[lo:hi], i, j)
+                    keep = a != b
+                    yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(b[keep], pa.int64())], names=["a", "b"])
 
     return run
 
@@ -219,21 +263,17 @@ def _with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(named, "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component")
 
 
-def _split_rest(rows: DataFrame, least: int) -> DataFrame:
-    """Pairs inside nodes that stayed large: chunks of a node meet two at a time."""
+def _split_rest(rows: DataFrame) -> DataFrame:
+    """Nodes that stayed large, cut into nodes in which their chunks meet two at a time."""
     size = rows.groupBy("node").agg(F.count("*").alias("n"))
     chunked = rows.join(size, "node").withColumn("chunks", F.ceil(F.col("n") / (SMALL_NODE // 2)).cast("int"))
     chunked = chunked.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    met = chunked.withColumn("other", other).withColumn(
-        "node", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-    )
-    return _compared(met, least)
+    met = chunked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return met.withColumn("node", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))).select(*rows.columns)
 
 
-def _compared(rows: DataFrame, least: int) -> DataFrame:
-    ordered = rows.select("node", "doc_id", "label", "sig").repartition("node").sortWithinPartitions("node", "doc_id")
-    return ordered.mapInArrow(_leaf_pairs(least), "a long, b long")
+def _by_node(rows: DataFrame) -> DataFrame:
+    return rows.repartition("node").sortWithinPartitions("node", "doc_id")
 
 
 def links(texts: DataFrame, docs: DataFrame, percent: int, trees: int) -> DataFrame:
@@ -254,23 +294,23 @@ def links(texts: DataFrame, docs: DataFrame, percent: int, trees: int) -> DataFr
     labels = components(found)
 
     rows = _with_labels(live.select("node", "doc_id").join(near_texts, "doc_id"), labels)
-    pairs = []
+    small = []
     for depth in range(FIRST_DEPTH, MAX_DEPTH + 1):
         mixed = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
         rows = stage(rows.join(mixed.where("low <> high").select("node", "n"), "node"))
-        pairs.append(_compared(rows.where(F.col("n") <= SMALL_NODE), least))
+        small.append(rows.where(F.col("n") <= SMALL_NODE).select("node", "doc_id", "label", "sig"))
         large = rows.where(F.col("n") > SMALL_NODE).drop("n")
         if large.isEmpty():
             break
         if depth == MAX_DEPTH:
-            pairs.append(_split_rest(large, least))
+            small.append(_split_rest(large).select("node", "doc_id", "label", "sig"))
         else:
             rows = large.mapInArrow(_next_nodes, "node long, doc_id long, label long, sig binary")
-    rest = pairs[0]
-    for more in pairs[1:]:
-        rest = rest.unionByName(more)
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stage(confirmed(rest, sets, percent))
+    nodes = small[0]
+    for more in small[1:]:
+        nodes = nodes.unionByName(more)
+    chosen = _by_node(nodes).mapInArrow(_candidates(least), "node long, doc_id long, label long")
+    more = stage(_by_node(chosen.join(sets, "doc_id")).mapInArrow(_linked(percent), "a long, b long"))
     return labels if more.isEmpty() else components(found.unionByName(more))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +47,19 @@ def components(links: DataFrame) -> DataFrame:
     if labels is None:
         return edges.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
     return labels.withColumnRenamed("to", "component")
+
+
+def forest(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each linked id with the smallest id it reaches inside a block of links (i, j)."""
+    order = np.argsort(j, kind="stable")
+    rows, row_start = np.unique(i, return_index=True)
+    cols, col_start = np.unique(j[order], return_index=True)
+    low, high = left.copy(), right.copy()
+    while True:
+        new_low = low.copy()
+        new_low[rows] = np.minimum(low[rows], np.minimum.reduceat(high[j], row_start))
+        new_high = high.copy()
+        new_high[cols] = np.minimum(high[cols], np.minimum.reduceat(new_low[i[order]], col_start))
+        if (new_low == low).all() and (new_high == high).all():
+            return np.concatenate([left[rows], right[cols]]), np.concatenate([low[rows], high[cols]])
+        low, high = new_low, new_high

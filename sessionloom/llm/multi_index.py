@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.config import stage
-from sessionloom.llm.components import components
+from sessionloom.llm.components import components, forest
 
 #: Vectors the codebooks are trained on, and queries the traversal is measured with.
 FIT_VECTORS = 20_000
@@ -147,22 +147,6 @@ def _placed(shared, number: int):
     return run
 
 
-def _forest(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each linked id with the smallest id it reaches inside the block."""
-    order = np.argsort(j, kind="stable")
-    rows, row_start = np.unique(i, return_index=True)
-    cols, col_start = np.unique(j[order], return_index=True)
-    low, high = left.copy(), right.copy()
-    while True:
-        new_low = low.copy()
-        new_low[rows] = np.minimum(low[rows], np.minimum.reduceat(high[j], row_start))
-        new_high = high.copy()
-        new_high[cols] = np.minimum(high[cols], np.minimum.reduceat(new_low[i[order]], col_start))
-        if (new_low == low).all() and (new_high == high).all():
-            return np.concatenate([left[rows], right[cols]]), np.concatenate([low[rows], high[cols]])
-        low, high = new_low, new_high
-
-
 def _block(similarity: float):
     """Links between the members of a cell and the vectors that visit it."""
 
@@ -184,7 +168,7 @@ def _block(similarity: float):
                 back = back[~(table[j[back]] == probes.column("v_cell").to_numpy()[i[back]][:, None]).any(1)]
                 from_left = np.bincount(i, copies_right[j], len(left)).astype(np.int64)
                 from_right = np.bincount(j[back], copies_left[i[back]], len(right)).astype(np.int64)
-                ids, roots = _forest(left, right, i, j)
+                ids, roots = forest(left, right, i, j)
                 keep = ids != roots
                 ids, roots = ids[keep], roots[keep]
                 a = np.concatenate([left, right, ids])
