@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import best_fit, chosen_path, decision_list, kneser_ney, multi_index, phrase_automata, raking
+from sessionloom.llm import best_fit, chosen_path, decision_list, kneser_ney, multi_index, page_diff, phrase_automata, raking
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,5 +62,9 @@ def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chosen_path, op2_quality_rules, op4_raking, op5_phrase_automata, op6_best_fit_packing, op7_kneser_ney, op8_multi_index)}
+def op9_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chosen_path, op2_quality_rules, op4_raking, op5_phrase_automata, op6_best_fit_packing, op7_kneser_ney, op8_multi_index, op9_page_diff)}
 ORACLES: dict[str, str] = {"op4_raking": raking.oracle()}
