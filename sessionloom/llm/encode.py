@@ -28,7 +28,7 @@ class _Parts(dict):
     def learn(self, wanted: set) -> None:
         if len(self) > self._kept:
             self.clear()
-        new = list(wanted - self.keys())
+        new = [part for part in wanted if part not in self]
         self.update(zip(new, self._encode(new), strict=True))
 
     def forget_long(self, wanted: set) -> None:

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import best_fit, chosen_path, decision_list, kneser_ney, multi_index, page_diff, phrase_automata, raking
+from sessionloom.llm import (
+    best_fit,
+    chosen_path,
+    decision_list,
+    kneser_ney,
+    multi_index,
+    packed_ids,
+    page_diff,
+    phrase_automata,
+    raking,
+    segment_counts,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +35,26 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents before and after two edits of each, made from its own columns."""
+    docs = table(spark, sf_dir, "documents")
+    path, pattern = byte_tokenizer()
+    edits = F.expr(
+        "array(struct(length(text) div 3 as at, 7L as removed, concat(' ', source, ' ') as inserted), "
+        "struct(2 * length(text) div 3 as at, 0L as removed, lang as inserted))"
+    )
+    trees = segment_counts.build_trees(docs.select("doc_id", "text", edits.alias("edits")), path, pattern)
+    before = trees.withColumn("n_tokens", segment_counts.n_tokens())
+    after = segment_counts.apply_edits(before, path, pattern)
+    return after.select(
+        "doc_id",
+        "n_tokens",
+        segment_counts.n_tokens().alias("n_tokens_edited"),
+        F.get("chars", F.lit(1)).alias("n_chars_edited"),
+        "n_encoded",
+    )
+
+
 def op4_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raking.mix_probabilities(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -46,6 +77,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_tokenizer() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -66,5 +103,24 @@ def op9_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_diff.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chosen_path, op2_quality_rules, op4_raking, op5_phrase_automata, op6_best_fit_packing, op7_kneser_ney, op8_multi_index, op9_page_diff)}
+def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = byte_tokenizer()
+    return packed_ids.packed_ids(table(spark, sf_dir, "documents"), path, pattern)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_chosen_path,
+        op2_quality_rules,
+        op3_segment_counts,
+        op4_raking,
+        op5_phrase_automata,
+        op6_best_fit_packing,
+        op7_kneser_ney,
+        op8_multi_index,
+        op9_page_diff,
+        op10_packed_ids,
+    )
+}
 ORACLES: dict[str, str] = {"op4_raking": raking.oracle()}
