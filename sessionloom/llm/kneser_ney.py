@@ -234,7 +234,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.mapInArrow(_predict(shared), schema).drop("text")
 
 
-def with_rejection(predicted: DataFrame, quantile: float = 0.999, slack: float = 1.1) -> DataFrame:
+def with_rejection(predicted: DataFrame, quantile: float = 0.95, slack: float = 1.35) -> DataFrame:
     """Adds ``rejected``: the entropy is above what texts of that language have.
 
     The limit is a quantile over all texts predicted as that language, and some slack.
