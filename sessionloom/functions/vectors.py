@@ -25,10 +25,17 @@ def l2_norm(v) -> Column:
     return F.sqrt(dot(v, v))
 
 
+def finite(v) -> Column:
+    """Has the vector a number in every place?"""
+    number = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
+    return F.coalesce(number, F.lit(False))
+
+
 def cosine(a, b) -> Column:
-    """Cosine similarity; 0 where it is undefined (a zero vector)."""
+    """Cosine similarity; 0 where it is undefined (a zero or broken vector)."""
     norms = l2_norm(a) * l2_norm(b)
-    return F.when(norms > 0, F.try_divide(dot(a, b), norms)).otherwise(F.lit(0.0))
+    value = F.when(norms > 0, F.try_divide(dot(a, b), norms))
+    return F.when(value.isNull() | F.isnan(value), F.lit(0.0)).otherwise(value)
 
 
 def euclidean(a, b) -> Column:

@@ -36,6 +36,9 @@ from sessionloom.sources.items import embedding_width
 
 INDEXED_METRICS = ("cosine_sim", "euclidean_dist")
 
+# Items a cell's centroid is trained on, on average.
+ITEMS_PER_CELL = 256
+
 # Added to distances, so that rounding cannot rule out a cell.
 SLACK = 1e-9
 
@@ -53,9 +56,15 @@ class Index:
     unit_rows: int
 
 
-def train_cells(items: DataFrame, n_cells: int, metric: str = "cosine_sim", sample: int = 100_000, seed: int = 0) -> np.ndarray:
-    """Centroids of a clustering of a sample of the items."""
-    share = min(1.0, sample / max(items.count(), 1))
+def train_cells(
+    items: DataFrame, n_cells: int, metric: str = "cosine_sim", per_cell: int = ITEMS_PER_CELL, seed: int = 0
+) -> np.ndarray:
+    """Centroids of a clustering of about ``per_cell`` items for each cell, or of all.
+
+    Items with broken vectors take no part.
+    """
+    items = items.where(V.finite("embedding"))
+    share = min(1.0, per_cell * n_cells / max(items.count(), 1))
     chosen = items if share == 1.0 else items.sample(share, seed)
     vector = V.as_double("embedding")
     points = chosen.select(array_to_vector(V.unit(vector) if metric == "cosine_sim" else vector).alias("features"))
@@ -65,10 +74,13 @@ def train_cells(items: DataFrame, n_cells: int, metric: str = "cosine_sim", samp
 def build_index(
     items: DataFrame, centroids: np.ndarray, metric: str = "cosine_sim", block_floats: int = BLOCK_FLOATS
 ) -> Index:
-    """Assign items to cells and cut cells into units of bounded size."""
+    """Assign items to cells and cut cells into units of bounded size.
+
+    Items with broken vectors can never be found and are left out.
+    """
     if metric not in INDEXED_METRICS:
         raise ValueError(f"no cell index for metric {metric!r}")
-    base = items.select("id", "embedding", "history_value")
+    base = items.where(V.finite("embedding")).select("id", "embedding", "history_value")
     schema = T.StructType(
         base.schema.fields + [T.StructField("cell", T.IntegerType()), T.StructField("away", T.DoubleType())]
     )
@@ -113,6 +125,7 @@ def distances(m: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 
 def ivf_join(queries: DataFrame, index: Index, n_probe: int | None = None, exclude: DataFrame | None = None) -> DataFrame:
     """Top-k join through the index; arguments and result as ``knn_join``."""
+    queries = queries.where(V.finite("embedding"))
     if exclude is not None:
         exclude = stage(matching_types(exclude, queries, index.items).distinct())
     first = stage(_probe_first(queries, index, n_probe, exclude))

@@ -47,9 +47,14 @@ def best_first(metric: str):
 
 
 def search(items: DataFrame, query: list[float], k: int, metric: str = "cosine_sim") -> DataFrame:
-    """The k nearest items of one query vector: ``(rank, id, score)``."""
+    """The k nearest items of one query vector: ``(rank, id, score)``.
+
+    Broken items are never found; a broken query is refused.
+    """
+    if not all(math.isfinite(x) for x in query):
+        raise ValueError("the query has a component that is no number")
     vector = F.array(*[F.lit(float(x)) for x in query])
-    scored = items.select("id", score_column(F.col("embedding"), vector, metric).alias("score"))
+    scored = items.where(V.finite("embedding")).select("id", score_column(F.col("embedding"), vector, metric).alias("score"))
     nearest = scored.orderBy(best_first(metric), "id").limit(k)
     # At most k rows reach this window.
     rank = F.row_number().over(Window.orderBy(best_first(metric), "id"))
@@ -69,8 +74,9 @@ def knn_join(
     ``queries(session_id, q_idx, embedding, top_k, ...)``; further columns are
     carried to the result. ``exclude(session_id, history_value)`` lists what a
     session must not be served; ``n_items`` saves counting the collection. Returns ``(session_id, q_idx, rank, id, score)``
-    plus the carried columns.
+    plus the carried columns. Broken queries and items find nothing.
     """
+    queries = queries.where(V.finite("embedding"))
     dim = max(embedding_width(items), 1)
     rows = max(block_floats // dim, 1)
     n_items = items.count() if n_items is None else n_items
@@ -264,12 +270,15 @@ def _blocked_columns(queries: pa.Table, items: pa.Table, skips: pa.Table) -> lis
     session_of_skip = pc.fill_null(pc.index_in(skips["session_id"], sessions), -1).to_numpy()
     code_of_skip = pc.fill_null(pc.index_in(skips["history_value"], distinct), -1).to_numpy()
     known = (session_of_skip >= 0) & (code_of_skip >= 0)
-    per_session: list[list[np.ndarray]] = [[] for _ in range(len(sessions))]
-    for s, c in zip(session_of_skip[known], code_of_skip[known]):
-        per_session[s].append(order[starts[c] : starts[c + 1]])
-    none = np.zeros(0, int)
-    columns = [np.concatenate(p) if p else none for p in per_session]
-    return [columns[s] for s in pc.index_in(queries["session_id"], sessions).to_numpy()]
+    session, code = session_of_skip[known], code_of_skip[known]
+    by_session = np.argsort(session, kind="stable")
+    session, code = session[by_session], code[by_session]
+    # Every skipped value stands for the run of items that have it.
+    sizes = starts[code + 1] - starts[code]
+    within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    columns = order[np.repeat(starts[code], sizes) + within]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(session, sizes, len(sessions)))]).astype(np.int64)
+    return [columns[ends[s] : ends[s + 1]] for s in pc.index_in(queries["session_id"], sessions).to_numpy()]
 
 
 def block_top_k(q, m, ks, metric, blocked=None):

@@ -29,6 +29,12 @@ def latest_signals(signals_log: DataFrame, last_n: int = USER_EMBEDDINGS_LAST_N)
     return numbered.where(F.col("q_idx") <= last_n).withColumn("q_idx", F.col("q_idx") - 1)
 
 
+def profile_depth(nodes: DataFrame) -> int:
+    """How many signals profiles have to hold for the nodes: the most any node looks at."""
+    asked = nodes.agg(F.max("params.last_n")).first()[0] or 0
+    return max(USER_EMBEDDINGS_LAST_N, asked)
+
+
 def user_embeddings(signals_log: DataFrame, items: DataFrame, last_n: int = USER_EMBEDDINGS_LAST_N) -> DataFrame:
     """The session's profile: vectors and weights of its latest signals."""
     vectors = items.select(F.col("id").alias("item_id"), "embedding")
@@ -47,7 +53,8 @@ def personalized_profile(
 ) -> DataFrame:
     """The part of a profile a node looks at: ``requests(session_id, params)``.
 
-    ``last_n`` = 0 means the default length. Policy ``plain`` takes the vectors as
+    ``last_n`` = 0 means the default length; more than the profile holds is not
+    there (``profile_depth`` tells how long it has to be). Policy ``plain`` takes the vectors as
     they are; ``spread`` moves them towards the collection's ``centroid`` by
     ``mu``, evens out weights by ``alpha`` and adds a share ``r`` of random vectors.
     """

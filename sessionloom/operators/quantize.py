@@ -18,7 +18,8 @@ from sessionloom.functions import vectors as V
 
 METHODS = ("exact", "sketch")
 
-# Bins of the exact method's first pass, and vectors their borders are taken from.
+# Bins of the exact method's first pass, and about how many vectors, drawn from all,
+# their borders are taken from.
 BINS = 4096
 BORDER_SAMPLE = 1000
 
@@ -77,8 +78,8 @@ def exact_quantiles(vectors: DataFrame, fractions: list[float]) -> DataFrame:
 
 
 def _borders(vectors: DataFrame) -> np.ndarray:
-    share = min(1.0, 2 * BORDER_SAMPLE / max(vectors.count(), 1))
-    sample = (vectors if share == 1.0 else vectors.sample(share, 0)).limit(BORDER_SAMPLE).toArrow()
+    share = min(1.0, BORDER_SAMPLE / max(vectors.count(), 1))
+    sample = (vectors if share == 1.0 else vectors.sample(share, 0)).toArrow()
     x = np.sort(sample["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64))
     return np.unique(x[np.linspace(0, len(x) - 1, BINS).astype(int)]) if len(x) else np.zeros(1)
 

@@ -31,7 +31,8 @@ def session_state_trace(actions: DataFrame, sessions: DataFrame, nodes: DataFram
 
     ``actions(session_id, ts, seq, action)``, ``sessions(session_id, blueprint,
     state)``. Returns the actions with ``state``, ``next_state`` and the batch
-    type and parameters of the node the action left.
+    type and parameters of the node the action left. Sessions without a known
+    blueprint or state have no trace; ``split_actions`` tells their actions apart.
     """
     nodes = broadcast_if_small(nodes)
     resolved, table = resolve_steps(actions, sessions, nodes, edges)
@@ -69,6 +70,8 @@ def resolve_steps(
     ordinals = nodes.select("blueprint", F.col("name").alias("state"), F.col("node_ord").alias("first_state"))
     states = sessions.select("session_id", "blueprint", "state").join(ordinals, ["blueprint", "state"], "left")
     states = states.where(F.col("first_state").isNotNull() | (F.col("state") == START_STATE))
+    # An unknown blueprint has no steps.
+    states = states.join(nodes.select("blueprint").distinct(), "blueprint", "left_semi")
     states = states.select("session_id", "blueprint", F.coalesce("first_state", F.lit(0)).alias("first_state"))
     wanted = actions.select(*ORDER, F.upper("action").alias("action"), *(keep or []))
     if actions.isStreaming:

@@ -14,7 +14,7 @@ from sessionloom.operators import budgets, ivf, knn, postprocess, product, profi
 from sessionloom.operators.mmr import mmr
 from sessionloom.plans import batches, sketch
 from sessionloom.plans import workload as w
-from sessionloom.sources import blueprints, history, items, sessions, signals
+from sessionloom.sources import blueprints, history, items, rejects, sessions, signals
 from sessionloom.streaming import events, fold, serving
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,12 @@ def _component(vector: str, i: int, name: str):
     return F.round(F.col(vector)[i].cast("double"), 6).alias(name)
 
 
+def checksum(vector: str):
+    """A whole number of all components, on six decimals, and of their places."""
+    scaled = F.transform(vector, lambda x, i: (i + 1) * F.round(x.cast("double") * 1e6).cast("long"))
+    return F.aggregate(scaled, F.lit(0).cast("long"), lambda total, x: total + x).alias("checksum")
+
+
 def shown(candidates: DataFrame, *more: str) -> DataFrame:
     return candidates.select("session_id", "q_idx", "rank", "id", rounded("score"), *more)
 
@@ -144,7 +150,7 @@ def fetch(spark, sf_dir):
     """The item most often signalled."""
     counts = w.signals_log(spark, sf_dir).groupBy("item_id").count()
     top = counts.orderBy(F.desc("count"), "item_id").first()["item_id"]
-    return items.fetch(w.items(spark, sf_dir), top).select("id", "label", _component("embedding", 0, "e0"))
+    return items.fetch(w.items(spark, sf_dir), top).select("id", "label", checksum("embedding"))
 
 
 @query
@@ -299,7 +305,7 @@ def approximate_search(spark, sf_dir):
 def signal_item_join(spark, sf_dir):
     joined = signals.signal_item_join(w.signals_log(spark, sf_dir), w.items(spark, sf_dir))
     return joined.select(
-        "session_id", "seq", "label", "weight", "item_id", "history_value", _component("embedding", 0, "e0")
+        "session_id", "seq", "label", "weight", "item_id", "history_value", checksum("embedding")
     )
 
 
@@ -323,6 +329,7 @@ def _vector_ends(rows: DataFrame) -> DataFrame:
         rounded("weight"),
         _component("embedding", 0, "first_x"),
         _component("embedding", w.DIM - 1, "last_x"),
+        checksum("embedding"),
     )
 
 
@@ -483,7 +490,7 @@ def take_batch(spark, sf_dir):
 def concat_results(spark, sf_dir):
     """Search results of the latest signals, followed by those of earlier ones."""
     all_items = w.items(spark, sf_dir)
-    recent = w.latest_queries(spark, sf_dir, 5, 4)
+    recent = w.latest_queries(spark, sf_dir, 4)
     late = knn.knn_join(recent.where("q_idx < 2"), all_items)
     early = knn.knn_join(recent.where("q_idx >= 2").withColumn("q_idx", F.col("q_idx") - 2), all_items)
     joined = postprocess.concat_results(late, early)
@@ -492,7 +499,7 @@ def concat_results(spark, sf_dir):
 
 @query
 def concat_queries(spark, sf_dir):
-    recent = w.latest_queries(spark, sf_dir, 5).withColumn("batch_size", F.lit(10))
+    recent = w.latest_queries(spark, sf_dir).withColumn("batch_size", F.lit(10))
     late = recent.where("q_idx < 2")
     early = recent.where("q_idx >= 2").withColumn("q_idx", F.col("q_idx") - 2)
     return _vector_ends(postprocess.concat_queries(late, early))
@@ -685,6 +692,31 @@ def apply_params(spark, sf_dir):
     return pool.select("session_id", "q_idx", "rank", "position", "id", rounded("score"))
 
 
+def _faulty_actions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Actions of which some name no item, for sessions of which some have no place."""
+    parsed = w.parsed_actions(spark, sf_dir).withColumn("item_id", F.col("item_id") * (F.col("seq") % 13 + 1))
+    routed = sessions.route_algorithm(w.sessions(spark, sf_dir)).where("session_id % 17 <> 3")
+    blueprint = F.when(F.col("session_id") % 11 != 5, F.col("blueprint"))
+    state = F.when(F.col("session_id") % 7 == 2, F.lit("nowhere")).otherwise(F.col("state"))
+    return parsed, routed.withColumns({"blueprint": blueprint, "state": state})
+
+
+@query
+def rejected_actions(spark, sf_dir):
+    parsed, routed = _faulty_actions(spark, sf_dir)
+    return rejects.split_actions(parsed, routed, w.builtin(spark)[0], w.items(spark, sf_dir))[1]
+
+
+@query
+def accepted_state_trace(spark, sf_dir):
+    """The trace of what is not rejected."""
+    parsed, routed = _faulty_actions(spark, sf_dir)
+    nodes, edges = w.builtin(spark)
+    accepted, _ = rejects.split_actions(parsed, routed, nodes, w.items(spark, sf_dir))
+    found = states.session_state_trace(stage(accepted), routed, nodes, edges)
+    return found.select("session_id", "seq", "action", "state", "next_state", "batch_type")
+
+
 # --- streaming -------------------------------------------------------------
 
 
@@ -734,5 +766,13 @@ def update_state(spark, sf_dir):
 
 @query
 def batch_stream(spark, sf_dir):
-    tables = _serving_tables(spark, sf_dir)
-    return served(tables.read(spark, "served"))
+    """The answer to every request of the stream."""
+    answers = _serving_tables(spark, sf_dir).read(spark, "served")
+    return answers.select(serving.request_key().alias("request"), "position", "id", rounded("score"))
+
+
+@query
+def stream_requests(spark, sf_dir):
+    """All requests of the stream; an empty pool is an empty batch."""
+    asked = _serving_tables(spark, sf_dir).read(spark, "requests")
+    return asked.select(serving.request_key().alias("request"), "state", "batch_type", "n_served")

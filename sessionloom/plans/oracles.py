@@ -107,7 +107,7 @@ _CTES |= {
     "centroid": """SELECT list(m ORDER BY pos) AS c FROM (
         SELECT pos, round(avg(x), 9) AS m FROM (SELECT unnest(e) AS x, unnest(range(len(e))) AS pos FROM items)
         GROUP BY pos)""",
-    "latest3": "SELECT session_id, q_idx, e, 8 AS top_k FROM profile WHERE q_idx < 3",
+    "latest3": "SELECT session_id, q_idx, e, 8 AS top_k FROM profile",
 }
 
 
@@ -261,9 +261,14 @@ def _shown(source: str, more: str = "") -> str:
     return f"SELECT session_id, q_idx, rank, id, round(score, 6) AS score{more} FROM {source}"
 
 
+def _checksum(vector: str) -> str:
+    scaled = f"list_transform({vector}, lambda x, i: i * round(x * 1e6)::BIGINT)"
+    return f"list_sum({scaled})::BIGINT AS checksum"
+
+
 def _ends(source: str) -> str:
     return f"""SELECT session_id, q_idx, round(weight, 6) AS weight, round(e[1], 6) AS first_x,
-        round(e[{w.DIM}], 6) AS last_x FROM {source}"""
+        round(e[{w.DIM}], 6) AS last_x, {_checksum("e")} FROM {source}"""
 
 
 # --- sources ---------------------------------------------------------------
@@ -337,7 +342,7 @@ _oracle("read_history", "SELECT DISTINCT session_id, item_id AS history_value FR
 # --- projections, filters --------------------------------------------------
 
 _CTES["popular"] = "SELECT item_id FROM slog GROUP BY item_id ORDER BY count(*) DESC, item_id LIMIT 1"
-_oracle("fetch", "SELECT id, label, round(e[1], 6) AS e0 FROM items WHERE id = (SELECT item_id FROM popular)")
+_oracle("fetch", f"SELECT id, label, {_checksum('e')} FROM items WHERE id = (SELECT item_id FROM popular)")
 _oracle("multi_fetch", "SELECT id, label FROM items JOIN customer ON id = c_custkey")
 _oracle("missing_ids", "SELECT DISTINCT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT id FROM items)")
 _oracle(
@@ -396,7 +401,7 @@ ORACLES["indexed_search"] = ORACLES["multi_search"]
 ORACLES["indexed_history_search"] = ORACLES["history_search"]
 _oracle(
     "signal_item_join",
-    """SELECT session_id, seq, s.label, weight, item_id, item_id AS history_value, round(e[1], 6) AS e0
+    """SELECT session_id, seq, s.label, weight, item_id, item_id AS history_value, list_sum(list_transform(e, lambda x, i: i * round(x * 1e6)::BIGINT))::BIGINT AS checksum
     FROM slog s JOIN items i ON item_id = i.id""",
 )
 _oracle(
@@ -445,12 +450,11 @@ def _spread(name: str, requests: str) -> None:
         GROUP BY session_id, q_idx"""
 
 
-def _with_bias(own: str, requests: str) -> str:
+def _with_bias(own: str, requests: str, session: str = "r.session_id") -> str:
     return f"""SELECT session_id, q_idx, e, weight FROM {own} UNION ALL
-        SELECT r.session_id, coalesce(b.n, 0) + i.id, i.e, 1.0::DOUBLE
-        FROM {requests} r CROSS JOIN items i
-        LEFT JOIN (SELECT session_id, max(q_idx) + 1 AS n FROM {own} GROUP BY session_id) b USING (session_id)
-        WHERE i.id < {w.N_BIAS}"""
+        SELECT r.session_id, coalesce(b.n, 0) + t.topic // 2, t.e, 1.0::DOUBLE
+        FROM {requests} r JOIN topics t ON t.topic % 2 = {session} % 2
+        LEFT JOIN (SELECT session_id, max(q_idx) + 1 AS n FROM {own} GROUP BY session_id) b USING (session_id)"""
 
 
 def _drawn(requests: str, seed: int = 0) -> str:
@@ -544,13 +548,13 @@ _oracle("truncate_per_query", _shown(f"({_rerank('found_uniq')}) WHERE rank <= 3
 _CTES["found_pool"] = _shuffle("found_uniq", 5)
 _oracle("shuffle_pool", "SELECT session_id, position, id, round(score, 6) AS score FROM found_pool")
 _oracle("take_batch", "SELECT session_id, position, id, round(score, 6) AS score FROM found_pool WHERE position <= 10")
-_CTES["latest5e"] = "SELECT session_id, q_idx, e, 4 AS top_k FROM profile WHERE q_idx < 5"
+_CTES["latest5e"] = "SELECT session_id, q_idx, e, 4 AS top_k FROM profile"
 _CTES["found5"] = _knn("latest5e")
 _oracle(
     "concat_results",
     _shown("found5", ", row_number() OVER (PARTITION BY session_id ORDER BY q_idx, rank) AS position"),
 )
-_oracle("concat_queries", _ends("profile") + " WHERE q_idx < 5")
+_oracle("concat_queries", _ends("profile"))
 
 # --- scalar and vector functions -------------------------------------------
 
@@ -633,6 +637,19 @@ _CTES["chain_in"] = """SELECT *, 0.3::DOUBLE AS threshold, session_id % 2 = 0 AS
 _chain("chain", "chain_in", 2)
 _oracle("apply_params", "SELECT session_id, q_idx, rank, position, id, round(score, 6) AS score FROM chain")
 
+_CTES["faulty"] = """SELECT a.session_id, a.ts, a.seq, a.action, s.blueprint AS bp, a.session_id % 7 = 2 AS lost,
+    CASE WHEN a.action <> 'BATCH' AND a.action NOT IN (SELECT label FROM vocabulary) THEN 'unknown action'
+        WHEN a.session_id % 17 = 3 THEN 'unknown session'
+        WHEN a.session_id % 11 = 5 THEN 'no blueprint'
+        WHEN a.session_id % 7 = 2 THEN 'unknown state'
+        WHEN a.action <> 'BATCH' AND a.item_id * (a.seq % 13 + 1) NOT IN (SELECT id FROM items) THEN 'unknown item' END AS reason
+    FROM acts a JOIN sessions s USING (session_id)"""
+_oracle("rejected_actions", "SELECT session_id, seq, reason FROM faulty WHERE reason IS NOT NULL")
+_CTES["sound"] = """SELECT session_id, seq, action, bp AS blueprint,
+    row_number() OVER (PARTITION BY session_id ORDER BY ts, seq) AS n FROM faulty WHERE reason IS NULL"""
+_CTES["sound_trace"] = _CTES["trace"].replace("numbered x", "sound x").replace("FROM trace p", "FROM sound_trace p")
+_oracle("accepted_state_trace", "SELECT session_id, seq, action, state, next_state, batch_type FROM sound_trace")
+
 # --- streaming -------------------------------------------------------------
 
 _oracle("dedup_signals", "SELECT session_id, seq, action FROM numbered")
@@ -649,22 +666,23 @@ _oracle(
     """SELECT session_id, arg_max(next_state, n) AS state, bool_or(action <> 'BATCH') AS has_embeddings
     FROM trace GROUP BY session_id""",
 )
-_CTES["last_ask"] = """SELECT t.session_id, t.state, t.batch_type, x.blueprint, x.ts, x.seq
-    FROM trace t JOIN numbered x ON t.session_id = x.session_id AND t.n = x.n WHERE t.action = 'BATCH'
-    QUALIFY row_number() OVER (PARTITION BY t.session_id ORDER BY t.n DESC) = 1"""
-_CTES["live_log"] = """SELECT s.*, row_number() OVER (PARTITION BY s.session_id ORDER BY s.ts DESC, s.seq DESC) - 1 AS q_idx
-    FROM slog s JOIN last_ask a ON s.session_id = a.session_id AND (s.ts, s.seq) < (a.ts, a.seq)"""
+_CTES["stream_ask"] = """SELECT t.session_id || ':' || t.seq AS session_id, t.session_id AS own, t.state, t.batch_type,
+    x.blueprint, x.ts, x.seq
+    FROM trace t JOIN numbered x ON t.session_id = x.session_id AND t.n = x.n WHERE t.action = 'BATCH'"""
+_CTES["live_log"] = """SELECT a.session_id, s.item_id, s.weight,
+    row_number() OVER (PARTITION BY a.session_id ORDER BY s.ts DESC, s.seq DESC) - 1 AS q_idx
+    FROM slog s JOIN stream_ask a ON s.session_id = a.own AND (s.ts, s.seq) < (a.ts, a.seq)"""
 _CTES["live_profile"] = """SELECT l.session_id, l.q_idx, i.e, l.weight FROM live_log l JOIN items i ON l.item_id = i.id
     WHERE q_idx < 50"""
 _CTES["live_ask"] = """SELECT a.session_id, a.batch_type, nd.last_n, nd.n_topics, nd.threshold, nd.mmr
-    FROM last_ask a JOIN nodes nd ON nd.blueprint = a.blueprint AND nd.name = a.state"""
+    FROM stream_ask a JOIN nodes nd ON nd.blueprint = a.blueprint AND nd.name = a.state"""
 _CTES["live_chance"] = _CTES["ask_chance"].replace("asked", "live_ask").replace("profile", "live_profile")
 _CTES["live_personal"] = "SELECT * FROM live_ask WHERE batch_type = 'personalized'"
 _CTES["live_biased"] = "SELECT * FROM live_ask WHERE batch_type = 'biased'"
 _CTES["live_sampled"] = "SELECT * FROM live_ask WHERE batch_type = 'sampled'"
 _CTES["live_own"] = _own("live_personal").replace("profile p", "live_profile p")
 _CTES["live_biased_own"] = _own("live_biased").replace("profile p", "live_profile p")
-_CTES["live_biased_w"] = _with_bias("live_biased_own", "live_biased")
+_CTES["live_biased_w"] = _with_bias("live_biased_own", "live_biased", "split_part(r.session_id, ':', 1)::BIGINT")
 _CTES["live_drawn"] = _drawn("live_sampled")
 _budgets("live_own_q", "live_own", "live_personal")
 _budgets("live_biased_q", "live_biased_w", "live_biased")
@@ -674,4 +692,10 @@ _CTES["live_q"] = f"""SELECT * FROM live_own_q UNION ALL BY NAME SELECT * FROM l
     UNION ALL BY NAME SELECT * FROM live_drawn_q UNION ALL BY NAME {_chance('live_r')}"""
 _CTES["live_hist"] = """SELECT DISTINCT session_id, item_id AS hv FROM live_log
     WHERE session_id NOT IN (SELECT session_id FROM live_chance)"""
-_oracle("batch_stream", _batch("liv", "live_q", "live_hist"))
+_LIVE = _batch("liv", "live_q", "live_hist")
+_oracle("batch_stream", f"SELECT session_id AS request, position, id, score FROM ({_LIVE})")
+_oracle(
+    "stream_requests",
+    """SELECT a.session_id AS request, a.state, a.batch_type, coalesce(b.n, 0) AS n_served FROM stream_ask a
+    LEFT JOIN (SELECT session_id, count(*) AS n FROM liv_pool WHERE position <= 10 GROUP BY session_id) b USING (session_id)""",
+)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +14,17 @@ from sessionloom.operators.quantizers import Quantizer, ScalarQuantizer
 from sessionloom.sources.items import embedding_width
 
 
-def training_sample(items: DataFrame, train_size: int = QUANTIZER_TRAIN_SIZE, seed: int = 0) -> DataFrame:
-    """Neighbours of random probes, ``(q_idx, rank, id, embedding)``; repeats are kept."""
-    probes = min(int(train_size / TOPK_QUANT), MAX_TRAIN_PROBES)
+def training_sample(
+    items: DataFrame, train_size: int = QUANTIZER_TRAIN_SIZE, seed: int = 0, max_probes: int = MAX_TRAIN_PROBES
+) -> DataFrame:
+    """Neighbours of random probes, ``(q_idx, rank, id, embedding)``; repeats are kept.
+
+    One probe for every TOPK_QUANT vectors of ``train_size``, ``max_probes`` at most.
+    """
+    probes = min(int(train_size / TOPK_QUANT), max_probes)
     queries = random_queries(items.sparkSession, probes, embedding_width(items), TOPK_QUANT, seed)
     near = knn_join(queries.drop("top_k_mmr"), items).select("q_idx", "rank", "id")
-    # The sample is at most MAX_TRAIN_PROBES * TOPK_QUANT rows of ids.
+    # The sample is at most max_probes * TOPK_QUANT rows of ids.
     return items.select("id", "embedding").join(F.broadcast(near), "id")
 
 
@@ -46,11 +53,13 @@ def sketch_collection(
     return quantizer.encode(sample, model).withColumn("collection", F.lit(collection)), model
 
 
-def write_sketch(codes: DataFrame, model: DataFrame, path: str) -> None:
-    codes.write.mode("overwrite").parquet(f"{path}/codes")
-    model.write.mode("overwrite").parquet(f"{path}/model")
+def write_sketch(codes: DataFrame, model: DataFrame, collection: str, path: str) -> None:
+    """Stores a collection's sketch; those of other collections stay."""
+    for rows, name in ((codes, "codes"), (model, "model")):
+        rows.drop("collection").write.mode("overwrite").parquet(f"{path}/{name}/collection={quote(collection, safe='')}")
 
 
 def sketched_collections(spark: SparkSession, path: str) -> DataFrame:
     """Registry of the collections that have a sketch under ``path``."""
-    return spark.read.parquet(f"{path}/model").select("collection").distinct()
+    named = spark.read.option("basePath", f"{path}/model").parquet(f"{path}/model")
+    return named.select(F.col("collection").cast("string")).distinct()

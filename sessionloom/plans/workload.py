@@ -12,8 +12,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.config import broadcast_if_small, stage
-from sessionloom.operators.profiles import label_topics, user_embeddings
+from sessionloom.config import USER_EMBEDDINGS_LAST_N, broadcast_if_small, stage
+from sessionloom.operators.profiles import label_topics, profile_depth, user_embeddings
 from sessionloom.operators.states import session_state_trace
 from sessionloom.sources import blueprints, signals
 from sessionloom.sources.items import load_items
@@ -41,8 +41,6 @@ BATCH_TYPE_OF_EVENT = {
     "view": "sampled",
 }
 
-N_BIAS = 5
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -94,7 +92,8 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(user_embeddings(signals_log(spark, sf_dir), items(spark, sf_dir)))
+    depth = profile_depth(builtin(spark)[0])
+    return stage(user_embeddings(signals_log(spark, sf_dir), items(spark, sf_dir), depth))
 
 
 @lru_cache(maxsize=1)
@@ -124,10 +123,13 @@ def current_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bias(sessions: DataFrame, items: DataFrame) -> DataFrame:
-    """The same few bias vectors for every session, weight 1."""
-    few = items.where(F.col("id") < N_BIAS).select(F.col("id").cast("int").alias("bias_idx"), "embedding")
-    asked = sessions.select("session_id", F.explode(F.sequence(F.lit(0), F.lit(N_BIAS - 1))).alias("bias_idx"))
-    return asked.join(F.broadcast(few), "bias_idx").select("session_id", "bias_idx", "embedding", F.lit(1.0).alias("weight"))
+    """Bias vectors of weight 1: every second topic of the collection, by the session's parity."""
+    # One row per label.
+    own = topics(items).select(
+        (F.col("topic") % 2).alias("_parity"), F.floor(F.col("topic") / 2).cast("int").alias("bias_idx"), "embedding"
+    )
+    asked = sessions.select("session_id", (F.col("session_id") % 2).alias("_parity"))
+    return asked.join(F.broadcast(own), "_parity").select("session_id", "bias_idx", "embedding", F.lit(1.0).alias("weight"))
 
 
 def topics(items: DataFrame) -> DataFrame:
@@ -190,7 +192,7 @@ def custom_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.select(F.col("user_id").cast("string").alias("blueprint"), doc.alias("doc"))
 
 
-def latest_queries(spark: SparkSession, sf_dir: str, n: int = 3, top_k: int = 8) -> DataFrame:
-    """Queries of each session's latest signals."""
-    rows = user_embeddings(signals_log(spark, sf_dir), items(spark, sf_dir), n)
+def latest_queries(spark: SparkSession, sf_dir: str, top_k: int = 8) -> DataFrame:
+    """Queries of each session's whole profile."""
+    rows = user_embeddings(signals_log(spark, sf_dir), items(spark, sf_dir), USER_EMBEDDINGS_LAST_N)
     return stage(rows.withColumn("top_k", F.lit(top_k)))

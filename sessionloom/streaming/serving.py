@@ -5,7 +5,8 @@ repeated micro-batch replaces what its first try wrote:
 
 ``states``   node of each session the micro-batch touched
 ``signals``  its signals
-``served``   the batches it served
+``served``   the batches it served, one for each request
+``requests`` the requests it answered, with the number of items served
 ``late``     actions that came too late to be replayed, if lateness is limited
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.config import stage
-from sessionloom.operators.profiles import user_embeddings
+from sessionloom.operators.profiles import profile_depth, user_embeddings
 from sessionloom.operators.states import session_state_trace
 from sessionloom.plans.batches import Options, serve_requests
 from sessionloom.sources.signals import BATCH
@@ -25,7 +26,8 @@ from sessionloom.sources.signals import BATCH
 SCHEMAS = {
     "states": "session_id {session}, state string, has_embeddings boolean",
     "signals": "session_id {session}, ts timestamp, seq long, label string, weight double, item_id {item}",
-    "served": "session_id {session}, position int, id {item}, score double, q_idx int",
+    "served": "session_id {session}, ts timestamp, seq long, position int, id {item}, score double, q_idx int",
+    "requests": "session_id {session}, ts timestamp, seq long, state string, batch_type string, n_served int",
     "late": "session_id {session}, ts timestamp, seq long, action string",
 }
 
@@ -82,7 +84,12 @@ def update_states(tables: Tables, trace: DataFrame, previous: DataFrame, batch_i
 
 
 class Server:
-    """Handles one micro-batch of ``actions(session_id, ts, seq, action, weight, item_id)``."""
+    """Handles one micro-batch of ``actions(session_id, ts, seq, action, weight, item_id)``.
+
+    Every request is answered, as of its own time: from the session's node and signals
+    at that time, without what those signals or earlier micro-batches have shown.
+    Requests of one micro-batch are answered side by side and do not know each other.
+    """
 
     def __init__(
         self,
@@ -127,22 +134,38 @@ class Server:
         return actions.where(F.col("ts") >= oldest)
 
     def serve(self, trace: DataFrame, batch_id: int) -> None:
-        """One batch for each session that asked, as of its last request."""
+        """A batch for each request; a request is known by its session and number."""
         spark, tables = trace.sparkSession, self.tables
         order = F.struct("ts", "seq")
-        asked = trace.where(F.col("action") == BATCH).groupBy("session_id")
-        last = asked.agg(F.max_by(F.struct("batch_type", "params", order.alias("at")), order).alias("r"))
-        last = stage(last.select("session_id", "r.batch_type", "r.params", "r.at"))
-        signals = tables.read(spark, "signals", before=batch_id + 1)
-        log = signals.join(last.select("session_id", "at"), "session_id").where(order < F.col("at"))
-        log = stage(log.drop("at", "batch_id"))
-        profile = stage(user_embeddings(log, self.items))
+        asked = trace.where(F.col("action") == BATCH).select(
+            "session_id", "ts", "seq", "state", "batch_type", "params", order.alias("at"), request_key().alias("request")
+        )
+        asked = stage(asked)
+        own = asked.select("session_id", "request", "at")
+        signals = tables.read(spark, "signals", before=batch_id + 1).drop("batch_id")
+        log = signals.join(own, "session_id").where(order < F.col("at"))
+        log = stage(log.drop("at", "session_id").withColumnRenamed("request", "session_id"))
+        profile = stage(user_embeddings(log, self.items, profile_depth(self.nodes)))
         warm = profile.select("session_id").distinct().withColumn("has_embeddings", F.lit(True))
-        requests = last.drop("at").join(warm, "session_id", "left")
+        requests = asked.select(F.col("request").alias("session_id"), "batch_type", "params").join(warm, "session_id", "left")
         requests = stage(requests.withColumn("has_embeddings", F.coalesce("has_embeddings", F.lit(False))))
+
+        def by_request(rows: DataFrame) -> DataFrame:
+            return rows.join(own.select("session_id", "request"), "session_id").drop("session_id").withColumnRenamed("request", "session_id")
+
         served = tables.read(spark, "served", before=batch_id).select("session_id", F.col("id").alias("item_id"))
-        seen = log.select("session_id", "item_id").union(served)
+        seen = log.select("session_id", "item_id").union(by_request(served).select("session_id", "item_id"))
         values = self.items.select(F.col("id").alias("item_id"), "history_value")
         history = seen.join(values, "item_id").select("session_id", "history_value")
-        found = serve_requests(requests, profile, self.items, self.topics, self.bias, history, self.options)
-        tables.write(found, "served", batch_id)
+        found = serve_requests(requests, profile, self.items, self.topics, by_request(self.bias), history, self.options)
+        found = stage(found.withColumnRenamed("session_id", "request"))
+        keys = asked.select("request", "session_id", "ts", "seq")
+        tables.write(found.join(keys, "request").select("session_id", "ts", "seq", "position", "id", "score", "q_idx"), "served", batch_id)
+        sizes = found.groupBy("request").agg(F.count(F.lit(1)).cast("int").alias("n"))
+        answered = asked.join(sizes, "request", "left").withColumn("n_served", F.coalesce("n", F.lit(0)))
+        tables.write(answered.select("session_id", "ts", "seq", "state", "batch_type", "n_served"), "requests", batch_id)
+
+
+def request_key():
+    """A request as text: session and number."""
+    return F.concat_ws(":", F.col("session_id").cast("string"), F.col("seq").cast("string"))

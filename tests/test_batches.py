@@ -171,7 +171,15 @@ def test_serving_stream(spark, sf_dir, split_events, tmp_path):
     assert tables.read(spark, "signals").count() == w.signals_log(spark, sf_dir).count()
     served = tables.read(spark, "served")
     assert served.select("batch_id").distinct().count() == 3
-    assert served.groupBy("session_id", "batch_id").count().where("count > 4").isEmpty()
+    assert served.groupBy("session_id", "seq").count().where("count > 4").isEmpty()
+    # Every request has an answer, whatever micro-batch it came with.
+    asked = w.valid_actions(spark, sf_dir).where("action = 'BATCH'").select("session_id", "seq")
+    answered = tables.read(spark, "requests")
+    assert sorted(answered.select("session_id", "seq").collect()) == sorted(asked.collect())
+    sizes = {(r["session_id"], r["seq"]): r["n_served"] for r in answered.collect()}
+    assert {(r["session_id"], r["seq"]): r["count"] for r in served.groupBy("session_id", "seq").count().collect()} == {
+        k: n for k, n in sizes.items() if n
+    }
 
     compact = serving.Tables(str(tmp_path / "compact")).create(spark)
     serving.compact_states(spark, tables, 2, compact)
@@ -196,7 +204,8 @@ def test_text_ids(spark, sf_dir, tmp_path):
     log.write.parquet(path)
     tables = serving.Tables(str(tmp_path / "tables"), "string", "string").create(spark)
     # Topics and bias vectors are ids-free copies of the numbered items' ones.
-    server = serving.Server(tables, routed, named, nodes, edges, w.topics(items), w.bias(routed, items))
+    bias = w.bias(w.sessions(spark, sf_dir), items).withColumn("session_id", F.concat(F.lit("s"), "session_id"))
+    server = serving.Server(tables, routed, named, nodes, edges, w.topics(items), bias)
     server(spark.read.parquet(path), 0)
     served = tables.read(spark, "served")
     assert served.count() > 0 and served.where("id NOT LIKE 'i%' OR session_id NOT LIKE 's%'").isEmpty()

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sessionloom.config import local_table
 from sessionloom.operators import quantize
@@ -95,7 +96,23 @@ def test_sketch_only_once(spark, tmp_path):
     items = table(spark, unit(60, 8)).selectExpr("id", "embedding", "id AS history_value")
     codes, model = sketch.sketch_collection(items, "c")
     assert codes.count() == 100 and model.count() == 256
-    sketch.write_sketch(codes, model, str(tmp_path))
+    sketch.write_sketch(codes, model, "c", str(tmp_path))
     registry = sketch.sketched_collections(spark, str(tmp_path))
     assert sketch.sketch_collection(items, "c", registry) is None
-    assert sketch.sketch_collection(items, "d", registry, ScalarQuantizer(8)) is not None
+    codes, model = sketch.sketch_collection(items, "d/2", registry, ScalarQuantizer(8))
+    sketch.write_sketch(codes, model, "d/2", str(tmp_path))
+    registry = sketch.sketched_collections(spark, str(tmp_path))
+    assert sorted(r["collection"] for r in registry.collect()) == ["c", "d/2"]
+
+
+def test_borders_of_an_ordered_collection(spark):
+    """Borders come from all partitions: no bin holds a large share of the values."""
+    x = np.arange(40_000, dtype=np.float64)
+    ordered = table(spark, x[:, None]).select("embedding").coalesce(1).repartitionByRange(8, F.col("embedding")[0])
+    borders = quantize._borders(ordered)
+    assert borders[-1] > 0.95 * x[-1] and np.diff(np.searchsorted(x, borders)).max() < 2000
+
+
+def test_training_probes_are_a_parameter(spark):
+    items = table(spark, unit(60, 8)).selectExpr("id", "embedding", "id AS history_value")
+    assert sketch.training_sample(items, 50, max_probes=4).count() == 20

@@ -192,3 +192,34 @@ def test_projection(spark):
     assert "embedding" in items_module.project_result(rows, items).columns
     assert items_module.project_result(rows, items, False).columns == ["id", "score", "kind"]
     assert items_module.restrict(items, F.col("kind") == 0).count() == 4
+
+
+BROKEN = {3: np.nan, 17: np.inf, 30: -np.inf}
+
+
+@pytest.mark.parametrize("metric", ivf.INDEXED_METRICS)
+def test_broken_vectors_are_never_found(spark, metric):
+    m, q = vectors(200), vectors(20, 1)
+    for row, value in BROKEN.items():
+        m[row, row % DIM] = value
+    q[5, 2], q[6, 0] = np.nan, np.inf
+    items, top_k = item_table(spark, m), np.full(20, 5)
+    queries = query_table(spark, q, top_k)
+    sound = np.nan_to_num(m, posinf=0, neginf=0)
+    wanted = {r for r in expected(np.nan_to_num(q), sound, metric, top_k, lambda _, j: j in BROKEN) if (r[0], r[1]) not in ((1, 1), (1, 2))}
+    assert found(knn.knn_join(queries, items, metric)) == wanted
+    index = ivf.build_index(items, ivf.train_cells(items, 10, metric), metric)
+    assert found(ivf.ivf_join(queries, index)) == wanted
+    nearest = knn.search(items, q[0].tolist(), 200, metric).collect()
+    assert len(nearest) == 197 and not {r["id"] for r in nearest} & set(BROKEN)
+    with pytest.raises(ValueError):
+        knn.search(items, q[5].tolist(), 3, metric)
+
+
+def test_cosine_of_broken_vectors_is_zero(spark):
+    from sessionloom.functions import vectors as V
+
+    rows = [([1.0, 2.0], [2.0, 4.0]), ([0.0, 0.0], [1.0, 1.0]), ([float("nan"), 1.0], [1.0, 1.0]), ([float("inf"), 1.0], [1.0, 1.0])]
+    table = local_table(spark, rows, "a array<double>, b array<double>")
+    got = [r[0] for r in table.select(V.cosine(F.col("a"), F.col("b"))).collect()]
+    assert got == pytest.approx([1, 0, 0, 0])
