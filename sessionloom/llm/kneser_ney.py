@@ -23,7 +23,7 @@ ORDER = 4
 BOUNDARY = 0x20
 UNKNOWN = "und"
 #: Most log-probabilities a model may have (n-grams of the highest order x languages).
-MAX_CELLS = 16_000_000
+MAX_CELLS = 4_000_000
 #: Symbols beyond this number make a prediction no surer.
 SURE_SYMBOLS = 60.0
 

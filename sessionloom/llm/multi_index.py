@@ -104,13 +104,18 @@ def _rank_rows(shared, similarity: float):
     """How many links of the sample queries lie in the cells of each rank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grid, queries, ranks = shared.value
-        totals = np.zeros(ranks.shape[1] + 1, np.int64)
+        grid, queries = shared.value
+        first, second = grid.halves(queries)
+        totals = np.zeros(first.shape[1] * second.shape[1], np.int64)
         for batch in batches:
             for k in range(0, batch.num_rows, 4096):
                 unit = _unit(_matrix(batch.column("embedding").slice(k, 4096)))
                 i, j = np.nonzero(queries @ unit.T >= similarity)
-                totals += np.bincount(ranks[i, grid.cells(unit)[j]], minlength=len(totals))
+                cells = grid.cells(unit)[j]
+                for query in np.unique(i):
+                    away = (first[query][:, None] + second[query]).ravel()
+                    ranks = np.searchsorted(np.sort(away), away[cells[i == query]])
+                    totals += np.bincount(ranks, minlength=len(totals))
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], names=["rank", "n"])
 
@@ -120,10 +125,7 @@ def _rank_rows(shared, similarity: float):
 def visits_needed(vectors: DataFrame, grid: Grid, sample: np.ndarray, similarity: float, recall: float) -> int:
     """The number of cells to visit so that the sample queries find their links."""
     cells = len(grid.books[0]) * len(grid.books[1])
-    ranks = np.zeros((len(sample), cells), np.int32)
-    for row, order in enumerate(grid.visits(sample, cells)):
-        ranks[row, order] = np.arange(cells)
-    shared = vectors.sparkSession.sparkContext.broadcast((grid, sample, ranks))
+    shared = vectors.sparkSession.sparkContext.broadcast((grid, sample))
     found = vectors.select("embedding").mapInArrow(_rank_rows(shared, similarity), "rank long, n long")
     rows = sorted((r["rank"], r["n"]) for r in found.groupBy("rank").agg(F.sum("n").alias("n")).collect())
     total, reached = sum(n for _, n in rows), 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionloom.config import stage
 from sessionloom.llm import (
     best_fit,
     chosen_path,
@@ -92,7 +93,8 @@ def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.crc32(F.col("doc_id").cast("string")) % 4
     model = kneser_ney.fit(docs.where(remainder != 2))
     held_out = F.coalesce(remainder == 2, F.lit(False)).alias("held_out")
-    return kneser_ney.predict(docs, model).select("doc_id", held_out, "lang_pred", "score", "entropy")
+    predicted = kneser_ney.with_rejection(stage(kneser_ney.predict(docs, model)))
+    return predicted.select("doc_id", held_out, "lang_pred", "score", "entropy", "rejected")
 
 
 def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
