@@ -23,7 +23,7 @@ from sessionloom.operators.knn import knn_join
 from sessionloom.operators.postprocess import apply_params, take_batch
 from sessionloom.sources.blueprints import transition_lookup
 from sessionloom.sources.history import history_values
-from sessionloom.sources.items import embedding_width
+from sessionloom.sources.items import embedding_width, project_result
 from sessionloom.sources.sessions import route_algorithm
 from sessionloom.sources.signals import BATCH
 
@@ -196,6 +196,55 @@ def next_batch(
     return serve_requests(requests, profile, items, topics, bias, history, options), requests
 
 
+PROGRESS = {"states": "session_id {session}, state string", "served": "session_id {session}, history_value {value}"}
+
+
+def create_progress(sessions: DataFrame, items: DataFrame, path: str) -> None:
+    """Empty tables of states and served items, as batch -1."""
+    types = {
+        "session": sessions.schema["session_id"].dataType.simpleString(),
+        "value": items.schema["history_value"].dataType.simpleString(),
+    }
+    for name, schema in PROGRESS.items():
+        empty = sessions.sparkSession.createDataFrame([], schema.format(**types)).coalesce(1)
+        empty.write.mode("overwrite").parquet(f"{path}/{name}/batch_id=-1")
+
+
+def recorded_next_batch(
+    sessions: DataFrame,
+    profile: DataFrame,
+    items: DataFrame,
+    nodes: DataFrame,
+    edges: DataFrame,
+    topics: DataFrame,
+    bias: DataFrame,
+    path: str,
+    batch_id: int,
+    history: DataFrame | None = None,
+    options: Options = Options(),
+) -> DataFrame:
+    """The next batch of every session, with the items' metadata, written down under ``path``.
+
+    States and served items of earlier batches are taken from there; ``history`` is
+    what else sessions have seen. Running a batch again replaces what it wrote.
+    """
+    spark = sessions.sparkSession
+    earlier = F.col("batch_id") < batch_id
+    states = spark.read.parquet(f"{path}/states").where(earlier).groupBy("session_id")
+    known = states.agg(F.max_by("state", "batch_id").alias("_state"))
+    current = sessions.join(known, "session_id", "left").withColumn("state", F.coalesce("_state", "state")).drop("_state")
+    seen = spark.read.parquet(f"{path}/served").where(earlier).select("session_id", "history_value")
+    if history is not None:
+        seen = seen.unionByName(history_values(history))
+    found, requests = next_batch(stage(current), profile, items, nodes, edges, topics, bias, stage(seen), options)
+    found = stage(found)
+    values = items.select("id", "history_value")
+    found.join(values, "id").select("session_id", "history_value").write.mode("overwrite").parquet(f"{path}/served/batch_id={batch_id}")
+    moved = requests.select("session_id", F.col("next_state").alias("state"))
+    moved.write.mode("overwrite").parquet(f"{path}/states/batch_id={batch_id}")
+    return project_result(found, items, include_values=False)
+
+
 def serve_requests(
     requests: DataFrame,
     profile: DataFrame,

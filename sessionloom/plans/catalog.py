@@ -455,6 +455,36 @@ def custom_state_trace(spark, sf_dir):
     return found.select("session_id", "seq", "action", "state", "next_state")
 
 
+def _custom_actions(spark, sf_dir) -> DataFrame:
+    """All events; an error is the signal each session's blueprint document defines."""
+    _, _, added = blueprints.load_blueprints(w.custom_documents(spark, sf_dir))
+    actions = w.all_actions(spark, sf_dir).withColumn("blueprint", F.col("session_id").cast("string"))
+    action = F.when(F.col("action") == "ERROR", F.lit("user_signal")).otherwise(F.col("action"))
+    return signals.parse_actions(actions.withColumn("action", action), signals.vocabulary(spark), added)
+
+
+@query
+def custom_signals(spark, sf_dir):
+    return _custom_actions(spark, sf_dir).select("session_id", "seq", "action", "weight", "known")
+
+
+@query
+def custom_signal_trace(spark, sf_dir):
+    """Sessions through their own blueprints, their own signals included."""
+    nodes, edges, _ = blueprints.load_blueprints(w.custom_documents(spark, sf_dir))
+    own = w.sessions(spark, sf_dir).select("session_id", F.col("session_id").cast("string").alias("blueprint"), "state")
+    actions = _custom_actions(spark, sf_dir).where("known").drop("blueprint")
+    found = states.session_state_trace(actions, own, nodes, edges)
+    return found.select("session_id", "seq", "action", "state", "next_state")
+
+
+@query
+def custom_signal_profile(spark, sf_dir):
+    """Profiles with the signals' own weights."""
+    log, _ = signals.signal_guard(_custom_actions(spark, sf_dir))
+    return _vector_ends(profiles.user_embeddings(log, w.items(spark, sf_dir)))
+
+
 @query
 def maximal_marginal_relevance(spark, sf_dir):
     found = stage(latest_candidates(spark, sf_dir)).withColumn("top_k_mmr", F.lit(4))
@@ -671,6 +701,27 @@ def next_batch(spark, sf_dir):
     return served(found)
 
 
+def _recorded(spark, sf_dir, number: int) -> DataFrame:
+    """The last of ``number`` batches in a row."""
+    all_items = w.items(spark, sf_dir)
+    current = stage(w.current_sessions(spark, sf_dir))
+    path = new_table_path(spark, "progress")
+    batches.create_progress(current, all_items, path)
+    nodes, edges = w.builtin(spark)
+    fixed = (nodes, edges, w.topics(all_items), w.bias(current, all_items), path)
+    profile, seen = w.profile(spark, sf_dir), w.history(spark, sf_dir)
+    found = None
+    for batch_id in range(number):
+        found = batches.recorded_next_batch(current, profile, all_items, *fixed, batch_id, seen)
+    return found
+
+
+@query
+def next_batch_twice(spark, sf_dir):
+    """The second of two batches: states have moved, what the first showed is left out."""
+    return _recorded(spark, sf_dir, 2).select("session_id", "position", "id", rounded("score"), "label")
+
+
 @query
 def next_batch_requests(spark, sf_dir):
     nodes, edges = w.builtin(spark)

@@ -539,6 +539,25 @@ _CTES["custom_trace"] = """SELECT x.session_id, x.seq, x.n, x.action, st.s AS st
     FROM custom_trace p JOIN numbered x ON x.session_id = p.session_id AND x.n = p.n + 1
     JOIN custom_step st ON st.blueprint = x.session_id::VARCHAR AND st.s = p.next_state AND st.action = x.action"""
 _oracle("custom_state_trace", "SELECT session_id, seq, action, state, next_state FROM custom_trace")
+_CTES["custom_acts"] = """SELECT a.session_id, a.ts, a.seq, a.item_id,
+    CASE WHEN a.action = 'ERROR' THEN 'USER_SIGNAL' ELSE a.action END AS action,
+    CASE WHEN a.action = 'ERROR' THEN 1.5 ELSE v.weight END::DOUBLE AS weight,
+    row_number() OVER (PARTITION BY a.session_id ORDER BY a.ts, a.seq) AS n
+    FROM acts a LEFT JOIN vocabulary v ON a.action = v.label"""
+_oracle("custom_signals", "SELECT session_id, seq, action, weight, weight IS NOT NULL OR action = 'BATCH' AS known FROM custom_acts")
+_CTES["signal_step"] = _CTES["custom_step"].replace("FROM numbered)", "FROM custom_acts)")
+_CTES["signal_trace"] = (
+    _CTES["custom_trace"]
+    .replace("numbered x", "custom_acts x")
+    .replace("custom_step", "signal_step")
+    .replace("FROM custom_trace p", "FROM signal_trace p")
+)
+_oracle("custom_signal_trace", "SELECT session_id, seq, action, state, next_state FROM signal_trace")
+_CTES["signal_profile"] = """SELECT session_id, q_idx, e, weight FROM (
+    SELECT a.session_id, a.weight, i.e,
+        row_number() OVER (PARTITION BY a.session_id ORDER BY a.ts DESC, a.seq DESC) - 1 AS q_idx
+    FROM custom_acts a JOIN items i ON a.item_id = i.id WHERE a.action <> 'BATCH') WHERE q_idx < 50"""
+_oracle("custom_signal_profile", _ends("signal_profile"))
 _CTES["found4"] = "SELECT *, 4 AS top_k_mmr FROM found"
 _mmr("diverse", "found4", steps=4)
 _mmr("diverse_top", "found4", "DESC", steps=4)
@@ -628,6 +647,23 @@ _CTES["next_q"] = f"""SELECT * FROM next_own_q UNION ALL BY NAME SELECT * FROM n
 _CTES["next_hist"] = "SELECT * FROM hist WHERE session_id NOT IN (SELECT session_id FROM ask_chance)"
 _oracle("next_batch", _batch("nxt", "next_q", "next_hist"))
 ORACLES["next_batch_indexed"] = ORACLES["next_batch"]
+
+# A second batch: every table of the first one again, after the first one.
+_CTES["first_batch"] = "SELECT session_id, id FROM nxt_pool WHERE position <= 10"
+_CTES["asked2"] = """SELECT s.session_id, s.blueprint, s.next_state AS shown_state, st.batch_type, st.t AS next_state,
+    nd.last_n, nd.n_topics, nd.threshold, nd.mmr, nd.mu, nd.alpha, nd.r
+    FROM asked s JOIN nodes nd ON nd.blueprint = s.blueprint AND nd.name = s.next_state
+    JOIN step st ON st.blueprint = s.blueprint AND st.s = nd.name AND st.action = 'BATCH'"""
+_CTES["hist2"] = "SELECT session_id, hv FROM hist UNION SELECT session_id, id FROM first_batch"
+_FIRST = [k for k in _CTES if re.match(r"(ask_|next_)", k)]
+_SECOND = re.compile(r"\b(" + "|".join(["asked", "hist", *_FIRST]) + r")\b")
+for _name in _FIRST:
+    _CTES[f"{_name}2"] = _SECOND.sub(r"\g<1>2", _CTES[_name])
+_TWICE = _batch("nxt2", "next_q2", "next_hist2")
+_oracle(
+    "next_batch_twice",
+    f"SELECT t.session_id, t.position, t.id, t.score, i.label FROM ({_TWICE}) t JOIN items i ON t.id = i.id",
+)
 _oracle(
     "next_batch_requests",
     "SELECT session_id, blueprint, coalesce(shown_state, '0') AS state, batch_type, next_state FROM asked",

@@ -98,14 +98,20 @@ def load_signals(vocabulary: DataFrame, added: DataFrame, scope: list[str] | Non
     return kept.unionByName(latest)
 
 
-def parse_actions(events: DataFrame, signals: DataFrame) -> DataFrame:
+def parse_actions(events: DataFrame, signals: DataFrame, scoped: DataFrame | None = None) -> DataFrame:
     """Resolve ``action`` texts: adds ``is_batch`` and, for signals, ``weight``.
 
-    ``known`` is false where the action is neither BATCH nor a signal.
+    ``known`` is false where the action is neither BATCH nor a signal. ``scoped``
+    holds signals of single blueprints, ``(blueprint, label, weight)``; an event's
+    own blueprint (a column ``blueprint``) is asked before the vocabulary.
     """
     parsed = events.withColumn("action", F.upper("action"))
     signals = broadcast_if_small(signals)
     looked_up = parsed.join(signals, parsed["action"] == signals["label"], "left").drop("label")
+    if scoped is not None:
+        own = scoped.select("blueprint", F.upper("label").alias("action"), F.col("weight").cast("double").alias("_own"))
+        looked_up = looked_up.join(broadcast_if_small(own), ["blueprint", "action"], "left")
+        looked_up = looked_up.withColumn("weight", F.coalesce("_own", "weight")).drop("_own")
     is_batch = F.coalesce(F.col("action") == BATCH, F.lit(False))
     return looked_up.withColumn("is_batch", is_batch).withColumn("known", is_batch | F.col("weight").isNotNull())
 
