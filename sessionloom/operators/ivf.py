@@ -15,11 +15,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionloom.config import BLOCK_FLOATS, broadcast_if_small, stage
+from sessionloom.config import BLOCK_FLOATS, broadcast_if_small, local_table, stage
 from sessionloom.functions import vectors as V
 from sessionloom.operators.knn import (
     QUERY_KEYS,
@@ -54,6 +54,7 @@ class Index:
     sizes: np.ndarray  # of each cell
     metric: str
     unit_rows: int
+    stored: bool = False  # items lie in one folder per unit
 
 
 def train_cells(
@@ -112,6 +113,32 @@ def build_index(
     )
 
 
+def write_index(index: Index, path: str) -> None:
+    """Stores an index for later jobs: items in one folder per unit, and what is known of cells."""
+    index.items.repartition("unit").write.mode("overwrite").partitionBy("unit").parquet(f"{path}/items")
+    index.units.write.mode("overwrite").parquet(f"{path}/units")
+    cells = [(i, c.tolist(), float(r), int(n)) for i, (c, r, n) in enumerate(zip(index.centroids, index.radius, index.sizes))]
+    schema = "cell int, centroid array<double>, radius double, n long"
+    table = local_table(index.items.sparkSession, cells, schema)
+    table.withColumns({"metric": F.lit(index.metric), "unit_rows": F.lit(index.unit_rows)}).write.mode("overwrite").parquet(f"{path}/cells")
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    """A stored index; a search reads the units it visits only."""
+    # One row per cell.
+    cells = spark.read.parquet(f"{path}/cells").orderBy("cell").collect()
+    return Index(
+        spark.read.parquet(f"{path}/items"),
+        broadcast_if_small(spark.read.parquet(f"{path}/units")),
+        np.array([r["centroid"] for r in cells]),
+        np.array([r["radius"] for r in cells]),
+        np.array([r["n"] for r in cells]),
+        cells[0]["metric"],
+        cells[0]["unit_rows"],
+        stored=True,
+    )
+
+
 def prepared(column, metric: str) -> np.ndarray:
     """Vectors in the space the cells live in."""
     m = matrix(column)
@@ -226,13 +253,17 @@ def _search_cells(probes: DataFrame, index: Index, exclude: DataFrame | None) ->
     # As many query groups per unit as its visitors fill: one row per unit.
     groups = visits.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / index.unit_rows).cast("int").alias("groups"))
     groups = broadcast_if_small(groups)
+    stored_items = index.items
+    if index.stored:
+        # At most as many rows as the index has units.
+        stored_items = stored_items.where(F.col("unit").isin([r["unit"] for r in groups.select("unit").collect()]))
 
     def in_group(run):
         return F.pmod(F.xxhash64("session_id", run), F.col("groups")).cast("int")
 
     run = F.floor(F.col("q_idx") / QUERY_RUN)
     query_side = visits.join(groups, "unit").withColumn("grp", in_group(run)).drop("groups")
-    item_side = index.items.join(groups, "unit")
+    item_side = stored_items.join(groups, "unit")
     item_side = item_side.withColumn("grp", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
     skips = None
     if exclude is not None:

@@ -301,6 +301,15 @@ def approximate_search(spark, sf_dir):
     return found.select("expected", rounded("recall"))
 
 
+@query
+def stored_index_search(spark, sf_dir):
+    """Neighbours of every item through an index that an earlier job has stored."""
+    all_items = w.items(spark, sf_dir)
+    path = new_table_path(spark, "index")
+    ivf.write_index(ivf.build_index(all_items, ivf.train_cells(all_items, 16)), path)
+    return shown(ivf.ivf_join(_item_queries(all_items), ivf.read_index(spark, path)))
+
+
 @query
 def signal_item_join(spark, sf_dir):
     joined = signals.signal_item_join(w.signals_log(spark, sf_dir), w.items(spark, sf_dir))

@@ -398,6 +398,7 @@ for _name, _metric in (
 ):
     _oracle(_name, _shown(f"({_knn('item_queries', metric=_metric)})"))
 ORACLES["indexed_search"] = ORACLES["multi_search"]
+ORACLES["stored_index_search"] = ORACLES["multi_search"]
 ORACLES["indexed_history_search"] = ORACLES["history_search"]
 _oracle(
     "signal_item_join",

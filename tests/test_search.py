@@ -223,3 +223,15 @@ def test_cosine_of_broken_vectors_is_zero(spark):
     table = local_table(spark, rows, "a array<double>, b array<double>")
     got = [r[0] for r in table.select(V.cosine(F.col("a"), F.col("b"))).collect()]
     assert got == pytest.approx([1, 0, 0, 0])
+
+
+@pytest.mark.parametrize("n_probe", [None, 2])
+def test_stored_index(spark, tmp_path, n_probe):
+    m, q = vectors(120), vectors(20, 1)
+    items, queries = item_table(spark, m), query_table(spark, q, np.full(20, 5))
+    index = ivf.build_index(items, ivf.train_cells(items, 8), block_floats=DIM * 10)
+    ivf.write_index(index, str(tmp_path))
+    again = ivf.read_index(spark, str(tmp_path))
+    assert found(ivf.ivf_join(queries, again, n_probe)) == found(ivf.ivf_join(queries, index, n_probe)) != set()
+    plan = again.items.where(F.col("unit").isin([1, 2]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [unit" in plan
