@@ -18,6 +18,9 @@ from sessionloom.llm import (
     raking,
     segment_counts,
 )
+from sessionloom.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,4 +128,3 @@ QUERIES = {
         op10_packed_ids,
     )
 }
-ORACLES: dict[str, str] = {"op4_raking": raking.oracle()}
