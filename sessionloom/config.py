@@ -34,6 +34,10 @@ BLOCK_FLOATS = 1 << 22
 BROADCAST_ROWS = 50_000
 
 
+# Keeps the keyed state of streams on disk.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def get_session(app_name: str = "sessionloom", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the plans are designed for."""
     builder = (
@@ -43,6 +47,7 @@ def get_session(app_name: str = "sessionloom", master: str | None = None, **conf
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .config("spark.ui.enabled", "false")
     )
     if master:

@@ -13,8 +13,6 @@ from sessionloom.config import USER_EMBEDDINGS_LAST_N, broadcast_if_small
 from sessionloom.operators.states import prefix_compose, resolve_steps
 from sessionloom.sources.signals import BATCH
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 _OUTPUT = (
     "session_id {session}, ts timestamp, seq long, action string, blueprint string, "
     "state_ord int, next_ord int, has_embeddings boolean, profile_size int"
@@ -54,8 +52,10 @@ def signal_stream(
     spark: SparkSession, actions: DataFrame, sessions: DataFrame, nodes: DataFrame, edges: DataFrame
 ) -> DataFrame:
     """Stream of ``actions(session_id, ts, seq, action, weight, item_id)`` with the
-    state before and after each and the size of the session's profile."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    state before and after each and the size of the session's profile.
+
+    Many sessions want the state store on disk that ``get_session`` sets.
+    """
     nodes = broadcast_if_small(nodes)
     resolved, table = resolve_steps(actions, sessions, nodes, edges, keep=["weight", "item_id"])
 

@@ -4,6 +4,8 @@ State lives in tables in shared storage, one folder per micro-batch, so that a
 repeated micro-batch replaces what its first try wrote:
 
 ``states``   node of each session the micro-batch touched
+``snapshots`` now and then, the node of every session so far
+``newest``   the time of the micro-batch's last signal
 ``signals``  its signals
 ``served``   the batches it served, one for each request
 ``requests`` the requests it answered, with the number of items served
@@ -25,6 +27,8 @@ from sessionloom.sources.signals import BATCH
 
 SCHEMAS = {
     "states": "session_id {session}, state string, has_embeddings boolean",
+    "snapshots": "session_id {session}, state string, has_embeddings boolean",
+    "newest": "ts timestamp",
     "signals": "session_id {session}, ts timestamp, seq long, label string, weight double, item_id {item}",
     "served": "session_id {session}, ts timestamp, seq long, position int, id {item}, score double, q_idx int",
     "requests": "session_id {session}, ts timestamp, seq long, state string, batch_type string, n_served int",
@@ -66,6 +70,20 @@ def latest_states(states: DataFrame) -> DataFrame:
     )
 
 
+def states_before(spark: SparkSession, tables: Tables, batch_id: int, touched: DataFrame | None = None) -> DataFrame:
+    """States before a micro-batch, of ``touched`` sessions or of all.
+
+    Read from the last snapshot and the micro-batches after it.
+    """
+    snapshots = tables.read(spark, "snapshots", before=batch_id)
+    # Of the folders' names only.
+    last = snapshots.agg(F.max("batch_id")).first()[0]
+    last = -1 if last is None else last
+    recent = tables.read(spark, "states", before=batch_id).where(F.col("batch_id") > last)
+    rows = snapshots.where(F.col("batch_id") == last).unionByName(recent)
+    return latest_states(rows if touched is None else rows.join(touched, "session_id", "left_semi"))
+
+
 def compact_states(spark: SparkSession, tables: Tables, upto: int, target: "Tables") -> None:
     """Write the states after micro-batch ``upto`` as the start of new tables."""
     target.write(latest_states(tables.read(spark, "states", before=upto + 1)), "states", -1)
@@ -102,29 +120,34 @@ class Server:
         bias: DataFrame,
         options: Options = Options(),
         lateness: str | None = None,
+        snapshot_every: int = 32,
     ):
         self.tables, self.sessions, self.items = tables, sessions, items
         self.nodes, self.edges, self.topics, self.bias = nodes, edges, topics, bias
-        self.options, self.lateness = options, lateness
+        self.options, self.lateness, self.snapshot_every = options, lateness, snapshot_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, tables = batch.sparkSession, self.tables
         actions = self.on_time(stage(batch), batch_id)
-        previous = latest_states(tables.read(spark, "states", before=batch_id))
+        touched = stage(actions.select("session_id").distinct())
+        previous = stage(states_before(spark, tables, batch_id, touched))
         known = previous.select("session_id", F.col("state").alias("_state"))
-        current = self.sessions.join(known, "session_id", "left")
+        current = self.sessions.join(touched, "session_id", "left_semi").join(known, "session_id", "left")
         current = current.withColumn("state", F.coalesce("_state", "state")).drop("_state")
         trace = stage(session_state_trace(actions, current, self.nodes, self.edges))
         new_signals = actions.where(F.col("action") != BATCH).withColumnRenamed("action", "label")
         tables.write(new_signals.select("session_id", "ts", "seq", "label", "weight", "item_id"), "signals", batch_id)
         self.serve(trace, batch_id)
         update_states(tables, trace, previous, batch_id)
+        tables.write(new_signals.agg(F.max("ts").alias("ts")), "newest", batch_id)
+        if (batch_id + 1) % self.snapshot_every == 0:
+            tables.write(states_before(spark, tables, batch_id + 1), "snapshots", batch_id)
 
     def on_time(self, actions: DataFrame, batch_id: int) -> DataFrame:
         """Set aside actions older than the newest signal of earlier micro-batches allows."""
         if self.lateness is None:
             return actions
-        earlier = self.tables.read(actions.sparkSession, "signals", before=batch_id)
+        earlier = self.tables.read(actions.sparkSession, "newest", before=batch_id)
         newest = earlier.agg(F.max("ts")).first()[0]
         if newest is None:
             return actions

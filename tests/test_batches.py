@@ -158,14 +158,18 @@ def test_serving_stream(spark, sf_dir, split_events, tmp_path):
     nodes, edges = w.builtin(spark)
     routed = stage(sessions.route_algorithm(w.sessions(spark, sf_dir)))
     tables = serving.Tables(str(tmp_path)).create(spark)
-    server = serving.Server(tables, routed, items, nodes, edges, w.topics(items), w.bias(routed, items), batches.Options(batch_size=4))
+    server = serving.Server(tables, routed, items, nodes, edges, w.topics(items), w.bias(routed, items), batches.Options(batch_size=4), snapshot_every=2)
 
     def twice(batch, batch_id):
         server(batch, batch_id)
         server(batch, batch_id)
 
     events.run_available(action_stream(spark, sf_dir, split_events), twice, "serving")
-    states = serving.latest_states(tables.read(spark, "states"))
+    # After the second of three micro-batches, only its snapshot and the third are read.
+    states = serving.states_before(spark, tables, 3)
+    assert sorted(states.collect()) == sorted(serving.latest_states(tables.read(spark, "states")).collect())
+    assert [r["batch_id"] for r in tables.read(spark, "snapshots").select("batch_id").distinct().collect()] == [1]
+    assert "PartitionFilters: [isnotnull(batch_id" in states._jdf.queryExecution().executedPlan().toString()
     expected = w.current_sessions(spark, sf_dir).select("session_id", "state", "has_embeddings")
     assert sorted(states.collect()) == sorted(expected.collect())
     assert tables.read(spark, "signals").count() == w.signals_log(spark, sf_dir).count()
