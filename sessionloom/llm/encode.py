@@ -8,27 +8,76 @@ met (a bounded number); the rest go through the tokenizer together.
 from __future__ import annotations
 
 import base64
+import gc
 import os
 import re
+import sys
+from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import pyarrow as pa
 
 #: Parts a worker remembers, none longer than MAX_PART bytes.
-KEPT_PARTS = 300_000
+KEPT_PARTS = 200_000
 MAX_PART = 64
 
 
+@contextmanager
+def no_collector() -> Iterator[None]:
+    """No search for reference cycles: there are none, and it would walk all that is remembered."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that byte-level models have for each byte: itself if it is visible
+    in Latin-1, else the next one from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+BYTE_CHARACTERS = byte_characters()
+
+
+def as_bytes(code: str, ids: list[int]) -> bytes:
+    """Little-endian numbers, of two bytes (``H``) or four (``I``)."""
+    out = array(code, ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class _Parts(dict):
-    """Ids of parts as little-endian bytes."""
+    """Ids of parts as little-endian bytes.
+
+    When half of the room is used, what isn't met again until the next time goes.
+    """
 
     def __init__(self, encode, kept: int = KEPT_PARTS):
-        self._encode, self._kept = encode, kept
+        self._encode, self._room, self._older = encode, kept // 2, {}
+
+    def forget(self) -> None:
+        self.clear()
+        self._older = {}
 
     def learn(self, wanted: set) -> None:
-        if len(self) > self._kept:
+        if len(self) > self._room:
+            self._older = dict(self)
             self.clear()
         new = [part for part in wanted if part not in self]
+        older = self._older
+        if older:
+            self.update([(part, older[part]) for part in new if part in older])
+            new = [part for part in new if part not in older]
         self.update(zip(new, self._encode(new), strict=True))
 
     def forget_long(self, wanted: set) -> None:
@@ -38,7 +87,7 @@ class _Parts(dict):
 
     def joined(self, texts: list[list]) -> list[bytes]:
         wanted = set().union(*texts)
-        if len(wanted) > self._kept:
+        if len(wanted) > self._room:
             return [self.joined_long(parts) for parts in texts]
         self.learn(wanted)
         out = [b"".join(map(self.__getitem__, parts)) for parts in texts]
@@ -47,39 +96,90 @@ class _Parts(dict):
 
     def joined_long(self, parts: list) -> bytes:
         """One text of very many different parts, in blocks."""
-        step = self._kept // 2
         out = []
-        for k in range(0, len(parts), step):
-            wanted = set(parts[k : k + step])
+        for k in range(0, len(parts), self._room):
+            wanted = set(parts[k : k + self._room])
             self.learn(wanted)
-            out.append(b"".join(map(self.__getitem__, parts[k : k + step])))
+            out.append(b"".join(map(self.__getitem__, parts[k : k + self._room])))
             self.forget_long(wanted)
         return b"".join(out)
 
 
 class WordEncoder:
-    """For a tokenizer that drops white space: parts are words. Ids have four bytes.
+    """For a tokenizer that drops white space and case: parts are words. Ids have four bytes.
 
     The tokenizer reads ``\\s`` as more than ASCII; such white space stays inside a
-    part, where the tokenizer itself handles it.
+    part, where the tokenizer itself handles it. New words are looked up once more as
+    what they share: a lower-case core, and marks after it, which are always a
+    pre-token of their own behind a letter or digit.
     """
 
+    marks = b".,!%$&#*|;:?"
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        self._cores = _Parts(self._encode_cores)
         self._parts = _Parts(self._encode)
 
+    def forget(self) -> None:
+        """Gives memory back at the end of a task: a worker may do other work next."""
+        self._parts.forget()
+        self._cores.forget()
+
+    def _split(self, word: bytes) -> tuple[bytes, bytes]:
+        if b"<|" in word:  # may hold a special token, which is case-sensitive
+            return word, b""
+        word = word.lower()
+        core = word.rstrip(self.marks)
+        if not core or len(core) == len(word):
+            return word, b""
+        if core[-1] >= 0x80:
+            last = core[-2:].decode("utf-8", "replace")[-1]
+            if not (last.isalpha() and last.lower().isalpha() and last < "\u0250"):
+                return word, b""
+        elif not core[-1:].isalnum():
+            return word, b""
+        return core, word[len(core) :]
+
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        import numpy as np
+        split = [self._split(w) for w in words]
+        wanted = {part for pair in split for part in pair}
+        self._cores.learn(wanted)
+        out = [self._cores[core] + self._cores[tail] for core, tail in split]
+        self._cores.forget_long(wanted)
+        return out
 
-        found = self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def _one_pretoken(self, word: bytes) -> str | None:
+        """A word of lower-case Latin letters as the model reads it: by bytes."""
+        if word.isalpha():  # ASCII, lower-case by now
+            return word.decode()
+        text = word.decode("utf-8", "replace")
+        plain = text.isalpha() and max(text) < "\u0250" and text == text.lower() and is_normalized("NFC", text)
+        return word.decode("latin-1").translate(BYTE_CHARACTERS) if plain else None
+
+    def _encode_cores(self, words: list[bytes]) -> list[bytes]:
+        tokenize = self._model.tokenize
+        out, rest = [], []
+        for k, word in enumerate(words):
+            single = self._one_pretoken(word)
+            if single is None:
+                rest.append(k)
+                out.append(b"")
+            else:
+                out.append(as_bytes("I", [token.id for token in tokenize(single)]))
+        texts = [words[k].decode("utf-8", "replace") for k in rest]
+        for k, found in zip(rest, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            out[k] = as_bytes("I", found.ids)
+        return out
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text; none for a null."""
-        return self._parts.joined([(t or b"").split() for t in texts.cast(pa.binary()).to_pylist()])
+        with no_collector():
+            return self._parts.joined([(t or b"").split() for t in texts.cast(pa.binary()).to_pylist()])
 
 
 class ByteEncoder:
@@ -101,10 +201,12 @@ class ByteEncoder:
         self._parts = _Parts(self._encode)
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        import numpy as np
-
         encode = self._tokenizer.encode_ordinary
-        return [np.array(encode(" " + p), "<u2").tobytes() for p in parts]
+        return [as_bytes("H", encode(" " + p)) for p in parts]
+
+    def forget(self) -> None:
+        """Gives memory back at the end of a task."""
+        self._parts.forget()
 
     def encode_whole(self, text: str) -> list[int]:
         return self._tokenizer.encode_ordinary(text)
@@ -114,11 +216,10 @@ class ByteEncoder:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text; none for a null."""
-        import numpy as np
-
-        cut = [self.cut.split(t or "") for t in texts.to_pylist()]
-        rest = self._parts.joined([c[1:] for c in cut])
-        return [np.array(self._tokenizer.encode_ordinary(c[0]), "<u2").tobytes() + r for c, r in zip(cut, rest, strict=True)]
+        with no_collector():
+            cut = [self.cut.split(t or "") for t in texts.to_pylist()]
+            rest = self._parts.joined([c[1:] for c in cut])
+        return [as_bytes("H", self._tokenizer.encode_ordinary(c[0])) + r for c, r in zip(cut, rest, strict=True)]
 
     def counts(self, parts: list[str]) -> list[int]:
         """The number of ids of each part, a space before it included."""

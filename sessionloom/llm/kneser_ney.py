@@ -241,5 +241,6 @@ def with_rejection(predicted: DataFrame, quantile: float = 0.95, slack: float =
     """
     limits = predicted.groupBy("lang_pred").agg((F.percentile_approx("entropy", quantile, 10_000) * slack).alias("limit"))
     named = limits.withColumnRenamed("lang_pred", "_lang")
-    joined = predicted.join(named, F.col("lang_pred") == F.col("_lang"), "left").drop("_lang")
+    # One row per language of the model.
+    joined = predicted.join(F.broadcast(named), F.col("lang_pred") == F.col("_lang"), "left").drop("_lang")
     return joined.withColumn("rejected", F.coalesce(F.col("entropy") > F.col("limit"), F.lit(True))).drop("limit")
