@@ -110,6 +110,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
             for part in text_slices(batch):
                 ids = [x + end for x in encoder.encode(part.column("text"))]
                 yield from as_batches(cut_pieces(ids, part.column("doc_id").to_pylist(), capacity, 4), schema)
+        encoder.forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES_SCHEMA)
 

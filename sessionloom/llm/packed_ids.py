@@ -42,6 +42,7 @@ def _dealt(path: str, pattern: str, capacity: int, shards: int):
                 rows = (((turn + k) % shards, *piece) for k, piece in enumerate(pieces))
                 yield from as_batches(rows, _PIECES)
                 turn += len(pieces)
+        encoder.forget()
 
     return run
 

@@ -131,6 +131,7 @@ def _build(path: str, pattern: str):
                 ]
                 columns = [c for c in part.schema.names if c != "text"]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *added], names=[*columns, "leaves", "chars", "tokens"])
+        encoder.forget()
 
     return run
 
