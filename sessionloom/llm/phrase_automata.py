@@ -30,7 +30,6 @@ from sessionloom.llm.words import Words, covered, text_slices
 
 WINDOW = 50
 PHRASE = 8
-TILE = WINDOW // 2
 #: Words of passages and texts a shard holds, on average.
 SHARD_WORDS = 1 << 16
 
