@@ -76,6 +76,33 @@ def test_held_out_accuracy(spark, sf_dir):
     assert judged.sort_values("entropy").tail(1).rejected.item()
 
 
+def test_no_ngram_is_dropped(spark):
+    """Entropies are those of all counts, however few n-grams are held in memory."""
+    rng = random.Random(5)
+    rows = [(k, " ".join(corpus.prose(rng, 40)), "hot") for k in range(40)]
+    rows += [(100 + k, "żółw gęś " + " ".join(corpus.prose(rng, 3)), "small") for k in range(3)] + [(200, "漢字 źdźbło", "tiny"), (201, "", "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counted = kneser_ney.gram_counts(docs).collect()
+    langs = sorted({r.lang for r in counted})
+    keys = np.unique(np.array([r.gram for r in counted]).view(np.uint64))
+    table = np.zeros((len(keys), len(langs)))
+    for r in counted:
+        table[np.searchsorted(keys, np.uint64(r.gram % 2**64)), langs.index(r.lang)] = r.n
+    whole = kneser_ney.build_model(langs, keys, table)
+    tested = [*rows, (300, "nie widziane: qqq жук źdźbło", None)]
+    expected, _ = whole.cross_entropy([r[1] for r in tested])
+    more = spark.createDataFrame(tested, "doc_id long, text string, lang string")
+    for cells in (0, 300):
+        model = kneser_ney.fit(docs, max_cells=cells)
+        assert model.langs == langs and len(model.grams[-1]) * len(langs) <= cells
+        found = {r.doc_id: r for r in kneser_ney.predict(more, model).collect()}
+        assert len(found) == len(tested)
+        for r, entropy in zip(tested, expected):
+            if r[1]:
+                assert found[r[0]].entropy == pytest.approx(entropy.min(), abs=1e-5)
+                assert found[r[0]].lang_pred == langs[entropy.argmin()]
+
+
 def test_awkward_predictions(odd_docs, no_docs, rows):
     model = kneser_ney.fit(odd_docs)
     found = kneser_ney.predict(odd_docs, model).collect()
