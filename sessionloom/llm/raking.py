@@ -17,6 +17,8 @@ ROUNDS = 12
 STAGE_ROUNDS = 4
 #: Default targets: shares in proportion to tokens to this power.
 TEMPER = 0.9
+#: Share of the tokens that the pipeline keeps.
+KEPT_SHARE = 0.8
 SEED = 17
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -55,6 +57,53 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return out.withColumn("weight", F.col("weight") / F.lit(total)).drop(*[f"_to_{name}" for name in targets])
 
 
+def rake_to_share(cells: DataFrame, targets: dict[str, DataFrame], share: float, rounds: int = ROUNDS) -> DataFrame:
+    """Adds ``weight``, the tokens kept of each cell, and ``ratio``, their share, to cells.
+
+    Weights add up to ``share`` of all tokens. A cell whose weight would exceed its tokens
+    is kept whole, and the others are raked again to what the targets leave them, until no
+    further cell is full. A value of which all cells are full stays below its target; the
+    other values take up what it lacks (``shortfall``).
+    """
+    cells = stage(cells.where("tokens > 0"))
+    budget = share * (cells.agg(F.sum("tokens")).first()[0] or 0)
+    goals = {name: _goal(cells, name, target, budget) for name, target in targets.items()}
+    names = list(targets)
+    free, full, left = cells, cells.limit(0), budget
+    while True:
+        rest = {}
+        for name, goal in goals.items():
+            held = full.groupBy(F.col(name).alias("_held")).agg(F.sum("tokens").alias("tokens"))
+            joined = goal.join(held, F.col("value").eqNullSafe(F.col("_held")), "left")
+            rest[name] = joined.select("value", F.greatest(F.col("goal") - F.coalesce("tokens", F.lit(0)), F.lit(0.0)).alias("share"))
+        raked = rake(free, rest, rounds).withColumn("weight", F.col("weight") * F.lit(float(left)))
+        raked = stage(raked.withColumn("ratio", F.col("weight") / F.col("tokens")))
+        over = raked.where("ratio > 1")
+        more = over.agg(F.sum("tokens")).first()[0]
+        if more is None:
+            whole = full.withColumns({"weight": F.col("tokens").cast("double"), "ratio": F.lit(1.0)})
+            return raked.select(*names, "tokens", "weight", "ratio").unionByName(whole.select(*names, "tokens", "weight", "ratio"))
+        full = stage(full.select(*names, "tokens").unionByName(over.select(*names, "tokens")))
+        free = raked.where("ratio <= 1").select(*names, "tokens")
+        left -= more
+
+
+def _goal(cells: DataFrame, name: str, target: DataFrame, budget: float) -> DataFrame:
+    """(value, goal): tokens that each value of a dimension should have of ``budget``."""
+    values = cells.select(F.col(name).alias("_value")).distinct()
+    here = target.join(values, F.col("value").eqNullSafe(F.col("_value"))).select("value", F.col("share").cast("double").alias("share"))
+    total = here.agg(F.sum("share")).first()[0] or 1.0
+    return stage(here.select("value", (F.col("share") * F.lit(budget / total)).alias("goal")))
+
+
+def shortfall(raked: DataFrame, name: str, target: DataFrame) -> DataFrame:
+    """(value, goal, kept) of one dimension after ``rake_to_share``, in tokens."""
+    budget = raked.agg(F.sum("weight")).first()[0] or 0.0
+    kept = raked.groupBy(F.col(name).alias("_kept")).agg(F.sum("weight").alias("kept"))
+    goal = _goal(raked, name, target, budget)
+    return goal.join(kept, F.col("value").eqNullSafe(F.col("_kept"))).select("value", "goal", "kept")
+
+
 def uniform(key: Column, seed: int = SEED) -> Column:
     """A repeatable number in [0, 1) of 52 bits."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
@@ -68,11 +117,13 @@ def mix_probabilities(
     rounds: int = ROUNDS,
     budget: int | None = None,
     seed: int = SEED,
+    share: float | None = None,
 ) -> DataFrame:
     """``docs`` with ``_tokens``, ``_<dimension>``, ``_probability`` and ``_drawn``.
 
     Probabilities are as large as they can be without repeating a document, or less
-    for a ``budget`` of tokens. Tokens are words. A null or empty text has none; cells
+    for a ``budget`` of tokens. With a ``share`` that part of the tokens is kept, and no
+    cell's rarity scales the others (``rake_to_share``). Tokens are words. A null or empty text has none; cells
     without tokens weigh nothing and are kept. Rows with the same ``doc_id`` share
     their draw. Columns named like the new ones are replaced.
     """
@@ -83,10 +134,13 @@ def mix_probabilities(
     cells = stage(rows.groupBy(*names).agg(F.sum("_tokens").alias("tokens")))
     chosen = {f"_{name}": (targets or {}).get(name) for name in dimensions}
     chosen = {name: tempered(cells, name) if t is None else t for name, t in chosen.items()}
-    raked = stage(rake(cells, chosen, rounds).withColumn("ratio", F.col("weight") / F.col("tokens")))
+    if share is None:
+        raked = stage(rake(cells, chosen, rounds).withColumn("ratio", F.col("weight") / F.col("tokens")))
+    else:
+        raked = stage(rake_to_share(cells, chosen, share, rounds))
     most, n = raked.agg(F.max("ratio"), F.count("*")).first()
-    scale = 1.0 / most if most else 0.0
-    if budget is not None:
+    scale = 1.0 if share is not None else 1.0 / most if most else 0.0
+    if budget is not None and share is None:
         scale = min(scale, float(budget))
     probability = raked.select(*[F.col(c).alias(f"_of{c}") for c in names], (F.col("ratio") * F.lit(scale)).alias("_probability"))
     if n <= BROADCAST_ROWS:

@@ -61,6 +61,33 @@ def test_no_python_in_mixing(docs):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
 
 
+def test_one_odd_document_does_not_decide_how_much_is_kept(spark):
+    cells = [(s, lang, t, n) for s, lang, t, n in [("a", "en", "short", 4000), ("a", "fr", "long", 9000), ("b", "en", "long", 30000), ("b", "fr", "short", 7000)]]
+    for odd in ([], [("odd", "xx", "short", 10)], [(None, "en", "short", 10)]):
+        for times in (1, 300):
+            rows = [(s, lang, t, n * times) for s, lang, t, n in cells] + odd
+            table = spark.createDataFrame(rows, "s string, l string, t string, tokens long")
+            targets = {name: raking.tempered(table, name) for name in "slt"}
+            raked = raking.rake_to_share(table, targets, 0.8)
+            found = raked.toPandas()
+            assert len(found) == len(rows) and found.ratio.between(0, 1).all()
+            assert found.weight.sum() == pytest.approx(0.8 * found.tokens.sum())
+            if odd:
+                assert found[found.tokens == 10].ratio.item() == pytest.approx(1)
+            short = raking.shortfall(raked, "s", targets["s"]).toPandas()
+            assert short.goal.sum() == pytest.approx(short.kept.sum())
+
+
+def test_mixing_stage_keeps_its_share(spark):
+    import corpus_pipeline
+
+    rows = [(k, " ".join(["word"] * (30 + k % 50)), ["en", "fr"][k % 2], "abc"[k % 3], 0) for k in range(1500)]
+    rows += [(5000, "ten words " * 5, "xx", "odd", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.mixing(spark, docs, "").count() / len(rows) > 0.75
+    assert raking.mixed(docs).count() / len(rows) < 0.7
+
+
 # --- tokenizing --------------------------------------------------------------
 
 
