@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from sessionloom.config import stage
 from sessionloom.llm import (
     best_fit,
+    bit_scatter,
     chosen_path,
+    chunk_table,
     decision_list,
     kneser_ney,
     multi_index,
@@ -113,6 +115,14 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.packed_ids(table(spark, sf_dir, "documents"), path, pattern)
 
 
+def op11_bit_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_scatter.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_table.digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -126,5 +136,7 @@ QUERIES = {
         op8_multi_index,
         op9_page_diff,
         op10_packed_ids,
+        op11_bit_scatter,
+        op13_chunk_table,
     )
 }
