@@ -59,9 +59,42 @@ MULTI_INDEX = f"""WITH RECURSIVE sound AS MATERIALIZED (SELECT vec_id, embedding
     SELECT v.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, c.component_id, v.vec_id = c.component_id AS kept
     FROM embeddings v JOIN component c ON c.id = v.vec_id LEFT JOIN degree d ON d.id = v.vec_id"""
 
+_CRC = """xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+        lambda crc, b: list_reduce(range(8), lambda v, k: xor(v >> 1, (v & 1) * 3988292384), xor(crc, b)),
+        4294967295::BIGINT), 4294967295)"""
+
+PREFIX_ROLLUP = f"""WITH turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+        FROM conversations WHERE conv_id IS NOT NULL),
+    named AS MATERIALIZED (SELECT conv_id, pos, dense_rank() OVER (ORDER BY role, text) AS id,
+        len({_WORDS.format('text')}) AS words FROM turns),
+    sized AS (SELECT conv_id, count(*) AS n, {_CRC} % 4 AS h FROM named GROUP BY conv_id),
+    rebuilt AS (SELECT s.conv_id, t.pos, t.id, t.words FROM sized s
+            JOIN named t ON t.conv_id = s.conv_id - s.conv_id % 20 AND t.pos <= s.h
+        UNION ALL SELECT s.conv_id, t.pos - s.h + least(s.h, coalesce(f.n, 0)), t.id, t.words FROM sized s
+            JOIN named t ON t.conv_id = s.conv_id AND t.pos > s.h
+            LEFT JOIN sized f ON f.conv_id = s.conv_id - s.conv_id % 20),
+    prefix AS MATERIALIZED (SELECT conv_id, pos AS depth, words,
+            string_agg(id, '/') OVER (PARTITION BY conv_id ORDER BY pos) AS path FROM rebuilt
+        UNION ALL SELECT conv_id, 0, 0, '' FROM sized),
+    stepped AS (SELECT *, lag(path) OVER (PARTITION BY conv_id ORDER BY depth) AS above,
+        depth = max(depth) OVER (PARTITION BY conv_id) AS is_end FROM prefix),
+    node AS MATERIALIZED (SELECT depth, path, min(conv_id) AS conv_id, any_value(above) AS above, any_value(words) AS words,
+        count(*) AS n_convs, coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (is_end), '') AS ends
+        FROM stepped GROUP BY depth, path),
+    child AS (SELECT depth - 1 AS depth, above AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+    below AS (SELECT p.depth, p.path, sum((u.n_convs - 1) * u.words) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+        FROM node u JOIN prefix p ON p.conv_id = u.conv_id AND p.depth <= u.depth
+        LEFT JOIN child c ON c.depth = u.depth AND c.path = u.path GROUP BY p.depth, p.path)
+    SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, v.n_convs, coalesce(c.n, 0) AS n_children,
+        b.leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+    FROM node v JOIN below b USING (depth, path) LEFT JOIN child c USING (depth, path)
+    LEFT JOIN node u ON u.depth = v.depth - 1 AND u.path = v.above"""
+
 ORACLES = {
     "op1_chosen_path": CHOSEN_PATH,
     "op4_raking": raking.oracle(),
     "op5_phrase_automata": PHRASE_AUTOMATA,
     "op8_multi_index": MULTI_INDEX,
+    "op12_prefix_rollup": PREFIX_ROLLUP,
 }

@@ -17,6 +17,7 @@ from sessionloom.llm import (
     packed_ids,
     page_diff,
     phrase_automata,
+    prefix_rollup,
     raking,
     segment_counts,
 )
@@ -119,6 +120,10 @@ def op11_bit_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_scatter.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_rollup.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_table.digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -137,6 +142,7 @@ QUERIES = {
         op9_page_diff,
         op10_packed_ids,
         op11_bit_scatter,
+        op12_prefix_rollup,
         op13_chunk_table,
     )
 }
