@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.config import default_parallelism
+from sessionloom.config import broadcast_if_small, default_parallelism
 
 
 def hot_keys(df: DataFrame, keys: list[str], shares: int) -> DataFrame:
@@ -41,3 +41,13 @@ def salted_join(
         .drop("_slices")
     )
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def balanced_join(
+    facts: DataFrame, dims: DataFrame, key: str | list[str], spread: list[str], how: str = "inner"
+) -> DataFrame:
+    """As ``salted_join``; ``dims`` are broadcast where they are few, and no keys are counted."""
+    small = broadcast_if_small(dims)
+    if small is not dims:
+        return facts.join(small, key, how)
+    return salted_join(facts, dims, key, spread, how)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionloom.config import broadcast_if_small, local_table, stage
-from sessionloom.operators.skew import salted_join
+from sessionloom.operators.skew import balanced_join, salted_join
 from sessionloom.sources.blueprints import START_STATE, step_maps
 from sessionloom.sources.signals import BATCH, DEFAULT
 
@@ -77,7 +77,7 @@ def resolve_steps(
     if actions.isStreaming:
         placed = wanted.join(states, "session_id")
     else:
-        placed = salted_join(wanted, states, "session_id", ["ts", "seq"])
+        placed = balanced_join(wanted, states, "session_id", ["ts", "seq"])
     if table is None and not actions.isStreaming:
         found = salted_join(placed, own, ["blueprint", "action"], ["session_id", "seq"], "left")
         found = salted_join(found, default, "blueprint", ["session_id", "seq"], "left")

@@ -260,9 +260,25 @@ def serve_requests(
     request without a bias gets nothing, a personalized one without a profile a
     random batch.
     """
+    queries = request_queries(requests, profile, items, topics, bias, options)
+    exclude = None
+    if history is not None:
+        exclude = history_values(history).join(requests.where(left_to_chance()).select("session_id"), "session_id", "left_anti")
+    return serve(queries, items, options, exclude)
+
+
+def left_to_chance():
+    """Which requests get random vectors, and take no notice of history."""
     cold = (F.col("batch_type") == "personalized") & ~F.col("has_embeddings")
-    chance = requests.where((F.col("batch_type") == "random") | cold)
-    warm = requests.where((F.col("batch_type") != "random") & ~cold)
+    return (F.col("batch_type") == "random") | cold
+
+
+def request_queries(
+    requests: DataFrame, profile: DataFrame, items: DataFrame, topics: DataFrame, bias: DataFrame, options: Options = Options()
+) -> DataFrame:
+    """The budgeted queries of requests of any type."""
+    chance = requests.where(left_to_chance())
+    warm = requests.where(~left_to_chance())
     asked = bias.join(warm.where("batch_type = 'biased'").select("session_id"), "session_id", "left_semi")
     personal = warm.where("batch_type = 'personalized'")
     biased = warm.where("batch_type = 'biased'").join(asked.select("session_id").distinct(), "session_id", "left_semi")
@@ -272,10 +288,6 @@ def serve_requests(
     drawn = profiles.sampled_profile(sampled, topics, options.seed)
     parts = [own, profiles.numbered_bias(own, asked), drawn]
     weighted = reduce(DataFrame.unionByName, [x.withColumn("embedding", V.as_double("embedding")) for x in parts])
-    queries = budgeted_queries(weighted, warm, options.batch_size).unionByName(
+    return budgeted_queries(weighted, warm, options.batch_size).unionByName(
         random_batch_queries(chance, embedding_width(items), options.batch_size, options.seed)
     )
-    exclude = None
-    if history is not None:
-        exclude = history_values(history).join(chance.select("session_id"), "session_id", "left_anti")
-    return serve(queries, items, options, exclude)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -791,22 +791,73 @@ def dedup_signals(spark, sf_dir):
     """Every event arrives twice."""
     path = new_table_path(spark, "dedup")
     twice = _action_stream(spark, sf_dir).unionByName(_action_stream(spark, sf_dir))
+    events.run_available(twice, events.Arrivals(path, "seq"), "dedup")
+    return spark.read.parquet(f"{path}/accepted").select("session_id", "seq", "action")
+
+
+@query
+def dedup_watermark(spark, sf_dir):
+    """Every event arrives twice, and the stream itself forgets what is older than its watermark."""
+    path = new_table_path(spark, "dedup")
+    twice = _action_stream(spark, sf_dir).unionByName(_action_stream(spark, sf_dir))
     events.run_available(events.dedup_signals(twice, "seq"), events.table_sink(path), "dedup")
     return spark.read.parquet(path).select("session_id", "seq", "action")
 
 
+@query
+def arrival_verdicts(spark, sf_dir):
+    """Events that come in four runs of a job, some of them a run or two late, some of them twice."""
+    log = w.table(spark, sf_dir, "events").withColumn("run", F.floor((F.dayofmonth("ts") - 1) / 8).cast("int"))
+    late = log.withColumn("run", F.least(F.col("run") + F.when(F.col("event_id") % 7 == 0, 2).when(F.col("event_id") % 3 == 0, 1).otherwise(0), F.lit(3)))
+    again = late.where("event_id % 5 = 0").withColumn("run", F.least(F.col("run") + 1, F.lit(3)))
+    arriving = stage(late.unionByName(again))
+    path, source, progress = (new_table_path(spark, name) for name in ("arrivals", "arriving", "arrivals-progress"))
+    for run in range(4):
+        arriving.where(F.col("run") == run).write.mode("append").parquet(source)
+        stream = events.read_stream(spark, source, arriving.schema)
+        events.run_available(stream, events.Arrivals(path, "event_id", lateness="6 DAYS"), "arrivals", progress)
+    rows = [spark.read.parquet(f"{path}/{name}") for name in ("accepted", "rejects")]
+    both = rows[0].withColumn("reason", F.lit("accepted")).unionByName(rows[1])
+    return both.select(F.col("event_id").alias("seq"), F.col("batch_id").cast("int").alias("run"), "reason")
+
+
 @query
 def signal_stream(spark, sf_dir):
-    path = new_table_path(spark, "fold")
     nodes, edges = w.builtin(spark)
     routed = sessions.route_algorithm(w.sessions(spark, sf_dir))
-    folded = fold.signal_stream(spark, _action_stream(spark, sf_dir), routed, nodes, edges)
-    events.run_available(folded, events.table_sink(path), "fold")
-    stored = spark.read.parquet(path)
-    return stored.select("session_id", "seq", "action", "state", "next_state", "has_embeddings", "profile_size")
+    path = new_table_path(spark, "fold")
+    tables = fold.signal_stream(_action_stream(spark, sf_dir), stage(routed), w.items(spark, sf_dir), nodes, edges, path)
+    steps = tables.read(spark, "steps")
+    return steps.select("session_id", "seq", "action", "state", "next_state", "has_embeddings", "profile_size")
+
+
+def _faulty_fold(spark, sf_dir) -> serving.Tables:
+    """The stream of actions of which some cannot be carried out."""
+    schema = w.table(spark, sf_dir, "events").schema
+    stream = events.read_stream(spark, sf_dir, schema, pathGlobFilter="events.parquet")
+    parsed = signals.parse_actions(w.events_as_actions(stream), signals.vocabulary(spark))
+    _, routed = _faulty_actions(spark, sf_dir)
+    parsed = parsed.withColumn("item_id", F.col("item_id") * (F.col("seq") % 13 + 1))
+    nodes, edges = w.builtin(spark)
+    return fold.signal_stream(parsed, stage(routed), w.items(spark, sf_dir), nodes, edges, new_table_path(spark, "fold"))
+
+
+@query
+def signal_stream_accepted(spark, sf_dir):
+    """States of a stream that holds actions that cannot be carried out."""
+    steps = _faulty_fold(spark, sf_dir).read(spark, "steps")
+    return steps.select("session_id", "seq", "action", "state", "next_state")
+
+
+@query
+def signal_stream_rejects(spark, sf_dir):
+    """Actions of the stream that cannot be carried out."""
+    return _faulty_fold(spark, sf_dir).read(spark, "rejects").select("session_id", "seq", "reason")
 
 
+@lru_cache(maxsize=1)
 def _serving_tables(spark, sf_dir) -> serving.Tables:
+    """What one run of the serving stream has written."""
     all_items = w.items(spark, sf_dir)
     nodes, edges = w.builtin(spark)
     routed = stage(sessions.route_algorithm(w.sessions(spark, sf_dir)))
@@ -821,12 +872,12 @@ def _serving_tables(spark, sf_dir) -> serving.Tables:
 @query
 def update_state(spark, sf_dir):
     tables = _serving_tables(spark, sf_dir)
-    return serving.latest_states(tables.read(spark, "states"))
+    return serving.latest_states(tables.read(spark, "states")).select("session_id", "state", "has_embeddings")
 
 
 @query
 def batch_stream(spark, sf_dir):
-    """The answer to every request of the stream."""
+    """The answer to every request of the stream, each without what the session was given before."""
     answers = _serving_tables(spark, sf_dir).read(spark, "served")
     return answers.select(serving.request_key().alias("request"), "position", "id", rounded("score"))
 

@@ -690,6 +690,21 @@ _oracle("accepted_state_trace", "SELECT session_id, seq, action, state, next_sta
 # --- streaming -------------------------------------------------------------
 
 _oracle("dedup_signals", "SELECT session_id, seq, action FROM numbered")
+ORACLES["dedup_watermark"] = ORACLES["dedup_signals"]
+_CTES["arriving"] = """SELECT event_id, ts, least(3, (day(ts) - 1) // 8
+        + CASE WHEN event_id % 7 = 0 THEN 2 WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) AS run FROM events"""
+_CTES["arrivals"] = """SELECT *, false AS again FROM arriving
+    UNION ALL SELECT event_id, ts, least(3, run + 1), true FROM arriving WHERE event_id % 5 = 0"""
+_CTES["arrivals_judged"] = """SELECT a.*, coalesce(a.ts < (SELECT max(b.ts) FROM arrivals b WHERE b.run < a.run) - INTERVAL 6 DAY, false) AS late
+    FROM arrivals a"""
+_oracle(
+    "arrival_verdicts",
+    """SELECT event_id AS seq, run::INT AS run, CASE WHEN late THEN 'late'
+        WHEN row_number() OVER (PARTITION BY event_id, late ORDER BY run, again) > 1 THEN 'repeated' ELSE 'accepted' END AS reason
+    FROM arrivals_judged""",
+)
+_oracle("signal_stream_accepted", "SELECT session_id, seq, action, state, next_state FROM sound_trace")
+ORACLES["signal_stream_rejects"] = ORACLES["rejected_actions"]
 _oracle(
     "signal_stream",
     """SELECT t.session_id, t.seq, t.action, t.state, t.next_state,
@@ -727,12 +742,26 @@ _budgets("live_drawn_q", "live_drawn", "live_sampled")
 _random_vectors("live_r", "live_chance", 10, 0)
 _CTES["live_q"] = f"""SELECT * FROM live_own_q UNION ALL BY NAME SELECT * FROM live_biased_q
     UNION ALL BY NAME SELECT * FROM live_drawn_q UNION ALL BY NAME {_chance('live_r')}"""
-_CTES["live_hist"] = """SELECT DISTINCT session_id, item_id AS hv FROM live_log
-    WHERE session_id NOT IN (SELECT session_id FROM live_chance)"""
-_LIVE = _batch("liv", "live_q", "live_hist")
-_oracle("batch_stream", f"SELECT session_id AS request, position, id, score FROM ({_LIVE})")
+# Request after request: what a session has signalled before each, and what its earlier ones
+# gave. No session of the tables has more requests than MOST_TURNS.
+_CTES["live_turn"] = """SELECT *, row_number() OVER (PARTITION BY own ORDER BY ts, seq) AS turn,
+    session_id NOT IN (SELECT session_id FROM live_chance) AS minds FROM stream_ask"""
+_CTES["live_shown_0"] = "SELECT NULL::BIGINT AS own, NULL::BIGINT AS id WHERE false"
+MOST_TURNS = 28
+for _turn in range(1, MOST_TURNS + 1):
+    _CTES[f"live_q_{_turn}"] = f"SELECT * FROM live_q WHERE session_id IN (SELECT session_id FROM live_turn WHERE turn = {_turn})"
+    _CTES[f"live_hist_{_turn}"] = f"""SELECT l.session_id, l.item_id AS hv FROM live_log l
+        JOIN live_turn t ON t.session_id = l.session_id AND t.turn = {_turn} AND t.minds
+        UNION SELECT t.session_id, s.id FROM live_shown_{_turn - 1} s JOIN live_turn t ON t.own = s.own AND t.turn = {_turn} AND t.minds"""
+    _batch(f"live{_turn}", f"live_q_{_turn}", f"live_hist_{_turn}")
+    _CTES[f"live_shown_{_turn}"] = f"""SELECT * FROM live_shown_{_turn - 1} UNION ALL
+        SELECT t.own, p.id FROM live{_turn}_pool p JOIN live_turn t USING (session_id) WHERE p.position <= 10"""
+_CTES["live_served"] = " UNION ALL ".join(
+    f"SELECT session_id, position, id, score FROM live{t}_pool WHERE position <= 10" for t in range(1, MOST_TURNS + 1)
+)
+_oracle("batch_stream", "SELECT session_id AS request, position, id, round(score, 6) AS score FROM live_served")
 _oracle(
     "stream_requests",
     """SELECT a.session_id AS request, a.state, a.batch_type, coalesce(b.n, 0) AS n_served FROM stream_ask a
-    LEFT JOIN (SELECT session_id, count(*) AS n FROM liv_pool WHERE position <= 10 GROUP BY session_id) b USING (session_id)""",
+    LEFT JOIN (SELECT session_id, count(*) AS n FROM live_served GROUP BY session_id) b USING (session_id)""",
 )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.config import broadcast_if_small
-from sessionloom.operators.skew import salted_join
+from sessionloom.operators.skew import balanced_join
 from sessionloom.sources.blueprints import START_STATE
 
 UNKNOWN_ACTION = "unknown action"
@@ -19,6 +19,9 @@ UNKNOWN_SESSION = "unknown session"
 NO_BLUEPRINT = "no blueprint"
 UNKNOWN_STATE = "unknown state"
 UNKNOWN_ITEM = "unknown item"
+LATE = "late"
+REPEATED = "repeated"
+NO_BIAS = "no bias"
 
 
 def session_problems(sessions: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -31,23 +34,33 @@ def session_problems(sessions: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.select("session_id", problem.alias("problem"))
 
 
-def split_actions(
-    actions: DataFrame, sessions: DataFrame, nodes: DataFrame, items: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Accepted actions and ``rejects(session_id, seq, reason)``.
+def checked_actions(actions: DataFrame, sessions: DataFrame, nodes: DataFrame, items: DataFrame) -> DataFrame:
+    """``actions`` with the ``reason`` they cannot be carried out for, or NULL.
 
-    ``actions`` are parsed ones (``known``, ``is_batch``, ``item_id``).
+    ``actions`` are parsed ones (``known``, ``is_batch``, ``item_id``). On a stream the
+    tables are joined as they are; elsewhere sessions and items that hold a large share of
+    the actions are spread, unless there are few of them.
     """
     of_session = session_problems(sessions, nodes).withColumn("_session", F.lit(True))
     of_item = items.select(F.col("id").alias("item_id"), F.lit(True).alias("_item"))
-    checked = salted_join(actions, of_session, "session_id", ["seq"], "left")
-    checked = salted_join(checked, of_item, "item_id", ["session_id", "seq"], "left")
+    if actions.isStreaming:
+        checked = actions.join(of_session, "session_id", "left").join(of_item, "item_id", "left")
+    else:
+        checked = balanced_join(actions, of_session, "session_id", ["seq"], "left")
+        checked = balanced_join(checked, of_item, "item_id", ["session_id", "seq"], "left")
     reason = (
         F.when(~F.coalesce("known", F.lit(False)), UNKNOWN_ACTION)
         .when(F.col("_session").isNull(), UNKNOWN_SESSION)
         .when(F.col("problem").isNotNull(), F.col("problem"))
         .when(~F.col("is_batch") & F.col("_item").isNull(), UNKNOWN_ITEM)
     )
-    checked = checked.withColumn("reason", reason)
+    return checked.withColumn("reason", reason).select(*actions.columns, "reason")
+
+
+def split_actions(
+    actions: DataFrame, sessions: DataFrame, nodes: DataFrame, items: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted actions and ``rejects(session_id, seq, reason)``."""
+    checked = checked_actions(actions, sessions, nodes, items)
     accepted = checked.where("reason IS NULL").select(*actions.columns)
     return accepted, checked.where("reason IS NOT NULL").select("session_id", "seq", "reason")

@@ -1,74 +1,26 @@
-"""Sessions as keyed state of a stream: each action moves its session's state."""
+"""The states of all sessions of a stream, without answers."""
 
 from __future__ import annotations
 
-from typing import Iterator
+from pyspark.sql import DataFrame
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from sessionloom.config import USER_EMBEDDINGS_LAST_N, broadcast_if_small
-from sessionloom.operators.states import prefix_compose, resolve_steps
-from sessionloom.sources.signals import BATCH
-
-_OUTPUT = (
-    "session_id {session}, ts timestamp, seq long, action string, blueprint string, "
-    "state_ord int, next_ord int, has_embeddings boolean, profile_size int"
-)
-_STATE = "state int, items array<{item}>, weights array<double>"
-
-
-def fold_session(
-    key, rows: Iterator[pd.DataFrame], session: GroupState, table: np.ndarray | None
-) -> Iterator[pd.DataFrame]:
-    """One session's actions of a micro-batch; its state is its node and its latest signals."""
-    # Order matters within a micro-batch, whose size the trigger bounds.
-    actions = pd.concat(rows)
-    actions = actions.iloc[np.lexsort((actions["seq"].to_numpy(), actions["ts"].to_numpy()))]
-    state, items, weights = session.get if session.exists else (None, [], [])
-    first = int(actions["first_state"].iloc[0]) if state is None else state
-    steps = np.array(actions["step"].tolist(), dtype=np.int32)
-    steps = steps if table is None else table[steps]
-    after = prefix_compose(steps, np.array([0]))[:, first]
-    before = np.concatenate([[first], after[:-1]])
-
-    signal = (actions["action"] != BATCH).to_numpy()
-    seen = len(items) + np.cumsum(signal)
-    items = (list(items) + actions["item_id"].to_numpy()[signal].tolist())[-USER_EMBEDDINGS_LAST_N:]
-    weights = (list(weights) + actions["weight"].to_numpy()[signal].tolist())[-USER_EMBEDDINGS_LAST_N:]
-    session.update((int(after[-1]), items, weights))
-    columns = {c: actions[c].to_numpy() for c in ("session_id", "ts", "seq", "action", "blueprint")}
-    columns |= {"state_ord": before, "next_ord": after, "has_embeddings": (seen - signal) > 0}
-    yield pd.DataFrame({**columns, "profile_size": np.minimum(seen, USER_EMBEDDINGS_LAST_N)})
-
-
-def _type(df: DataFrame, column: str) -> str:
-    return df.schema[column].dataType.simpleString()
+from sessionloom.streaming.events import run_available
+from sessionloom.streaming.serving import Fold, Tables
 
 
 def signal_stream(
-    spark: SparkSession, actions: DataFrame, sessions: DataFrame, nodes: DataFrame, edges: DataFrame
-) -> DataFrame:
-    """Stream of ``actions(session_id, ts, seq, action, weight, item_id)`` with the
-    state before and after each and the size of the session's profile.
+    actions: DataFrame, sessions: DataFrame, items: DataFrame, nodes: DataFrame, edges: DataFrame, path: str, **options
+) -> Tables:
+    """Fold what there is of a stream of ``actions(session_id, ts, seq, action, weight, item_id)``.
 
-    Many sessions want the state store on disk that ``get_session`` sets.
+    Returns tables under ``path`` with ``steps`` (each action, the states before and after it and the
+    size of the session's profile) and ``rejects`` (those that weren't carried out, and why).
     """
-    nodes = broadcast_if_small(nodes)
-    resolved, table = resolve_steps(actions, sessions, nodes, edges, keep=["weight", "item_id"])
+    types = {"session": _type(actions, "session_id"), "item": _type(actions, "item_id")}
+    tables = Tables(path, **types).create(actions.sparkSession)
+    run_available(actions, Fold(tables, sessions, items, nodes, edges, **options), "fold")
+    return tables
 
-    def fold(key, rows, session):
-        yield from fold_session(key, rows, session, table)
 
-    types = {"session": _type(actions, "session_id"), "item": _type(actions, "item_id")}
-    folded = resolved.groupBy("session_id").applyInPandasWithState(
-        fold, _OUTPUT.format(**types), _STATE.format(**types), "append", GroupStateTimeout.NoTimeout
-    )
-    names = nodes.select("blueprint", "node_ord", "name")
-    return (
-        folded.join(names.withColumnsRenamed({"node_ord": "state_ord", "name": "state"}), ["blueprint", "state_ord"])
-        .join(names.withColumnsRenamed({"node_ord": "next_ord", "name": "next_state"}), ["blueprint", "next_ord"])
-        .drop("state_ord", "next_ord")
-    )
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()

@@ -1,38 +1,46 @@
-"""A stream that serves: micro-batches move states, keep history and answer requests.
+"""Streams that fold and serve: micro-batches move states, keep history and answer requests.
 
 State lives in tables in shared storage, one folder per micro-batch, so that a
 repeated micro-batch replaces what its first try wrote:
 
-``states``   node of each session the micro-batch touched
+``states``   node of each session the micro-batch touched, and its number of signals
 ``snapshots`` now and then, the node of every session so far
 ``newest``   the time of the micro-batch's last signal
+``steps``    if wanted, each action with the states before and after it
 ``signals``  its signals
 ``served``   the batches it served, one for each request
 ``requests`` the requests it answered, with the number of items served
-``late``     actions that came too late to be replayed, if lateness is limited
+``rejects``  actions that were not carried out, each with its reason
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.config import stage
-from sessionloom.operators.profiles import profile_depth, user_embeddings
+from sessionloom.operators.knn import knn_join
+from sessionloom.operators.profiles import profile_depth
+from sessionloom.operators.running import running_sums
+from sessionloom.operators.skew import balanced_join
 from sessionloom.operators.states import session_state_trace
-from sessionloom.plans.batches import Options, serve_requests
+from sessionloom.plans.batches import Options, left_to_chance, request_queries
+from sessionloom.sources.rejects import LATE, NO_BIAS, checked_actions
 from sessionloom.sources.signals import BATCH
+from sessionloom.streaming.turns import TURNS, answer_in_turn
 
 SCHEMAS = {
-    "states": "session_id {session}, state string, has_embeddings boolean",
-    "snapshots": "session_id {session}, state string, has_embeddings boolean",
+    "states": "session_id {session}, state string, has_embeddings boolean, n_signals long",
+    "snapshots": "session_id {session}, state string, has_embeddings boolean, n_signals long",
+    "steps": "session_id {session}, ts timestamp, seq long, action string, state string, next_state string, has_embeddings boolean, profile_size int",
     "newest": "ts timestamp",
     "signals": "session_id {session}, ts timestamp, seq long, label string, weight double, item_id {item}",
     "served": "session_id {session}, ts timestamp, seq long, position int, id {item}, score double, q_idx int",
-    "requests": "session_id {session}, ts timestamp, seq long, state string, batch_type string, n_served int",
-    "late": "session_id {session}, ts timestamp, seq long, action string",
+    "requests": "session_id {session}, ts timestamp, seq long, state string, batch_type string, n_served int, problem string",
+    "rejects": "session_id {session}, ts timestamp, seq long, action string, reason string",
 }
 
 
@@ -66,7 +74,7 @@ class Tables:
 def latest_states(states: DataFrame) -> DataFrame:
     """One row per session: what the last micro-batch that touched it left."""
     return states.groupBy("session_id").agg(
-        F.max_by("state", "batch_id").alias("state"), F.max_by("has_embeddings", "batch_id").alias("has_embeddings")
+        *(F.max_by(c, "batch_id").alias(c) for c in ("state", "has_embeddings", "n_signals"))
     )
 
 
@@ -93,20 +101,22 @@ def update_states(tables: Tables, trace: DataFrame, previous: DataFrame, batch_i
     """Write the new state of every session in the micro-batch's trace."""
     new = trace.groupBy("session_id").agg(
         F.max_by("next_state", F.struct("ts", "seq")).alias("state"),
-        F.max(F.col("action") != BATCH).alias("signalled"),
+        F.sum((F.col("action") != BATCH).cast("long")).alias("signalled"),
     )
-    known = previous.select("session_id", F.col("has_embeddings").alias("before"))
-    merged = new.join(known, "session_id", "left")
-    flag = F.col("signalled") | F.coalesce("before", F.lit(False))
-    tables.write(merged.select("session_id", "state", flag.alias("has_embeddings")), "states", batch_id)
+    known = previous.select("session_id", F.col("n_signals").alias("before"))
+    n_signals = F.col("signalled") + F.coalesce("before", F.lit(0))
+    merged = new.join(known, "session_id", "left").withColumn("n_signals", n_signals)
+    tables.write(merged.select("session_id", "state", (F.col("n_signals") > 0).alias("has_embeddings"), "n_signals"), "states", batch_id)
 
 
-class Server:
-    """Handles one micro-batch of ``actions(session_id, ts, seq, action, weight, item_id)``.
+class Fold:
+    """Handles one micro-batch of ``actions(session_id, ts, seq, action, weight, item_id)``:
+    each action moves its session's state.
 
-    Every request is answered, as of its own time: from the session's node and signals
-    at that time, without what those signals or earlier micro-batches have shown.
-    Requests of one micro-batch are answered side by side and do not know each other.
+    Actions that can't be carried out go to ``rejects`` before any state moves; ``known``
+    and ``is_batch`` are taken from the actions where they have them. A session of any
+    size is spread over as many partitions as it fills, and states lie in tables, so
+    that no task holds a session. ``steps`` tells whether every action is written down.
     """
 
     def __init__(
@@ -116,77 +126,165 @@ class Server:
         items: DataFrame,
         nodes: DataFrame,
         edges: DataFrame,
-        topics: DataFrame,
-        bias: DataFrame,
-        options: Options = Options(),
         lateness: str | None = None,
         snapshot_every: int = 32,
+        steps: bool = True,
     ):
-        self.tables, self.sessions, self.items = tables, sessions, items
-        self.nodes, self.edges, self.topics, self.bias = nodes, edges, topics, bias
-        self.options, self.lateness, self.snapshot_every = options, lateness, snapshot_every
+        self.tables, self.sessions, self.items, self.nodes, self.edges = tables, sessions, items, nodes, edges
+        self.lateness, self.snapshot_every, self.steps = lateness, snapshot_every, steps
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, tables = batch.sparkSession, self.tables
-        actions = self.on_time(stage(batch), batch_id)
+        actions = stage(batch)
         touched = stage(actions.select("session_id").distinct())
         previous = stage(states_before(spark, tables, batch_id, touched))
         known = previous.select("session_id", F.col("state").alias("_state"))
         current = self.sessions.join(touched, "session_id", "left_semi").join(known, "session_id", "left")
-        current = current.withColumn("state", F.coalesce("_state", "state")).drop("_state")
+        current = stage(current.withColumn("state", F.coalesce("_state", "state")).drop("_state"))
+        actions = self.accepted(actions, current, batch_id)
         trace = stage(session_state_trace(actions, current, self.nodes, self.edges))
         new_signals = actions.where(F.col("action") != BATCH).withColumnRenamed("action", "label")
         tables.write(new_signals.select("session_id", "ts", "seq", "label", "weight", "item_id"), "signals", batch_id)
-        self.serve(trace, batch_id)
+        if self.steps:
+            self.write_steps(trace, previous, batch_id)
+        self.answer(trace, actions, batch_id)
         update_states(tables, trace, previous, batch_id)
         tables.write(new_signals.agg(F.max("ts").alias("ts")), "newest", batch_id)
         if (batch_id + 1) % self.snapshot_every == 0:
             tables.write(states_before(spark, tables, batch_id + 1), "snapshots", batch_id)
 
-    def on_time(self, actions: DataFrame, batch_id: int) -> DataFrame:
-        """Set aside actions older than the newest signal of earlier micro-batches allows."""
+    def accepted(self, actions: DataFrame, current: DataFrame, batch_id: int) -> DataFrame:
+        """Set aside actions that can't be carried out, and those older than the newest
+        signal of earlier micro-batches allows."""
+        is_batch = F.upper("action") == BATCH
+        for name, value in (("is_batch", is_batch), ("known", is_batch | F.col("weight").isNotNull())):
+            if name not in actions.columns:
+                actions = actions.withColumn(name, F.coalesce(value, F.lit(False)))
+        checked = checked_actions(actions, current, self.nodes, self.items)
+        oldest = self.oldest(actions.sparkSession, batch_id)
+        if oldest is not None:
+            checked = checked.withColumn("reason", F.coalesce("reason", F.when(F.col("ts") < oldest, LATE)))
+        checked = stage(checked)
+        self.tables.write(checked.where("reason IS NOT NULL").select("session_id", "ts", "seq", "action", "reason"), "rejects", batch_id)
+        return checked.where("reason IS NULL").drop("reason")
+
+    def oldest(self, spark: SparkSession, batch_id: int):
+        """The time before which actions come too late, if lateness is limited."""
         if self.lateness is None:
-            return actions
-        earlier = self.tables.read(actions.sparkSession, "newest", before=batch_id)
-        newest = earlier.agg(F.max("ts")).first()[0]
-        if newest is None:
-            return actions
-        oldest = F.lit(newest) - F.expr(f"INTERVAL {self.lateness}")
-        late = actions.where(F.col("ts") < oldest)
-        self.tables.write(late.select("session_id", "ts", "seq", "action"), "late", batch_id)
-        return actions.where(F.col("ts") >= oldest)
-
-    def serve(self, trace: DataFrame, batch_id: int) -> None:
+            return None
+        newest = self.tables.read(spark, "newest", before=batch_id).agg(F.max("ts")).first()[0]
+        return None if newest is None else F.lit(newest) - F.expr(f"INTERVAL {self.lateness}")
+
+    def write_steps(self, trace: DataFrame, previous: DataFrame, batch_id: int) -> None:
+        """Each action with the states around it and the profile it leaves behind."""
+        signal = (F.col("action") != BATCH).cast("long")
+        steps = trace.select("session_id", "ts", "seq", "action", "state", "next_state")
+        steps = running_sums(steps, ["session_id"], ["ts", "seq"], {"_seen": signal})
+        steps = balanced_join(steps, previous.select("session_id", F.col("n_signals").alias("_before")), "session_id", ["seq"], "left")
+        seen = F.col("_seen") + F.coalesce("_before", F.lit(0))
+        size = F.least(seen + signal, F.lit(profile_depth(self.nodes))).cast("int")
+        steps = steps.withColumns({"has_embeddings": seen > 0, "profile_size": size}).drop("_seen", "_before")
+        self.tables.write(steps, "steps", batch_id)
+
+    def answer(self, trace: DataFrame, actions: DataFrame, batch_id: int) -> None:
+        """What is asked for in the micro-batch: nothing here."""
+
+
+class Server(Fold):
+    """A fold that also serves: every request is answered, as of its own time.
+
+    It is answered from the session's node and signals at that time, without what those
+    signals or its earlier requests have shown, in this micro-batch or before. So answers don't
+    depend on how the stream is cut, as long as no action comes in a later
+    micro-batch than one that follows it. A column ``batch_size`` of the actions sets the
+    size of single batches.
+    """
+
+    def __init__(
+        self,
+        tables: Tables,
+        sessions: DataFrame,
+        items: DataFrame,
+        nodes: DataFrame,
+        edges: DataFrame,
+        topics: DataFrame,
+        bias: DataFrame,
+        options: Options = Options(),
+        lateness: str | None = None,
+        snapshot_every: int = 32,
+        steps: bool = False,
+    ):
+        super().__init__(tables, sessions, items, nodes, edges, lateness, snapshot_every, steps)
+        self.topics, self.bias, self.options = topics, bias, options
+
+    def answer(self, trace: DataFrame, actions: DataFrame, batch_id: int) -> None:
         """A batch for each request; a request is known by its session and number."""
-        spark, tables = trace.sparkSession, self.tables
-        order = F.struct("ts", "seq")
-        asked = trace.where(F.col("action") == BATCH).select(
-            "session_id", "ts", "seq", "state", "batch_type", "params", order.alias("at"), request_key().alias("request")
-        )
-        asked = stage(asked)
-        own = asked.select("session_id", "request", "at")
-        signals = tables.read(spark, "signals", before=batch_id + 1).drop("batch_id")
-        log = signals.join(own, "session_id").where(order < F.col("at"))
-        log = stage(log.drop("at", "session_id").withColumnRenamed("request", "session_id"))
-        profile = stage(user_embeddings(log, self.items, profile_depth(self.nodes)))
-        warm = profile.select("session_id").distinct().withColumn("has_embeddings", F.lit(True))
-        requests = asked.select(F.col("request").alias("session_id"), "batch_type", "params").join(warm, "session_id", "left")
-        requests = stage(requests.withColumn("has_embeddings", F.coalesce("has_embeddings", F.lit(False))))
-
-        def by_request(rows: DataFrame) -> DataFrame:
-            return rows.join(own.select("session_id", "request"), "session_id").drop("session_id").withColumnRenamed("request", "session_id")
-
-        served = tables.read(spark, "served", before=batch_id).select("session_id", F.col("id").alias("item_id"))
-        seen = log.select("session_id", "item_id").union(by_request(served).select("session_id", "item_id"))
+        spark, tables, options = trace.sparkSession, self.tables, self.options
+        asked = trace.where(F.col("action") == BATCH).select("session_id", "ts", "seq", "state", "batch_type", "params", request_key().alias("request"))
+        size = F.lit(options.batch_size)
+        if "batch_size" in actions.columns:
+            own = actions.select("session_id", "ts", "seq", F.col("batch_size").alias("_size"))
+            asked = asked.join(own, ["session_id", "ts", "seq"])
+            size = F.coalesce("_size", size)
+        asked = stage(asked.withColumn("batch_size", size.cast("int")).drop("_size"))
+        asking = stage(asked.select("session_id").distinct())
         values = self.items.select(F.col("id").alias("item_id"), "history_value")
-        history = seen.join(values, "item_id").select("session_id", "history_value")
-        found = serve_requests(requests, profile, self.items, self.topics, by_request(self.bias), history, self.options)
-        found = stage(found.withColumnRenamed("session_id", "request"))
-        keys = asked.select("request", "session_id", "ts", "seq")
-        tables.write(found.join(keys, "request").select("session_id", "ts", "seq", "position", "id", "score", "q_idx"), "served", batch_id)
-        sizes = found.groupBy("request").agg(F.count(F.lit(1)).cast("int").alias("n"))
-        answered = asked.join(sizes, "request", "left").withColumn("n_served", F.coalesce("n", F.lit(0)))
-        tables.write(answered.select("session_id", "ts", "seq", "state", "batch_type", "n_served"), "requests", batch_id)
+
+        log = tables.read(spark, "signals", before=batch_id + 1).join(asking, "session_id", "left_semi")
+        signals, requests = self.in_order(log, asked)
+        signals = stage(signals.join(values, "item_id", "left"))
+        served = tables.read(spark, "served", before=batch_id).join(asking, "session_id", "left_semi")
+        shown = stage(served.select("session_id", F.col("id").alias("item_id")).join(values, "item_id").select("session_id", "history_value"))
+        biased = stage(self.bias.join(asking, "session_id", "left_semi"))
+
+        answers, waiting = [], stage(requests)
+        while not waiting.isEmpty():
+            first = waiting.groupBy("session_id").agg(F.min("number").alias("_first"))
+            turn = waiting.join(first, "session_id").withColumn("place", (F.col("number") - F.col("_first")).cast("int"))
+            found = stage(self.answers(stage(turn.where(F.col("place") < TURNS).drop("_first")), signals, biased, shown))
+            answers.append(found.where("position > 0").join(waiting.select("request", "session_id", "ts", "seq"), "request"))
+            waiting = stage(waiting.join(found.where("position = 0").select("request"), "request", "left_anti"))
+            new = answers[-1].select("session_id", F.col("id").alias("item_id")).join(values, "item_id").select("session_id", "history_value")
+            shown = shown.unionByName(new)
+        columns = ["session_id", "ts", "seq", "position", "id", "score", "q_idx"]
+        empty = spark.createDataFrame([], tables.schema("served"))
+        tables.write(reduce(DataFrame.unionByName, [a.select(*columns) for a in answers], empty), "served", batch_id)
+        sizes = tables.read(spark, "served").where(F.col("batch_id") == batch_id)
+        sizes = sizes.groupBy("session_id", "ts", "seq").agg(F.count(F.lit(1)).cast("int").alias("n"))
+        answered = asked.join(sizes, ["session_id", "ts", "seq"], "left").withColumn("n_served", F.coalesce("n", F.lit(0)))
+        answered = answered.join(biased.select("session_id", F.lit(True).alias("_bias")).distinct(), "session_id", "left")
+        problem = F.when((F.col("batch_type") == "biased") & F.col("_bias").isNull(), NO_BIAS)
+        answered = answered.withColumn("problem", problem)
+        tables.write(answered.select("session_id", "ts", "seq", "state", "batch_type", "n_served", "problem"), "requests", batch_id)
+
+    def in_order(self, log: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Signals with their ``number`` in the session, and requests with theirs and with how many
+        signals they have ``seen``."""
+        is_request = F.col("request").isNotNull()
+        rows = log.select("session_id", "ts", "seq", "item_id", "weight").unionByName(asked, allowMissingColumns=True)
+        counted = {"number": is_request.cast("long"), "seen": (~is_request).cast("long")}
+        rows = stage(running_sums(rows, ["session_id"], ["ts", "seq"], counted))
+        signals = rows.where(~is_request).select("session_id", F.col("seen").alias("number"), "item_id", "weight")
+        return signals, rows.where(is_request).select(*asked.columns, "number", "seen")
+
+    def answers(self, turn: DataFrame, signals: DataFrame, bias: DataFrame, shown: DataFrame) -> DataFrame:
+        """Answers to the next requests of each session."""
+        depth = profile_depth(self.nodes)
+        numbers = F.sequence(F.greatest(F.col("seen") - depth, F.lit(0)), F.col("seen") - 1)
+        latest = turn.where("seen > 0").select("request", "session_id", "seen", F.explode(numbers).alias("number"))
+        latest = latest.join(signals, ["session_id", "number"]).join(self.items.select(F.col("id").alias("item_id"), "embedding"), "item_id")
+        place = (F.col("seen") - 1 - F.col("number")).cast("int")
+        profile = stage(latest.select(F.col("request").alias("session_id"), place.alias("q_idx"), "embedding", "weight"))
+        own = turn.select(F.col("request").alias("session_id"), "batch_type", "params", "batch_size", (F.col("seen") > 0).alias("has_embeddings"))
+        by_request = bias.join(turn.where("batch_type = 'biased'").select("session_id", "request"), "session_id")
+        by_request = by_request.drop("session_id").withColumnRenamed("request", "session_id")
+        queries = request_queries(stage(own), profile, self.items, self.topics, by_request, self.options)
+        if self.options.metric != "cosine_sim":
+            queries = queries.withColumn("query_embedding", F.col("embedding"))
+        search = self.options.search or partial(knn_join, items=self.items, metric=self.options.metric)
+        chance = own.select(F.col("session_id").alias("request"), left_to_chance().alias("chance"))
+        requests = turn.join(chance, "request").select("session_id", "request", "place", "seen", "chance", "batch_size")
+        return answer_in_turn(requests, queries.withColumnRenamed("session_id", "request").drop("batch_size"), signals, shown, self.items, search, self.options)
 
 
 def request_key():
