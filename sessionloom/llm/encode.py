@@ -215,11 +215,13 @@ class ByteEncoder:
         return self._tokenizer.decode(ids)
 
     def encode(self, texts: pa.Array) -> list[bytes]:
-        """The ids of each text; none for a null."""
+        """The ids of each text; none for a null.
+
+        Whole texts: remembering parts costs more than merging them again.
+        """
+        encode = self._tokenizer.encode_ordinary
         with no_collector():
-            cut = [self.cut.split(t or "") for t in texts.to_pylist()]
-            rest = self._parts.joined([c[1:] for c in cut])
-        return [as_bytes("H", self._tokenizer.encode_ordinary(c[0])) + r for c, r in zip(cut, rest, strict=True)]
+            return [as_bytes("H", encode(t or "")) for t in texts.to_pylist()]
 
     def counts(self, parts: list[str]) -> list[int]:
         """The number of ids of each part, a space before it included."""
