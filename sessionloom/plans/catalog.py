@@ -310,6 +310,25 @@ def stored_index_search(spark, sf_dir):
     return shown(ivf.ivf_join(_item_queries(all_items), ivf.read_index(spark, path)))
 
 
+@query
+def indexed_dot_search(spark, sf_dir):
+    """The same result as ``multi_search_dot``, through an index."""
+    all_items = w.items(spark, sf_dir)
+    index = ivf.build_index(all_items, ivf.train_cells(all_items, 16, "dot_product"), "dot_product")
+    return shown(ivf.ivf_join(_item_queries(all_items), index))
+
+
+@query
+def indexed_prior_filter(spark, sf_dir):
+    """The same result as ``history_prior_filter``, through a stored index that keeps the column."""
+    all_items = w.items(spark, sf_dir)
+    path = new_table_path(spark, "index")
+    ivf.write_index(ivf.build_index(all_items, ivf.train_cells(all_items, 16), keep=["label"]), path)
+    some = ivf.restrict_index(ivf.read_index(spark, path), F.col("label") % 2 == 0)
+    seen = history.history_values(w.history(spark, sf_dir))
+    return shown(ivf.ivf_join(w.latest_queries(spark, sf_dir), some, exclude=seen))
+
+
 @query
 def signal_item_join(spark, sf_dir):
     joined = signals.signal_item_join(w.signals_log(spark, sf_dir), w.items(spark, sf_dir))

@@ -765,3 +765,5 @@ _oracle(
     """SELECT a.session_id AS request, a.state, a.batch_type, coalesce(b.n, 0) AS n_served FROM stream_ask a
     LEFT JOIN (SELECT session_id, count(*) AS n FROM live_served GROUP BY session_id) b USING (session_id)""",
 )
+ORACLES["indexed_dot_search"] = ORACLES["multi_search_dot"]
+ORACLES["indexed_prior_filter"] = ORACLES["history_prior_filter"]
