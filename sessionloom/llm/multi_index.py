@@ -2,7 +2,8 @@
 
 Codebooks for the two halves of the vectors form a grid of cells. A multi-sequence
 traversal visits the cells of the grid from the nearest on; how many are visited is
-measured on sample queries against all vectors, so that the target recall is met.
+measured on sample queries, against all vectors and against made-up neighbours at the
+similarity asked for, so that the target recall is met where links are many or rare.
 Cells are compared in blocks of bounded size, which return numbers of links and a
 spanning forest instead of pairs. Equal vectors stand for one another.
 """
@@ -27,6 +28,11 @@ TARGET_RECALL = 1.0
 #: Cells visited for each one that the sample queries need.
 SLACK = 1.5
 LEAST_VISITS = 3
+#: Part of the links of just the similarity asked for that must be found without any
+#: being in the sample: vectors that agree more are nearer and found more often.
+RARE_RECALL = 0.98
+#: Centres of a codebook at most: a row per cell is broadcast.
+MOST_CENTRES = 1024
 #: Vectors of a cell, on average, and of one side of a block, at most on average.
 CELL_VECTORS = 32
 BLOCK = 1024
@@ -42,8 +48,10 @@ def k_means(points: np.ndarray, k: int, rounds: int = 12, seed: int = 0) -> np.n
     for _ in range(rounds):
         near = distances(points, centres).argmin(1)
         sizes = np.bincount(near, minlength=k)
+        order = np.argsort(near, kind="stable")
+        some = np.flatnonzero(sizes)
         sums = np.zeros_like(centres)
-        np.add.at(sums, near, points)
+        sums[some] = np.add.reduceat(points[order], (np.cumsum(sizes) - sizes)[some], axis=0)
         centres = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], centres)
     return centres
 
@@ -104,13 +112,15 @@ def _rank_rows(shared, similarity: float):
     """How many links of the sample queries lie in the cells of each rank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grid, queries = shared.value
+        grid, queries, own = shared.value
         first, second = grid.halves(queries)
         totals = np.zeros(first.shape[1] * second.shape[1], np.int64)
         for batch in batches:
             for k in range(0, batch.num_rows, 4096):
                 unit = _unit(_matrix(batch.column("embedding").slice(k, 4096)))
-                i, j = np.nonzero(queries @ unit.T >= similarity)
+                # A vector always finds itself, which tells nothing.
+                others = own[:, None] != batch.column("id").slice(k, 4096).to_numpy()
+                i, j = np.nonzero((queries @ unit.T >= similarity) & others)
                 cells = grid.cells(unit)[j]
                 for query in np.unique(i):
                     away = (first[query][:, None] + second[query]).ravel()
@@ -122,18 +132,39 @@ def _rank_rows(shared, similarity: float):
     return run
 
 
-def visits_needed(vectors: DataFrame, grid: Grid, sample: np.ndarray, similarity: float, recall: float) -> int:
-    """The number of cells to visit so that the sample queries find their links."""
+def rare_visits(grid: Grid, sample: np.ndarray, similarity: float, recall: float = RARE_RECALL, seed: int = 0) -> int:
+    """The number of cells to visit so that vectors of just this similarity find each other,
+    from either side."""
+    draw = np.random.default_rng(seed).normal(size=sample.shape)
+    draw -= (draw * sample).sum(1, keepdims=True) * sample
+    draw /= np.maximum(np.sqrt((draw**2).sum(1, keepdims=True)), 1e-12)
+    near = similarity * sample + np.sqrt(1 - similarity**2) * draw
+
+    def ranks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), np.int64)
+        for k, (first, second, cell) in enumerate(zip(*grid.halves(a), grid.cells(b))):
+            away = (first[:, None] + second).ravel()
+            out[k] = (away < away[cell]).sum()
+        return out
+
+    either = np.minimum(ranks(sample, near), ranks(near, sample))
+    return int(np.quantile(either, recall, method="higher")) + 1
+
+
+def visits_needed(vectors: DataFrame, grid: Grid, sample: np.ndarray, own: np.ndarray, similarity: float, recall: float) -> int:
+    """The number of cells to visit so that the sample queries, whose ids are ``own``, find
+    their links, and links that the sample has none of are found as well."""
     cells = len(grid.books[0]) * len(grid.books[1])
-    shared = vectors.sparkSession.sparkContext.broadcast((grid, sample))
-    found = vectors.select("embedding").mapInArrow(_rank_rows(shared, similarity), "rank long, n long")
+    least = max(LEAST_VISITS, rare_visits(grid, sample, similarity))
+    shared = vectors.sparkSession.sparkContext.broadcast((grid, sample, own))
+    found = vectors.select("id", "embedding").mapInArrow(_rank_rows(shared, similarity), "rank long, n long")
     rows = sorted((r["rank"], r["n"]) for r in found.groupBy("rank").agg(F.sum("n").alias("n")).collect())
     total, reached = sum(n for _, n in rows), 0
     for rank, n in rows:
         reached += n
         if reached >= recall * total:
-            return min(cells, max(LEAST_VISITS, int(SLACK * (rank + 1))))
-    return min(cells, LEAST_VISITS)
+            return min(cells, max(least, int(SLACK * (rank + 1))))
+    return min(cells, least)
 
 
 def _placed(shared, number: int):
@@ -187,11 +218,12 @@ def _links(groups: DataFrame, similarity: float, recall: float) -> DataFrame:
     """(a, b, n): a link of the forest, or with a = b a number of links of one vector."""
     spark = groups.sparkSession
     n = groups.count()
-    k = int(np.clip(round((n / CELL_VECTORS) ** 0.5), 2, 256))
+    k = int(np.clip(round((n / CELL_VECTORS) ** 0.5), 2, MOST_CENTRES))
     drawn = groups.select("id", "embedding").orderBy(F.xxhash64("id"), "id").limit(FIT_VECTORS).toArrow()
     sample = _unit(_matrix(drawn.column("embedding")))
     grid = Grid(sample, k)
-    number = visits_needed(groups, grid, sample[:SAMPLE_QUERIES], similarity, recall)
+    own = drawn.column("id").to_numpy()[:SAMPLE_QUERIES]
+    number = visits_needed(groups, grid, sample[:SAMPLE_QUERIES], own, similarity, recall)
     shared = spark.sparkContext.broadcast(grid)
     kind = groups.schema["embedding"].dataType.simpleString()
     placed = stage(groups.mapInArrow(_placed(shared, number), f"id long, copies long, embedding {kind}, cell long, visits array<long>"))
@@ -201,7 +233,7 @@ def _links(groups: DataFrame, similarity: float, recall: float) -> DataFrame:
     def chunks(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("at").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
 
-    # One row per cell: at most 256 x 256.
+    # One row per cell: at most MOST_CENTRES x MOST_CENTRES.
     sizes = F.broadcast(stage(chunks(placed.withColumn("at", F.col("cell")), "m_chunks").join(chunks(probes, "p_chunks"), "at")))
     every = {c: F.explode(F.sequence(F.lit(0), F.col(f"{c}_chunks") - 1)) for c in "mp"}
     own = {c: F.pmod(F.xxhash64(i, F.lit(c)), F.col(f"{c}_chunks")).cast("int") for c, i in (("m", "id"), ("p", "v_id"))}

@@ -169,6 +169,28 @@ def test_embedding_links(spark, block, monkeypatch):
     assert len(links) > 10_000
 
 
+@pytest.mark.parametrize("clusters", [0, 10])
+def test_rare_links_are_found(spark, clusters):
+    """Few near copies, all just above the limit, among vectors without links."""
+    rng = np.random.default_rng(clusters)
+    n, dim, pairs = 12_000, 32, 60
+    x = rng.normal(size=(n, dim))
+    if clusters:
+        x += 1.2 * rng.normal(size=(clusters, dim))[rng.integers(clusters, size=n)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for k in range(pairs):
+        away = rng.normal(size=dim)
+        away -= (away @ x[k]) * x[k]
+        angle = rng.uniform(0.9502, 0.955)
+        x[n - 1 - k] = angle * x[k] + np.sqrt(1 - angle**2) * away / np.linalg.norm(away)
+    expected = np.argwhere(np.triu(x @ x.T >= 0.95, 1))
+    assert pairs <= len(expected) < 3 * pairs
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in multi_index.near_duplicates(table).where("n_links > 0").collect()}
+    assert set(found) <= set(expected.ravel().tolist())
+    assert sum(found.values()) >= 0.95 * 2 * len(expected)
+
+
 def test_no_embeddings(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert multi_index.near_duplicates(empty).count() == 0
