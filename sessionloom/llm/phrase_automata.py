@@ -302,20 +302,27 @@ def _identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with repeated words taken out of ``text``.
+    """``docs`` with repeated words taken out of ``text``, whatever their other columns are called.
 
     Texts that lose nothing stay as they are, to the byte; documents that lose all their
-    words go. A column ``n_chars`` follows the text; all other columns stay.
+    words go, those that never had any stay. A column ``n_chars`` follows the text; all
+    other columns stay. Rows without ``doc_id`` neither own words nor lose any; repeated
+    rows lose the same words. An empty table stays empty.
     """
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}, _h long"
-    cut = shortened(docs, window).select(F.col("doc_id").alias("_doc_id"), F.col("h").alias("_cut_h"), "kept_text")
-    named = docs.mapInArrow(_identified, schema)
+    names = docs.columns
+    carried = {c: c if c in ("doc_id", "text") else f"_column_{k}" for k, c in enumerate(names)}
+    plain = docs.select([F.col(f"`{c}`").alias(carried[c]) for c in names])
+    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in plain.schema)}, _h long"
+    cut = shortened(plain, window).select(F.col("doc_id").alias("_doc_id"), F.col("h").alias("_cut_h"), F.col("kept_text").alias("_kept_text"))
+    named = plain.mapInArrow(_identified, schema)
     out = named.join(cut, (F.col("doc_id") == F.col("_doc_id")) & (F.col("_h") == F.col("_cut_h")), "left")
-    out = out.where("kept_text is null or kept_text <> ''")
-    changed = {"text": F.coalesce("kept_text", "text")}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text")).cast(docs.schema["n_chars"].dataType)
-    return out.withColumns(changed).select(*docs.columns)
+    kept = F.col("_kept_text")
+    out = out.where(kept.isNull() | (kept != ""))
+    changed = {"text": F.coalesce(kept, "text")}
+    if "n_chars" in names:
+        size = carried["n_chars"]
+        changed[size] = F.when(kept.isNull(), F.col(size)).otherwise(F.length(kept)).cast(docs.schema["n_chars"].dataType)
+    return out.withColumns(changed).select([F.col(carried[c]).alias(c) for c in names])
 
 
 def digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -151,9 +151,16 @@ def mix_probabilities(
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents drawn, with the columns of ``docs``."""
-    out = mix_probabilities(docs, **options)
-    return out.where("_drawn < _probability").select(*docs.columns)
+    """The documents drawn, with the columns of ``docs``, whatever the others are called.
+
+    Null or empty texts weigh nothing and are kept; rows with the same ``doc_id``, null
+    too, share their draw; an empty table stays empty.
+    """
+    # Only names with one line before them are used here.
+    carried = {c: f"__{k}" if c.startswith("_") else c for k, c in enumerate(docs.columns)}
+    plain = docs.select([F.col(f"`{c}`").alias(carried[c]) for c in docs.columns])
+    out = mix_probabilities(plain, **options).where("_drawn < _probability")
+    return out.select([F.col(carried[c]).alias(c) for c in docs.columns])
 
 
 def oracle(rounds: int = ROUNDS) -> str:
