@@ -175,7 +175,10 @@ def sampled_batch(
 
 
 def plan_requests(sessions: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """What a BATCH action does to every session: next state, batch type, parameters."""
+    """What a BATCH action does to every session: next state, batch type, parameters.
+
+    Sessions without a known blueprint or state have none (``session_problems`` names them).
+    """
     asked = route_algorithm(sessions).withColumn("action", F.lit(BATCH))
     return transition_lookup(asked, nodes, edges).where(F.col("next_state").isNotNull())
 

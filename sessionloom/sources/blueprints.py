@@ -232,8 +232,9 @@ def transition_lookup(requests: DataFrame, nodes: DataFrame, edges: DataFrame) -
     """Resolve ``(blueprint, state, action)``: adds ``next_state`` and the *source*
     node's ``batch_type`` and ``params``.
 
-    An action without an edge of its own takes the DEFAULT edge, BATCH included;
-    ``next_state`` is NULL where there is none.
+    An action without an edge of its own takes the DEFAULT edge, BATCH included; where
+    there is none either, the session stays where it is. ``next_state`` is NULL for an
+    unknown blueprint or state only.
     """
     first = broadcast_if_small(_first_edges(edges))
     nodes = broadcast_if_small(nodes)
@@ -247,7 +248,8 @@ def transition_lookup(requests: DataFrame, nodes: DataFrame, edges: DataFrame) -
         .join(own, ["blueprint", "_at", "action"], "left")
         .join(default, ["blueprint", "_at"], "left")
         .join(spec, ["blueprint", "_at"], "left")
-        .withColumn("next_state", F.coalesce("_own", "_default"))
+        # Only nodes of the blueprint have a batch type.
+        .withColumn("next_state", F.coalesce("_own", "_default", F.when(F.col("batch_type").isNotNull(), F.col("_at"))))
         .drop("_start", "_at", "_own", "_default")
     )
 

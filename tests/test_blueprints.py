@@ -97,6 +97,24 @@ def test_transitions(spark):
     assert step(spark, "B", "BATCH") == ("A", "personalized")
 
 
+def test_without_an_edge_a_session_stays(spark):
+    nodes, edges, _ = load(spark, bp=TWO_NODES)
+    asked = local_table(
+        spark,
+        [("bp", "B", "BATCH"), ("bp", "B", "LIKE"), ("bp", "0", "BATCH"), ("bp", "C", "BATCH"), ("none", "B", "BATCH")],
+        "blueprint string, state string, action string",
+    )
+    found = B.transition_lookup(asked, nodes, edges.where("start = 'nowhere'"))
+    got = {(r.blueprint, r.state, r.action): r.next_state for r in found.collect()}
+    assert got == {
+        ("bp", "B", "BATCH"): "B",
+        ("bp", "B", "LIKE"): "B",
+        ("bp", "0", "BATCH"): "A",
+        ("bp", "C", "BATCH"): None,
+        ("none", "B", "BATCH"): None,
+    }
+
+
 def walk(doc, actions):
     """One action at a time."""
     state, out = doc["nodes"][0]["name"], []
