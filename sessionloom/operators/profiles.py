@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.config import SCORE_DECIMALS, USER_EMBEDDINGS_LAST_N, broadcast_if_small, default_parallelism, local_table
 from sessionloom.functions import vectors as V
+from sessionloom.functions.permutations import permuted, pivots
 
 POLICIES = ("plain", "spread")
 
@@ -134,27 +135,20 @@ def collection_centroid(items: DataFrame) -> DataFrame:
 
 
 def sampled_profile(requests: DataFrame, topics: DataFrame, seed: int = 0) -> DataFrame:
-    """``n_topics`` topics per request, drawn by a seeded hash; weight 1.
+    """``n_topics`` different topics per request, weight 1; all topics if there are no more.
 
-    ``requests(session_id, n_topics)``; ``topics`` is a model table of a few rows.
+    ``requests(session_id, n_topics)``, ``topics(topic, embedding)`` numbered from 0. A
+    session's draw is the beginning of its own permutation of the topics, worked out place
+    by place, so a request costs what it draws, however many topics there are.
     """
     n = topics.count()
     topics = broadcast_if_small(topics, MAX_LOCAL_TOPICS)
-    drawn = F.array_sort(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(n - 1)),
-            lambda t: F.struct(
-                F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("session_id").cast("string"), t.cast("string"))).alias("h"),
-                t.alias("topic"),
-            ),
-        )
-    )
-    picked = requests.select("session_id", F.posexplode(F.slice(drawn, 1, F.col("n_topics"))).alias("q_idx", "d"))
-    return (
-        picked.select("session_id", "q_idx", F.col("d.topic").alias("topic"))
-        .join(topics, "topic")
-        .select("session_id", "q_idx", "embedding", F.lit(1.0).alias("weight"))
-    )
+    prefix = F.concat_ws(":", F.lit(str(seed)), F.col("session_id").cast("string"))
+    wanted = F.when(F.col("n_topics") > n, n).otherwise(F.col("n_topics"))
+    asked = requests.where(wanted > 0).select("session_id", wanted.alias("_n"), pivots(prefix, max(n, 1)).alias("_pivots"))
+    places = asked.select("session_id", "_pivots", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("q_idx"))
+    drawn = places.select("session_id", "q_idx", permuted(F.col("q_idx"), F.col("_pivots"), prefix, max(n, 1)).alias("topic"))
+    return drawn.join(topics, "topic").select("session_id", "q_idx", "embedding", F.lit(1.0).alias("weight"))
 
 
 def random_profile(

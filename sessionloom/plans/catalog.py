@@ -448,6 +448,15 @@ def train_scalar_quantizer_sketch(spark, sf_dir):
     return quantize.train_scalar_quantizer(w.items(spark, sf_dir), method="sketch")
 
 
+@query
+def sketch_rank_error(spark, sf_dir):
+    """Whether each of the sketch's cut points has about the rank it should have among all
+    components: within a hundredth, several times the sketch's own error."""
+    all_items = w.items(spark, sf_dir)
+    cuts = quantize.train_scalar_quantizer(all_items, method="sketch")
+    return quantize.rank_errors(all_items, cuts).select("level", (F.col("error") <= 0.01).alias("close"))
+
+
 @query
 def train_product_quantizer(spark, sf_dir):
     book = product.train_product_quantizer(w.items(spark, sf_dir), n_slices=8, n_codes=16, rounds=5)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from sessionloom.functions.permutations import ROUNDS
 from sessionloom.plans import workload as w
 from sessionloom.sources.blueprints import BLUEPRINTS, SIMPLE_BLUEPRINT
 from sessionloom.sources.signals import SIGNALS
@@ -459,10 +460,16 @@ def _with_bias(own: str, requests: str, session: str = "r.session_id") -> str:
 
 
 def _drawn(requests: str, seed: int = 0) -> str:
-    return f"""SELECT session_id, q_idx, e, 1.0::DOUBLE AS weight FROM (
-        SELECT r.session_id, r.n_topics, t.e,
-            row_number() OVER (PARTITION BY r.session_id ORDER BY md5('{seed}' || ':' || r.session_id || ':' || t.topic), t.topic) - 1 AS q_idx
-        FROM {requests} r CROSS JOIN topics t) WHERE q_idx < n_topics"""
+    """The first ``n_topics`` places of each session's permutation, one round after the other."""
+    places = f"""SELECT session_id, unnest(range(least(n_topics, n)::INT)) AS q_idx, n, q_idx AS place
+        FROM {requests}, (SELECT count(*) AS n FROM topics)"""
+    for k in range(ROUNDS):
+        key = f"'{seed}:' || session_id || ':{k}'"
+        mirrored = f"SELECT *, (('0x' || substr(md5({key}), 1, 8))::BIGINT % n + n - place) % n AS mirror FROM ({places})"
+        places = f"""SELECT session_id, q_idx, n,
+            CASE WHEN substr(md5({key} || ':' || greatest(place, mirror)), 1, 1) >= '8' THEN mirror ELSE place END AS place
+            FROM ({mirrored})"""
+    return f"SELECT session_id, q_idx, e, 1.0::DOUBLE AS weight FROM ({places}) JOIN topics ON topic = place"
 
 
 _CTES["ask_personal"] = "SELECT * FROM asked WHERE batch_type = 'personalized'"
@@ -514,6 +521,7 @@ _CTES["item_codes"] = _codes("items", "item_cuts")
 _CTES["item_decoded"] = "SELECT id, pos, x, cut FROM item_codes JOIN item_cuts ON code = level"
 _CTES["sample_cuts"] = _cuts("sample")
 _CTES["sample_codes"] = _codes("sample", "sample_cuts")
+_oracle("sketch_rank_error", "SELECT unnest(range(256)) AS level, true AS close")
 _oracle("train_scalar_quantizer", "SELECT level, round(cut, 9) AS cut FROM item_cuts")
 
 # --- windows, sorts, set operations ----------------------------------------

@@ -34,13 +34,54 @@ def test_exact_quantiles(spark, shape):
     np.testing.assert_allclose(cuts, np.quantile(m.astype(np.float64), np.arange(256) / 256), rtol=1e-12)
 
 
-def test_exact_quantiles_with_sampled_borders(spark, monkeypatch):
-    monkeypatch.setattr(quantize, "BORDER_SAMPLE", 20)
+def test_exact_quantiles_with_rough_borders(spark, monkeypatch):
+    monkeypatch.setattr(quantize, "SKETCH_K", 20)
     m = unit(400, 8)
     cuts = quantize.cut_points(quantize.train_scalar_quantizer(table(spark, m), levels=64))
     np.testing.assert_allclose(cuts, np.quantile(m.astype(np.float64), np.arange(64) / 64), rtol=1e-12)
 
 
+@pytest.mark.parametrize("bound", [1, 50])
+def test_full_ranges_are_cut_again(spark, monkeypatch, bound):
+    monkeypatch.setattr(quantize, "BINS", 5)
+    monkeypatch.setattr(quantize, "CUT_BINS", 64)
+    monkeypatch.setattr(quantize, "BIN_VALUES", bound)
+    m = unit(300, 8)
+    # Most values lie in one narrow range, some of them are all the same, and signs differ.
+    m[:270] = 0.5 + m[:270] * 1e-5
+    m[100:150] = -0.25
+    cuts = quantize.cut_points(quantize.train_scalar_quantizer(table(spark, m), levels=64))
+    np.testing.assert_allclose(cuts, np.quantile(m.astype(np.float64), np.arange(64) / 64), rtol=1e-12)
+
+
+def test_passes_over_a_narrow_range(spark, monkeypatch):
+    monkeypatch.setattr(quantize, "BINS", 16)
+    monkeypatch.setattr(quantize, "BIN_VALUES", 100)
+    passes, counted = [], quantize._counted
+    monkeypatch.setattr(quantize, "_counted", lambda *a: passes.append(len(a[1])) or counted(*a))
+    m = unit(500, 16)
+    m[:450] = 0.5 + m[:450] * 1e-4
+    cuts = quantize.cut_points(quantize.train_scalar_quantizer(table(spark, m)))
+    np.testing.assert_allclose(cuts, np.quantile(m.astype(np.float64), np.arange(256) / 256), rtol=1e-12)
+    assert 2 <= len(passes) <= 3 and max(passes) <= quantize.CUT_BINS + quantize.BINS
+
+
+def test_ranges_hold_equally_many_doubles():
+    starts = quantize.cut_range(-1.0, 1.0, 8)
+    assert starts[0] == -1.0 and (np.diff(starts) > 0).all() and len(starts) == 8
+    assert quantize.cut_range(0.5, np.nextafter(0.5, 1), 100).tolist() == [0.5, np.nextafter(0.5, 1)]
+
+
+def test_components_that_are_no_numbers(spark):
+    rows = [(0, [1.0, float("nan"), 2.0]), (1, [float("inf"), None, 3.0]), (2, None), (3, [])]
+    data = local_table(spark, rows, "id long, embedding array<double>")
+    for method in quantize.METHODS:
+        cuts = quantize.cut_points(quantize.train_scalar_quantizer(data, 2, method))
+        assert cuts.tolist() == ([1.0, 2.0])
+    with pytest.raises(ValueError):
+        quantize.train_scalar_quantizer(data.limit(0))
+
+
 def test_sketch_is_close(spark):
     m = unit(1000, 16)
     cuts = quantize.cut_points(quantize.train_scalar_quantizer(table(spark, m), method="sketch"))
