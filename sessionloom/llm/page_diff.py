@@ -1,10 +1,11 @@
 """Main text of web pages: markup first, then differencing with the nearest page.
 
 A page becomes a list of blocks, each inside the article, outside of it, or inside an
-element that is never main text. Pages are sorted by host and URL path; each is aligned
-with the nearest of its neighbours by a longest common subsequence of lines, and lines
-outside articles that both share go. Lines inside an article stay: two pages of a host
-that carry the same article share its lines as well.
+element that is never main text. Where articles hold most of the text, only they and what
+stands between them are looked at; a teaser leaves the rest of its page alone. Pages are sorted by
+host and URL path; each is aligned with the nearest of its neighbours by a longest common
+subsequence of lines, and lines outside articles that both share go. Lines inside an article
+stay: two pages of a host that carry the same article share its lines as well.
 """
 
 from __future__ import annotations
@@ -39,27 +40,63 @@ INLINE = set(
 MAIN = {"article", "main"}
 NEVER = set("nav header footer aside form button dialog menu head".split())
 NEVER_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-#: Words of a class or id that tell an element is no main text.
+#: Words of a class or id that tell an element is no main text, whatever stands beside them.
 NEVER_NAMES = set(
-    "ad ads adv advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "disclaimer footer header masthead menu menus modal nav navbar navigation newsletter notice notices overlay popup promo promos promotion "
-    "related share sharing sidebar sidebars social sponsor sponsored sponsors subscribe subscription toolbar widget widgets".split()
+    "ad ads adv advert adverts advertisement advertising breadcrumb breadcrumbs comments consent masthead navbar newsletter "
+    "sidebar sidebars sponsored toolbar".split()
 )
-NAME_BREAK = re.compile(r"[\s_-]+")
+#: Words that tell so only where nothing but words of these three lists stands beside them.
+NEVER_ALONE = set(
+    "banner banners comment cookie cookies disclaimer footer header menu menus modal nav navigation notice notices overlay popup promo "
+    "promos promotion related reply replies share sharing social sponsor sponsors subscribe subscription widget widgets".split()
+)
+#: Words about an element's place or form.
+FORM_NAMES = set(
+    "accept alert area article bar block body bottom box btn button buttons center clearfix close col column container content count entry "
+    "fixed flex fluid footer full global grid group head hidden icon icons inner item items large left legal level link links list main media "
+    "mobile nested outer page panel pane post primary right row secondary section site slot small sticky story text thread threaded title "
+    "toggle top unit user visible wide wrap wrapper".split()
+)
+COMMENT_NAMES = set("comment comments reply replies".split())
+#: Words that make a name one about the page's layout: no-sidebar, has-ads.
+LAYOUT = set("has no not show with without".split())
+NAME_BREAK = re.compile(r"[_-]+|(?<=[a-z])(?=[A-Z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def _parts(names: str) -> list[str]:
+    """The words of a class or id, but for names about layout and words with figures."""
+    out: list[str] = []
+    for name in names.split():
+        words = [w.lower() for w in NAME_BREAK.split(name) if w]
+        if LAYOUT.isdisjoint(words):
+            out += [w for w in words if len(w) > 1 and not any(c.isdigit() for c in w)]
+    return out
+
+
+def _never_named(names: str, article: bool) -> bool:
+    """Does a class or id tell that an element is no main text? Articles may be reader comments only."""
+    words = _parts(names)
+    if not article and not NEVER_NAMES.isdisjoint(words):
+        return True
+    telling = COMMENT_NAMES if article else NEVER_ALONE
+    return not telling.isdisjoint(words) and all(w in NEVER_NAMES or w in NEVER_ALONE or w in FORM_NAMES for w in words)
+
+
 def _never(name: str, attributes: str) -> bool:
     """Is an element of this name and these attributes never main text?"""
     if name in NEVER:
         return True
-    if name in ("html", "body", "article", "main") or not attributes.strip(" /"):
+    if name in ("html", "body", "main") or not attributes.strip(" /"):
         return False
     for key, value in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), html.unescape(value.strip("\"'")).lower()
-        if key in ("class", "id") and not NEVER_NAMES.isdisjoint(NAME_BREAK.split(value)):
+        key, value = key.lower(), html.unescape(value.strip("\"'"))
+        if key in ("class", "id") and _never_named(value, name == "article"):
+            return True
+        value = value.strip().lower()
+        if key == "role" and value in NEVER_ROLES and name != "article":
             return True
-        if key == "role" and value.strip() in NEVER_ROLES:
+        if (key == "itemprop" and value == "comment") or (key == "itemtype" and value.endswith(("/comment", "/usercomments"))):
             return True
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and HIDDEN.search(value)):
             return True
@@ -188,17 +225,27 @@ def _alike(a: str, b: str) -> int:
     return n
 
 
+def candidates(lines: list[tuple[str, bool]]) -> list[tuple[str, bool]]:
+    """The lines that may be main text: from the first line of an article to the last, if
+    articles hold at least half of the characters, else all."""
+    inside = [k for k, (_, main) in enumerate(lines) if main]
+    held = sum(len(lines[k][0]) for k in inside)
+    if not inside or 2 * held < sum(len(text) for text, _ in lines):
+        return lines
+    return lines[inside[0] : inside[-1] + 1]
+
+
 def main_text(page: Page, before: Page | None, after: Page | None) -> str:
-    """The article's lines, or else the lines that the nearest page doesn't share."""
-    if any(inside for _, inside in page.lines):
-        lines = [(text, inside) for text, inside in page.lines if inside]
-    else:
-        lines = page.lines
+    """The lines that may be main text, without those outside articles that the nearest page shares."""
+    lines = candidates(page.lines)
     near = [p for p in (before, after) if p and page.host is not None and p.host == page.host and p.lines != page.lines]
     if near:
         other = max(near, key=lambda p: _alike(p.path, page.path))
-        shared = common_lines([t for t, _ in lines], [t for t, _ in other.lines])
-        lines = [line for k, line in enumerate(lines) if line[1] or k not in shared]
+        # An article's lines stay, so only the others are aligned.
+        own = [k for k, (_, inside) in enumerate(lines) if not inside]
+        shared = common_lines([lines[k][0] for k in own], [t for t, _ in other.lines])
+        gone = {own[k] for k in shared}
+        lines = [line for k, line in enumerate(lines) if k not in gone]
     return "\n".join(text for text, _ in lines)
 
 
@@ -243,8 +290,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for each row of ``pages``.
 
     A null or empty page has an empty text. A page without a host has no neighbour;
-    neither has one whose neighbours are exact copies of it. Repeated rows are extracted
-    each by itself. Other columns are not read.
+    neither has one whose neighbours are exact copies of it. Of two neighbours equally near
+    the one before it counts. Repeated rows are extracted each by itself; texts of any
+    length are read whole. Other columns are not read, whatever they are called; an empty
+    table stays empty.
     """
     host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*?)/?(?:[?#].*)?$", 1)

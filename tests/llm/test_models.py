@@ -2,6 +2,7 @@
 
 import math
 import random
+from html.parser import HTMLParser
 from collections import Counter
 
 import numpy as np
@@ -215,6 +216,72 @@ def test_blocks():
     assert page_diff.blocks("<div class=ad>open<article><p>text</article>") == [("text", True)]
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        # Reader comments are articles too, inside and beside the page's own.
+        ("<article><p>Own words here<article class=comment>rude</article><p>more</article><article id='comment-12'>x</article>", "Own words here\nmore"),
+        ("<article><p>Own words<section class='commentList'><p>a</section><div itemprop=comment>b</div></article>", "Own words"),
+        # Words that tell something only by themselves.
+        ("<article><p>A<p class='notice-period'>B<p class='share price'>C<div class='share'>D</div></article>", "A\nB\nC"),
+        ("<article><p>A<div class='leaderboardAd'>B</div><div class='ad-300 left'>C</div><ul class='share-buttons'><li>D</ul></article>", "A"),
+        ("<div class='no-sidebar'><p>A<div class='cookie-notice bottom'>B</div></div>", "A"),
+        # A teaser doesn't hide the page, and what stands between two articles stays.
+        ("<p>A long text of the page itself, with all its words.<article>Teaser</article><p>End.", "A long text of the page itself, with all its words.\nTeaser\nEnd."),
+        ("<p>Top<article>The first half of it</article><p>Between<article>the other half</article><p>End", "The first half of it\nBetween\nthe other half"),
+        ("<article hidden>gone</article><main><p>A</main>", "A"),
+    ],
+)
+def test_main_text_of_one_page(html, text):
+    assert page_diff.main_text(page_diff.Page((1, ""), None, "", page_diff.blocks(html)), None, None) == text
+
+
+class Articles(HTMLParser):
+    """A plain reading of pages that keep their text in an article: words by block."""
+
+    BLOCKS = ("article", "p", "h1", "h2", "h3", "ul", "ol", "li", "div", "blockquote", "section", "table", "tr", "td", "pre")
+    SKIPPED = ("nav", "header", "footer", "aside", "form", "script", "style", "head")
+
+    def __init__(self):
+        super().__init__()
+        self.blocks, self.inside, self.skipped = [""], 0, []
+
+    def handle_starttag(self, tag, attrs):
+        if self.skipped:
+            self.skipped += [tag] if tag == self.skipped[0] else []
+        elif tag in self.SKIPPED or "ad" in (dict(attrs).get("class") or "").split():
+            self.skipped = [tag]
+        elif tag in self.BLOCKS:
+            self.inside += tag == "article"
+            self.blocks.append("")
+        elif tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        if self.skipped:
+            self.skipped = self.skipped[:-1] if tag == self.skipped[0] else self.skipped
+        elif tag in self.BLOCKS:
+            self.inside -= tag == "article"
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside and not self.skipped:
+            self.blocks[-1] += data
+
+
+def test_whole_table_against_a_plain_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = {r.page_id: r.text for r in page_diff.extract(pages).collect()}
+    rows = pages.collect()
+    assert len(found) == len(rows) > 200
+    for r in rows:
+        parser = Articles()
+        parser.feed(r.html)
+        parser.close()
+        lines = [" ".join(block.split()) for block in parser.blocks]
+        assert found[r.page_id] == "\n".join(line for line in lines if line), r.page_id
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_common_lines_are_longest(seed):
     rng = random.Random(seed)
