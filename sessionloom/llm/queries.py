@@ -63,7 +63,7 @@ def op3_segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raking.mix_probabilities(table(spark, sf_dir, "documents")).select(
+    return raking.mix_probabilities(table(spark, sf_dir, "documents"), share=raking.KEPT_SHARE).select(
         "doc_id",
         F.col("_source").alias("source"),
         F.col("_lang").alias("lang"),

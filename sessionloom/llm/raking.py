@@ -35,6 +35,12 @@ def tempered(cells: DataFrame, name: str, power: float = TEMPER) -> DataFrame:
     return totals
 
 
+def _together(cells: DataFrame) -> DataFrame:
+    """Staged; a few cells lie in one partition, so that sums over them shuffle nothing."""
+    cells = stage(cells)
+    return cells.coalesce(1) if cells.count() <= BROADCAST_ROWS else cells
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """Adds ``weight``, a share of all tokens, to cells (dimensions, ``tokens``).
 
@@ -45,14 +51,14 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     for name, target in targets.items():
         target = target.select(F.col("value").alias("_value"), F.col("share").cast("double").alias(f"_to_{name}"))
         out = out.join(target, F.col(name).eqNullSafe(F.col("_value")), "left").drop("_value").fillna(0.0, [f"_to_{name}"])
-    out = stage(out.withColumn("weight", F.col("tokens").cast("double")))
+    out = _together(out.withColumn("weight", F.col("tokens").cast("double")))
     for k in range(1, rounds + 1):
         for name in targets:
             inside = F.sum("weight").over(Window.partitionBy(name))
             out = out.withColumn("_inside", inside)
             out = out.withColumn("weight", F.expr(f"IF(_inside > 0, weight * _to_{name} / _inside, 0D)")).drop("_inside")
         if k % STAGE_ROUNDS == 0 or k == rounds:
-            out = stage(out)
+            out = _together(out)
     total = out.agg(F.sum("weight")).first()[0] or 1.0
     return out.withColumn("weight", F.col("weight") / F.lit(total)).drop(*[f"_to_{name}" for name in targets])
 
@@ -65,7 +71,7 @@ def rake_to_share(cells: DataFrame, targets: dict[str, DataFrame], share: float,
     further cell is full. A value of which all cells are full stays below its target; the
     other values take up what it lacks (``shortfall``).
     """
-    cells = stage(cells.where("tokens > 0"))
+    cells = _together(cells.where("tokens > 0"))
     budget = share * (cells.agg(F.sum("tokens")).first()[0] or 0)
     goals = {name: _goal(cells, name, target, budget) for name, target in targets.items()}
     names = list(targets)
@@ -77,13 +83,13 @@ def rake_to_share(cells: DataFrame, targets: dict[str, DataFrame], share: float,
             joined = goal.join(held, F.col("value").eqNullSafe(F.col("_held")), "left")
             rest[name] = joined.select("value", F.greatest(F.col("goal") - F.coalesce("tokens", F.lit(0)), F.lit(0.0)).alias("share"))
         raked = rake(free, rest, rounds).withColumn("weight", F.col("weight") * F.lit(float(left)))
-        raked = stage(raked.withColumn("ratio", F.col("weight") / F.col("tokens")))
+        raked = _together(raked.withColumn("ratio", F.col("weight") / F.col("tokens")))
         over = raked.where("ratio > 1")
         more = over.agg(F.sum("tokens")).first()[0]
         if more is None:
             whole = full.withColumns({"weight": F.col("tokens").cast("double"), "ratio": F.lit(1.0)})
             return raked.select(*names, "tokens", "weight", "ratio").unionByName(whole.select(*names, "tokens", "weight", "ratio"))
-        full = stage(full.select(*names, "tokens").unionByName(over.select(*names, "tokens")))
+        full = _together(full.select(*names, "tokens").unionByName(over.select(*names, "tokens")))
         free = raked.where("ratio <= 1").select(*names, "tokens")
         left -= more
 
@@ -163,30 +169,41 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     return out.select([F.col(carried[c]).alias(c) for c in docs.columns])
 
 
-def oracle(rounds: int = ROUNDS) -> str:
-    """The same in DuckDB SQL over ``documents``."""
-    names = list(DIMENSIONS)
-    steps = [
-        "counted AS (SELECT *, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS _tokens FROM documents)",
-        f"placed AS (SELECT doc_id, _tokens, {', '.join(f'{sql} AS _{n}' for n, sql in DIMENSIONS.items())} FROM counted)",
-        f"cells AS (SELECT {', '.join('_' + n for n in names)}, sum(_tokens) AS tokens FROM placed GROUP BY ALL)",
-        "w0 AS (SELECT c.*, tokens::DOUBLE AS weight, "
-        + ", ".join(f"pow(sum(tokens) OVER (PARTITION BY _{n})::DOUBLE, {TEMPER}) AS to_{n}" for n in names)
-        + " FROM cells c WHERE tokens > 0)",
+def oracle(rounds: int = ROUNDS, share: float = KEPT_SHARE) -> str:
+    """The same in DuckDB SQL over ``documents``: one step of the recursion rakes the cells
+    that are not full, and finds those that are now."""
+    names = [f"_{n}" for n in DIMENSIONS]
+    goals = [
+        f"pow(sum(tokens) OVER (PARTITION BY {n})::DOUBLE, {TEMPER}) * {share} * (sum(tokens) OVER ())::DOUBLE / (SELECT sum(x) FROM "
+        f"(SELECT pow(sum(tokens)::DOUBLE, {TEMPER}) AS x FROM cells WHERE tokens > 0 GROUP BY {n})) AS goal{n}"
+        for n in names
     ]
-    k = 0
+    kept = [f"goal{n}" for n in names]
+    left = [f"greatest(goal{n} - coalesce(sum(tokens) FILTER (WHERE full_cell) OVER (PARTITION BY {n}), 0), 0)::DOUBLE AS to{n}" for n in names]
+    step = f"SELECT *, CASE WHEN full_cell THEN 0 ELSE tokens END::DOUBLE AS weight, {', '.join(left)} FROM raked WHERE more"
     for _ in range(rounds):
         for n in names:
-            steps.append(f"w{k + 1} AS (SELECT * REPLACE (weight * to_{n} / sum(weight) OVER (PARTITION BY _{n}) AS weight) FROM w{k})")
-            k += 1
-    steps.append(f"ratios AS (SELECT *, weight / sum(weight) OVER () / tokens AS ratio FROM w{k})")
-    same = " AND ".join(f"p._{n} IS NOT DISTINCT FROM r._{n}" for n in names)
-    steps.append(
-        "drawn AS (SELECT p.*, coalesce(r.ratio * (1.0 / (SELECT max(ratio) FROM ratios)), 1.0) AS probability, "
-        f"('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / {1 << 52}::DOUBLE AS u "
-        f"FROM placed p LEFT JOIN ratios r ON {same})"
+            inside = f"sum(weight) OVER (PARTITION BY {n})"
+            step = f"SELECT * REPLACE (CASE WHEN {inside} > 0 THEN weight * to{n} / {inside} ELSE 0 END AS weight) FROM ({step})"
+    held = "coalesce(sum(tokens) FILTER (WHERE full_cell) OVER (), 0)"
+    step = (
+        f"SELECT * REPLACE (CASE WHEN full_cell THEN 1 ELSE weight / sum(weight) OVER () * (budget - {held}) / tokens END::DOUBLE AS ratio) "
+        f"FROM ({step})"
     )
+    columns = ", ".join([*names, "tokens", "budget", *kept])
+    same = " AND ".join(f"p.{n} IS NOT DISTINCT FROM r.{n}" for n in names)
+    steps = [
+        "counted AS (SELECT *, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS _tokens FROM documents)",
+        f"placed AS (SELECT doc_id, _tokens, {', '.join(f'{sql} AS _{n}' for n, sql in DIMENSIONS.items())} FROM counted)",
+        f"cells AS (SELECT {', '.join(names)}, sum(_tokens) AS tokens FROM placed GROUP BY ALL)",
+        f"wanted AS (SELECT {', '.join(names)}, tokens, {share} * (sum(tokens) OVER ())::DOUBLE AS budget, {', '.join(goals)} FROM cells WHERE tokens > 0)",
+        f"raked AS (SELECT {columns}, false AS full_cell, 0::DOUBLE AS ratio, true AS more FROM wanted UNION ALL "
+        f"SELECT {columns}, ratio >= 1 AS full_cell, least(ratio, 1) AS ratio, coalesce(bool_or(ratio > 1) OVER (), false) AS more FROM ({step}))",
+        f"drawn AS (SELECT p.*, coalesce(r.ratio, 1.0) AS probability, "
+        f"('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / {1 << 52}::DOUBLE AS u "
+        f"FROM placed p LEFT JOIN (SELECT * FROM raked WHERE NOT more) r ON {same})",
+    ]
     return (
-        f"WITH {', '.join(steps)} SELECT doc_id, _source AS source, _lang AS lang, _topic AS topic, "
+        f"WITH RECURSIVE {', '.join(steps)} SELECT doc_id, _source AS source, _lang AS lang, _topic AS topic, "
         "_tokens::BIGINT AS n_tokens, round(probability, 9) AS probability, u < probability AS kept FROM drawn"
     )

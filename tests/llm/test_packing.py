@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sessionloom.config import stage
 from sessionloom.llm import best_fit, packed_ids, queries, raking, segment_counts
 from sessionloom.llm.encode import byte_encoder, word_encoder
 
@@ -78,6 +79,34 @@ def test_one_odd_document_does_not_decide_how_much_is_kept(spark):
             assert short.goal.sum() == pytest.approx(short.kept.sum())
 
 
+def test_one_odd_document_changes_little(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = docs.limit(1).withColumns(
+        {"doc_id": F.lit(10**9).cast(docs.schema["doc_id"].dataType), "source": F.lit("odd"), "lang": F.lit("odd"), "text": F.lit("one two three four five six seven eight nine ten")}
+    )
+    shares = []
+    for name, rows in (("plain", docs), ("odd", docs.unionByName(odd))):
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        found = queries.op4_raking(spark, f"{tmp_path}/{name}").where("doc_id <> 1000000000")
+        shares.append(found.agg(F.sum(F.expr("n_tokens * probability")) / F.sum("n_tokens")).first()[0])
+    assert abs(shares[0] - 0.8) < 1e-6 and abs(shares[1] - shares[0]) < 0.01
+
+
+def test_few_exchanges_in_raking(spark):
+    cells = spark.range(60).selectExpr("id % 5 AS s", "id % 4 AS l", "id + 1 AS tokens")
+    targets = {name: stage(raking.tempered(cells, name)) for name in "sl"}
+    staged = []
+    raking_stage = raking.stage
+    raking.stage = lambda df: staged.append(df) or raking_stage(df)
+    try:
+        raking.rake(cells, targets)
+    finally:
+        raking.stage = raking_stage
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in staged]
+    assert len(plans) == 4 and sum(plan.count("Window") for plan in plans) >= 12
+    assert all("Exchange" not in plan for plan in plans[1:])
+
+
 def test_mixing_stage_keeps_its_share(spark):
     import corpus_pipeline
 
