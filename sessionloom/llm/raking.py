@@ -54,9 +54,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     out = _together(out.withColumn("weight", F.col("tokens").cast("double")))
     for k in range(1, rounds + 1):
         for name in targets:
-            inside = F.sum("weight").over(Window.partitionBy(name))
-            out = out.withColumn("_inside", inside)
-            out = out.withColumn("weight", F.expr(f"IF(_inside > 0, weight * _to_{name} / _inside, 0D)")).drop("_inside")
+            inside = F.nullif(F.sum("weight").over(Window.partitionBy(name)), F.lit(0.0))
+            out = out.withColumn("weight", F.coalesce(F.col("weight") * F.col(f"_to_{name}") / inside, F.lit(0.0)))
         if k % STAGE_ROUNDS == 0 or k == rounds:
             out = _together(out)
     total = out.agg(F.sum("weight")).first()[0] or 1.0
