@@ -899,7 +899,9 @@ def _serving_tables(spark, sf_dir) -> serving.Tables:
 
 @query
 def update_state(spark, sf_dir):
-    tables = _serving_tables(spark, sf_dir)
+    """States after the stream; answers don't move them, so that none are worked out."""
+    routed, path = stage(sessions.route_algorithm(w.sessions(spark, sf_dir))), new_table_path(spark, "fold")
+    tables = fold.signal_stream(_action_stream(spark, sf_dir), routed, w.items(spark, sf_dir), *w.builtin(spark), path, steps=False)
     return serving.latest_states(tables.read(spark, "states")).select("session_id", "state", "has_embeddings")
 
 

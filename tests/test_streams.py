@@ -192,3 +192,16 @@ def test_running_sums_of_a_key_in_many_partitions(spark):
         assert (r.at, r.n, r["sum"]) == (n, n, total)
         total += r.v
     assert running_sums(rows.limit(0), ["k"], ["at"], {"n": F.lit(1)}).count() == 0
+
+
+def test_states_without_answers(spark, sf_dir, monkeypatch):
+    """The states after the stream are worked out without its answers."""
+    from sessionloom.plans import catalog
+
+    def refused(*args):
+        raise AssertionError("an answer was asked for")
+
+    monkeypatch.setattr(serving.Server, "answer", refused)
+    found = {(r.session_id, r.state, r.has_embeddings) for r in catalog.QUERIES["update_state"](spark, sf_dir).collect()}
+    states = w.current_sessions(spark, sf_dir).select("session_id", "state", "has_embeddings").collect()
+    assert found and found <= {tuple(r) for r in states}
