@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.config import new_table_path, stage
 from sessionloom.functions import vectors as V
-from sessionloom.operators import budgets, ivf, knn, postprocess, product, profiles, quantize, states
+from sessionloom.operators import budgets, ivf, knn, postprocess, product, profiles, quantize, shared, states
 from sessionloom.operators.mmr import mmr
 from sessionloom.plans import batches, sketch
 from sessionloom.plans import workload as w
@@ -51,8 +51,21 @@ def served(batch: DataFrame) -> DataFrame:
 
 
 def latest_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbours of each session's three latest signals."""
-    return knn.knn_join(w.latest_queries(spark, sf_dir), w.items(spark, sf_dir))
+    """Neighbours of each session's latest signals."""
+    return shared.handed_out(*_latest_by_vector(spark, sf_dir))
+
+
+def _latest_by_vector(spark: SparkSession, sf_dir: str, metric: str = "cosine_sim") -> tuple[DataFrame, DataFrame]:
+    """The sessions' latest signals as queries, and the neighbours of each signalled item."""
+    all_items, asked = w.items(spark, sf_dir), w.latest_asked(spark, sf_dir)
+    search = partial(knn.knn_join, items=all_items, metric=metric)
+    return asked, shared.by_vector(asked, w.item_vectors(all_items), search)
+
+
+def _latest_unseen(spark: SparkSession, sf_dir: str, found_items: DataFrame, search, exclude: DataFrame) -> DataFrame:
+    """Neighbours of each session's latest signals, without what it must not see."""
+    vectors = w.item_vectors(w.items(spark, sf_dir))
+    return shared.shared_search_unseen(w.latest_asked(spark, sf_dir), vectors, found_items, search, exclude)
 
 
 # --- sources ---------------------------------------------------------------
@@ -176,8 +189,8 @@ def history_filter(spark, sf_dir):
 @query
 def history_search(spark, sf_dir):
     """Nearest items to each session's latest signals, without its history."""
-    seen = history.history_values(w.history(spark, sf_dir))
-    return shown(knn.knn_join(w.latest_queries(spark, sf_dir), w.items(spark, sf_dir), exclude=seen))
+    all_items, seen = w.items(spark, sf_dir), history.history_values(w.history(spark, sf_dir))
+    return shown(_latest_unseen(spark, sf_dir, all_items, partial(knn.knn_join, items=all_items), seen))
 
 
 @query
@@ -185,7 +198,7 @@ def history_prior_filter(spark, sf_dir):
     """The same, with a caller's predicate on the items."""
     some = items.restrict(w.items(spark, sf_dir), F.col("label") % 2 == 0)
     seen = history.history_values(w.history(spark, sf_dir))
-    return shown(knn.knn_join(w.latest_queries(spark, sf_dir), some, exclude=seen))
+    return shown(_latest_unseen(spark, sf_dir, some, partial(knn.knn_join, items=some), seen))
 
 
 @query
@@ -195,27 +208,28 @@ def history_by_field(spark, sf_dir):
     log = w.signals_log(spark, sf_dir)
     recent = profiles.latest_signals(log, 3)
     seen = recent.join(labelled.select(F.col("id").alias("item_id"), "history_value"), "item_id")
-    return shown(knn.knn_join(w.latest_queries(spark, sf_dir), labelled, exclude=history.history_values(seen)))
+    search = partial(knn.knn_join, items=labelled)
+    return shown(_latest_unseen(spark, sf_dir, labelled, search, history.history_values(seen)))
 
 
 @query
 def result_projection(spark, sf_dir):
-    out = items.project_result(
-        latest_candidates(spark, sf_dir), w.items(spark, sf_dir), include_values=False, return_fields=["label"]
-    )
-    return shown(out, "label")
+    asked, found = _latest_by_vector(spark, sf_dir)
+    out = items.project_result(found, w.items(spark, sf_dir), include_values=False, return_fields=["label"])
+    return shown(shared.handed_out(asked, out), "label")
 
 
 @query
 def apply_threshold(spark, sf_dir):
-    return shown(postprocess.apply_threshold(latest_candidates(spark, sf_dir), threshold=F.lit(0.33)))
+    asked, found = _latest_by_vector(spark, sf_dir)
+    return shown(shared.handed_out(asked, postprocess.apply_threshold(found, threshold=F.lit(0.33))))
 
 
 @query
 def apply_threshold_euclidean(spark, sf_dir):
     metric = "euclidean_dist"
-    found = knn.knn_join(w.latest_queries(spark, sf_dir), w.items(spark, sf_dir), metric)
-    return shown(postprocess.apply_threshold(found, metric, F.lit(1.1)))
+    asked, found = _latest_by_vector(spark, sf_dir, metric)
+    return shown(shared.handed_out(asked, postprocess.apply_threshold(found, metric, F.lit(1.1))))
 
 
 @query
@@ -288,7 +302,7 @@ def indexed_history_search(spark, sf_dir):
     all_items = w.items(spark, sf_dir)
     index = ivf.build_index(all_items, ivf.train_cells(all_items, 16))
     seen = history.history_values(w.history(spark, sf_dir))
-    return shown(ivf.ivf_join(w.latest_queries(spark, sf_dir), index, exclude=seen))
+    return shown(_latest_unseen(spark, sf_dir, all_items, partial(ivf.ivf_join, index=index), seen))
 
 
 @query
@@ -326,7 +340,7 @@ def indexed_prior_filter(spark, sf_dir):
     ivf.write_index(ivf.build_index(all_items, ivf.train_cells(all_items, 16), keep=["label"]), path)
     some = ivf.restrict_index(ivf.read_index(spark, path), F.col("label") % 2 == 0)
     seen = history.history_values(w.history(spark, sf_dir))
-    return shown(ivf.ivf_join(w.latest_queries(spark, sf_dir), some, exclude=seen))
+    return shown(_latest_unseen(spark, sf_dir, all_items, partial(ivf.ivf_join, index=some), seen))
 
 
 @query
@@ -469,8 +483,9 @@ def train_product_quantizer(spark, sf_dir):
 @query
 def rank_candidates(spark, sf_dir):
     """Ranks by score after a threshold has thinned the candidates."""
-    kept = postprocess.apply_threshold(latest_candidates(spark, sf_dir), threshold=F.lit(0.33))
-    return shown(postprocess.rank_candidates(kept))
+    asked, found = _latest_by_vector(spark, sf_dir)
+    kept = postprocess.apply_threshold(found, threshold=F.lit(0.33))
+    return shown(shared.handed_out(asked, postprocess.rank_candidates(kept)))
 
 
 @query
@@ -524,14 +539,15 @@ def custom_signal_profile(spark, sf_dir):
 
 @query
 def maximal_marginal_relevance(spark, sf_dir):
-    found = stage(latest_candidates(spark, sf_dir)).withColumn("top_k_mmr", F.lit(4))
-    return shown(mmr(found, w.items(spark, sf_dir)))
+    asked, found = _latest_by_vector(spark, sf_dir)
+    return shown(shared.handed_out(asked, mmr(found.withColumn("top_k_mmr", F.lit(4)), w.items(spark, sf_dir))))
 
 
 @query
 def maximal_marginal_relevance_most_similar(spark, sf_dir):
-    found = stage(latest_candidates(spark, sf_dir)).withColumn("top_k_mmr", F.lit(4))
-    return shown(mmr(found, w.items(spark, sf_dir), seed="most_similar"))
+    asked, found = _latest_by_vector(spark, sf_dir)
+    chosen = mmr(found.withColumn("top_k_mmr", F.lit(4)), w.items(spark, sf_dir), seed="most_similar")
+    return shown(shared.handed_out(asked, chosen))
 
 
 @query
@@ -557,9 +573,10 @@ def take_batch(spark, sf_dir):
 def concat_results(spark, sf_dir):
     """Search results of the latest signals, followed by those of earlier ones."""
     all_items = w.items(spark, sf_dir)
-    recent = w.latest_queries(spark, sf_dir, 4)
-    late = knn.knn_join(recent.where("q_idx < 2"), all_items)
-    early = knn.knn_join(recent.where("q_idx >= 2").withColumn("q_idx", F.col("q_idx") - 2), all_items)
+    recent = w.latest_asked(spark, sf_dir, 4)
+    found = stage(shared.by_vector(recent, w.item_vectors(all_items), partial(knn.knn_join, items=all_items)))
+    late = shared.handed_out(recent.where("q_idx < 2"), found)
+    early = shared.handed_out(recent.where("q_idx >= 2").withColumn("q_idx", F.col("q_idx") - 2), found)
     joined = postprocess.concat_results(late, early)
     return shown(postprocess.flatten_results(joined), "position")
 

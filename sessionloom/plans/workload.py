@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.config import USER_EMBEDDINGS_LAST_N, broadcast_if_small, stage
-from sessionloom.operators.profiles import label_topics, profile_depth, user_embeddings
+from sessionloom.operators.profiles import label_topics, latest_signals, profile_depth, user_embeddings
 from sessionloom.operators.states import session_state_trace
 from sessionloom.sources import blueprints, signals
 from sessionloom.sources.items import load_items
@@ -196,3 +196,13 @@ def latest_queries(spark: SparkSession, sf_dir: str, top_k: int = 8) -> DataFram
     """Queries of each session's whole profile."""
     rows = user_embeddings(signals_log(spark, sf_dir), items(spark, sf_dir), USER_EMBEDDINGS_LAST_N)
     return stage(rows.withColumn("top_k", F.lit(top_k)))
+
+
+def latest_asked(spark: SparkSession, sf_dir: str, top_k: int = 8) -> DataFrame:
+    """The same queries, their vectors named by the items' ids."""
+    rows = latest_signals(signals_log(spark, sf_dir), USER_EMBEDDINGS_LAST_N)
+    return stage(rows.select("session_id", "q_idx", F.col("item_id").alias("vector"), F.lit(top_k).alias("top_k")))
+
+
+def item_vectors(items: DataFrame) -> DataFrame:
+    return items.select(F.col("id").alias("vector"), "embedding")
