@@ -65,6 +65,9 @@ def resolve_steps(
         table = step_matrix(pa.array([r["step"] for r in rows], pa.list_(pa.int32())))
         numbered = [(r["blueprint"], r["action"], i) for i, r in enumerate(rows)]
         steps = F.broadcast(local_table(nodes.sparkSession, numbered, "blueprint string, action string, step int"))
+    else:
+        # Joined twice, and its keys are counted.
+        steps = stage(maps)
     own = steps.select("blueprint", "action", F.col("step").alias("_own"))
     default = steps.where(F.col("action") == DEFAULT).select("blueprint", F.col("step").alias("_default"))
     ordinals = nodes.select("blueprint", F.col("name").alias("state"), F.col("node_ord").alias("first_state"))

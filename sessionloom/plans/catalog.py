@@ -498,10 +498,16 @@ def session_state_trace(spark, sf_dir):
     return w.trace(spark, sf_dir).select("session_id", "seq", "action", "state", "next_state", "batch_type")
 
 
+def _custom_blueprints(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sessions' own blueprints, read from their documents once: a trace joins them several times."""
+    nodes, edges, added = blueprints.load_blueprints(stage(w.custom_documents(spark, sf_dir)))
+    return stage(nodes), stage(edges), added
+
+
 @query
 def custom_state_trace(spark, sf_dir):
     """Every session through the blueprint document made for it."""
-    nodes, edges, _ = blueprints.load_blueprints(w.custom_documents(spark, sf_dir))
+    nodes, edges, _ = _custom_blueprints(spark, sf_dir)
     own = w.sessions(spark, sf_dir).select("session_id", F.col("session_id").cast("string").alias("blueprint"), "state")
     found = states.session_state_trace(w.valid_actions(spark, sf_dir), own, nodes, edges)
     return found.select("session_id", "seq", "action", "state", "next_state")
@@ -523,7 +529,7 @@ def custom_signals(spark, sf_dir):
 @query
 def custom_signal_trace(spark, sf_dir):
     """Sessions through their own blueprints, their own signals included."""
-    nodes, edges, _ = blueprints.load_blueprints(w.custom_documents(spark, sf_dir))
+    nodes, edges, _ = _custom_blueprints(spark, sf_dir)
     own = w.sessions(spark, sf_dir).select("session_id", F.col("session_id").cast("string").alias("blueprint"), "state")
     actions = _custom_actions(spark, sf_dir).where("known").drop("blueprint")
     found = states.session_state_trace(actions, own, nodes, edges)

@@ -238,3 +238,19 @@ def test_temporary_sessions(spark, gap):
         cuts = np.flatnonzero(np.diff(ts) > gap) + 1
         expected += [(u, len(x)) for x in np.split(ts, cuts)]
     assert got == sorted(expected)
+
+
+def test_own_blueprints_are_read_once(spark, sf_dir, monkeypatch):
+    """A trace joins nodes and edges several times; documents are parsed before it."""
+    from sessionloom.operators import states
+    from sessionloom.plans import catalog
+
+    plans, trace = [], states.session_state_trace
+
+    def seen(actions, sessions, nodes, edges):
+        plans.extend(df._jdf.queryExecution().optimizedPlan().toString() for df in (nodes, edges))
+        return trace(actions, sessions, nodes, edges)
+
+    monkeypatch.setattr(states, "session_state_trace", seen)
+    assert catalog.QUERIES["custom_state_trace"](spark, sf_dir).count()
+    assert len(plans) == 2 and not any("from_json" in p or "Generate" in p for p in plans)
