@@ -249,7 +249,8 @@ def block_search(queries: pa.Table, items: pa.Table, metric: str, carried: list[
     else:
         ks = queries["top_k"].to_numpy()
         rows, cols, scores = block_top_k(q, m, ks, metric, _blocked_columns(queries, items, skips))
-    out = queries.take(pa.array(rows, pa.int64()))
+    # Without the vectors, which a row for each result would repeat.
+    out = queries.select([*QUERY_KEYS, *carried]).take(pa.array(rows, pa.int64()))
     columns = {c: out[c] for c in [*QUERY_KEYS, *carried]}
     columns["id"] = items["item_id"].take(pa.array(cols, pa.int64()))
     columns["score"] = pa.array(scores, pa.float64())

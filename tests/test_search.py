@@ -235,3 +235,20 @@ def test_stored_index(spark, tmp_path, n_probe):
     assert found(ivf.ivf_join(queries, again, n_probe)) == found(ivf.ivf_join(queries, index, n_probe)) != set()
     plan = again.items.where(F.col("unit").isin([1, 2]))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [unit" in plan
+
+
+def test_results_don_t_carry_vectors():
+    """What a task holds grows with the results' ids and scores, not with a vector for each."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    q, m = rng.normal(size=(500, 64)), rng.normal(size=(400, 64))
+    queries = pa.table({"session_id": np.arange(500), "q_idx": np.zeros(500, np.int32), "embedding": list(q), "top_k": np.full(500, 400), "history_value": pa.nulls(500, pa.int64())})
+    items = pa.table({"item_id": np.arange(400), "item_embedding": list(m), "item_value": np.arange(400)})
+    usual, pool = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    pa.set_memory_pool(pool)
+    try:
+        rows = knn.block_search(queries, items, "cosine_sim", ["top_k"]).num_rows
+    finally:
+        pa.set_memory_pool(usual)
+    assert rows == 200_000 and pool.max_memory() < 40_000_000
