@@ -21,7 +21,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.config import stage
+from sessionloom.config import USER_EMBEDDINGS_LAST_N, stage
 from sessionloom.operators.knn import knn_join
 from sessionloom.operators.profiles import profile_depth
 from sessionloom.operators.running import running_sums
@@ -269,9 +269,11 @@ class Server(Fold):
 
     def answers(self, turn: DataFrame, signals: DataFrame, bias: DataFrame, shown: DataFrame) -> DataFrame:
         """Answers to the next requests of each session."""
-        depth = profile_depth(self.nodes)
+        # What the request's node looks at, where it looks at signals.
+        depth = F.when(F.col("params.last_n") > 0, F.col("params.last_n")).otherwise(USER_EMBEDDINGS_LAST_N)
         numbers = F.sequence(F.greatest(F.col("seen") - depth, F.lit(0)), F.col("seen") - 1)
-        latest = turn.where("seen > 0").select("request", "session_id", "seen", F.explode(numbers).alias("number"))
+        looking = turn.where("seen > 0 AND batch_type IN ('personalized', 'biased')")
+        latest = looking.select("request", "session_id", "seen", F.explode(numbers).alias("number"))
         latest = latest.join(signals, ["session_id", "number"]).join(self.items.select(F.col("id").alias("item_id"), "embedding"), "item_id")
         place = (F.col("seen") - 1 - F.col("number")).cast("int")
         profile = stage(latest.select(F.col("request").alias("session_id"), place.alias("q_idx"), "embedding", "weight"))

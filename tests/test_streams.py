@@ -205,3 +205,16 @@ def test_states_without_answers(spark, sf_dir, monkeypatch):
     found = {(r.session_id, r.state, r.has_embeddings) for r in catalog.QUERIES["update_state"](spark, sf_dir).collect()}
     states = w.current_sessions(spark, sf_dir).select("session_id", "state", "has_embeddings").collect()
     assert found and found <= {tuple(r) for r in states}
+
+
+def test_profiles_are_as_deep_as_their_nodes_look(spark, world, tmp_path, monkeypatch):
+    depths, queries = [], serving.request_queries
+
+    def seen(requests, profile, *rest):
+        held = profile.groupBy("session_id").count().join(requests, "session_id")
+        depths.extend((r["count"], r.batch_type, r.n) for r in held.select("count", "batch_type", F.col("params.last_n").alias("n")).collect())
+        return queries(requests, profile, *rest)
+
+    monkeypatch.setattr(serving, "request_queries", seen)
+    served(spark, world, tmp_path, [], log=world[2].where("session_id < 3"))
+    assert depths and all(kind in ("personalized", "biased") and count <= (n or 50) for count, kind, n in depths)
