@@ -20,6 +20,8 @@ END_ID = 1
 SHARD_PIECES = 4096
 #: Bins with more room left than this part of the capacity are packed once more.
 LOOSE = 64
+#: Bytes of texts whose words are told apart together.
+TEXT_BYTES = 1 << 23
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -107,7 +109,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=TEXT_BYTES):
                 ids = [x + end for x in encoder.encode(part.column("text"))]
                 yield from as_batches(cut_pieces(ids, part.column("doc_id").to_pylist(), capacity, 4), schema)
         encoder.forget()

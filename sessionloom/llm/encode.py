@@ -2,7 +2,8 @@
 
 Both tokenizers cut a text into pre-tokens before merging, so a text's ids are those
 of its parts at certain cuts one after another. Each worker keeps the parts it has
-met (a bounded number); the rest go through the tokenizer together.
+met (a bounded number); the rest go through the tokenizer together. Words are split, told
+apart and put together again in Arrow, so that only what a worker hasn't met costs Python.
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
 from unicodedata import is_normalized
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Parts a worker remembers, none longer than MAX_PART bytes.
 KEPT_PARTS = 200_000
@@ -56,6 +59,25 @@ def as_bytes(code: str, ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+def offsets_of(strings: pa.Array) -> np.ndarray:
+    """Where each string of an array begins in its bytes, and where the last ends."""
+    kind = np.int64 if pa.types.is_large_binary(strings.type) or pa.types.is_large_string(strings.type) else np.int32
+    if not len(strings):
+        return np.zeros(1, np.int64)
+    return np.frombuffer(strings.buffers()[1], kind)[strings.offset :][: len(strings) + 1].astype(np.int64)
+
+
+def endings(strings: pa.Array, lengths: pa.Array) -> pa.Array:
+    """The last bytes of each string, as many as its length says."""
+    lengths = lengths.to_numpy().astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    if not ends[-1]:
+        return pa.array([b""] * len(strings), pa.binary())
+    at = np.arange(ends[-1]) + np.repeat(offsets_of(strings)[1:] - ends[1:], lengths)
+    found = np.frombuffer(strings.buffers()[2], np.uint8)[at]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(strings), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(found)])
+
+
 class _Parts(dict):
     """Ids of parts as little-endian bytes.
 
@@ -69,7 +91,7 @@ class _Parts(dict):
         self.clear()
         self._older = {}
 
-    def learn(self, wanted: set) -> None:
+    def learn(self, wanted: Collection) -> None:
         if len(self) > self._room:
             self._older = dict(self)
             self.clear()
@@ -80,41 +102,34 @@ class _Parts(dict):
             new = [part for part in new if part not in older]
         self.update(zip(new, self._encode(new), strict=True))
 
-    def forget_long(self, wanted: set) -> None:
+    def forget_long(self, wanted: Collection) -> None:
         for part in wanted:
             if len(part) > MAX_PART:
                 del self[part]
 
-    def joined(self, texts: list[list]) -> list[bytes]:
-        wanted = set().union(*texts)
-        if len(wanted) > self._room:
-            return [self.joined_long(parts) for parts in texts]
-        self.learn(wanted)
-        out = [b"".join(map(self.__getitem__, parts)) for parts in texts]
-        self.forget_long(wanted)
-        return out
-
-    def joined_long(self, parts: list) -> bytes:
-        """One text of very many different parts, in blocks."""
+    def ids(self, parts: list) -> pa.Array:
+        """The ids of each of many different parts, looked up in blocks."""
         out = []
-        for k in range(0, len(parts), self._room):
-            wanted = set(parts[k : k + self._room])
-            self.learn(wanted)
-            out.append(b"".join(map(self.__getitem__, parts[k : k + self._room])))
-            self.forget_long(wanted)
-        return b"".join(out)
+        for k in range(0, max(len(parts), 1), self._room):
+            block = parts[k : k + self._room]
+            self.learn(block)
+            out.append(pa.array([self[part] for part in block], pa.large_binary()))
+            self.forget_long(block)
+        return pa.concat_arrays(out)
 
 
 class WordEncoder:
     """For a tokenizer that drops white space and case: parts are words. Ids have four bytes.
 
     The tokenizer reads ``\\s`` as more than ASCII; such white space stays inside a
-    part, where the tokenizer itself handles it. New words are looked up once more as
+    part, where the tokenizer itself handles it. Different words are looked up as
     what they share: a lower-case core, and marks after it, which are always a
     pre-token of their own behind a letter or digit.
     """
 
-    marks = b".,!%$&#*|;:?"
+    marks = ".,!%$&#*|;:?"
+    #: Cores that marks may be cut from; what ends in another letter is looked up whole.
+    plain_end = "[a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]$"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -122,36 +137,23 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
-        self._cores = _Parts(self._encode_cores)
-        self._parts = _Parts(self._encode)
+        self._cores = _Parts(self._encode_cores, 2 * KEPT_PARTS)
 
     def forget(self) -> None:
         """Gives memory back at the end of a task: a worker may do other work next."""
-        self._parts.forget()
         self._cores.forget()
 
-    def _split(self, word: bytes) -> tuple[bytes, bytes]:
-        if b"<|" in word:  # may hold a special token, which is case-sensitive
-            return word, b""
-        word = word.lower()
-        core = word.rstrip(self.marks)
-        if not core or len(core) == len(word):
-            return word, b""
-        if core[-1] >= 0x80:
-            last = core[-2:].decode("utf-8", "replace")[-1]
-            if not (last.isalpha() and last.lower().isalpha() and last < "\u0250"):
-                return word, b""
-        elif not core[-1:].isalnum():
-            return word, b""
-        return core, word[len(core) :]
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        split = [self._split(w) for w in words]
-        wanted = {part for pair in split for part in pair}
-        self._cores.learn(wanted)
-        out = [self._cores[core] + self._cores[tail] for core, tail in split]
-        self._cores.forget_long(wanted)
-        return out
+    def _word_ids(self, words: pa.Array) -> pa.Array:
+        """The ids of different words."""
+        special = pc.match_substring(words, "<|")  # may be a special token, which is case-sensitive
+        lower = pc.if_else(special, words, pc.ascii_lower(words))
+        bare = pc.ascii_rtrim(lower, characters=self.marks)
+        cut = pc.and_not(pc.match_substring_regex(bare, self.plain_end), special)
+        core = pc.if_else(cut, bare, lower)
+        marks = endings(lower, pc.subtract(pc.binary_length(lower), pc.binary_length(core)))
+        cores, tails = core.dictionary_encode(), marks.dictionary_encode()
+        found = [self._cores.ids(part.dictionary.cast(pa.binary()).to_pylist()).take(part.indices) for part in (cores, tails)]
+        return pc.binary_join_element_wise(*found, pa.scalar(b"", pa.large_binary()))
 
     def _one_pretoken(self, word: bytes) -> str | None:
         """A word of lower-case Latin letters as the model reads it: by bytes."""
@@ -165,7 +167,7 @@ class WordEncoder:
         tokenize = self._model.tokenize
         out, rest = [], []
         for k, word in enumerate(words):
-            single = self._one_pretoken(word)
+            single = word.decode() if word.isalpha() else self._one_pretoken(word)
             if single is None:
                 rest.append(k)
                 out.append(b"")
@@ -179,7 +181,13 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text; none for a null."""
         with no_collector():
-            return self._parts.joined([(t or b"").split() for t in texts.cast(pa.binary()).to_pylist()])
+            split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+            words = split.flatten().dictionary_encode()
+            # Of all words, one after the other: a text's are a run of them.
+            ids = self._word_ids(words.dictionary).take(words.indices)
+            ends = offsets_of(ids)[split.offsets.to_numpy()]
+            runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(ends), ids.buffers()[2]])
+            return runs.to_pylist()
 
 
 class ByteEncoder:

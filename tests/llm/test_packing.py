@@ -4,11 +4,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sessionloom.config import stage
-from sessionloom.llm import best_fit, packed_ids, queries, raking, segment_counts
+from sessionloom.llm import best_fit, encode, packed_ids, queries, raking, segment_counts
 from sessionloom.llm.encode import byte_encoder, word_encoder
 
 from . import corpus
@@ -133,6 +134,27 @@ def test_words_and_parts_give_the_tokenizers_ids(rows, tokenizer, encoder):
 # --- best fit ----------------------------------------------------------------
 
 
+def test_words_are_looked_up_by_core_and_marks_only(tokenizer, monkeypatch):
+    """Case, marks and repeats cost no look-up of their own."""
+    asked, learn = [], encode._Parts.learn
+    monkeypatch.setattr(encode._Parts, "learn", lambda self, wanted: (asked.extend(wanted), learn(self, wanted))[1])
+    texts = ["Foo foo, FOO. foo!! bar Bar, \tfoo;", None, " bar. foo bar "] * 3
+    found = encode.WordEncoder(queries.tokenizer_path("word_bpe_49k.json")).encode(pa.array(texts))
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert set(asked) == {b"foo", b"bar", b"", b",", b".", b"!!", b";"} and len(asked) <= 8
+
+
+def test_awkward_words_give_the_tokenizers_ids(tokenizer, monkeypatch):
+    monkeypatch.setattr(encode, "KEPT_PARTS", 4)
+    pieces = ["\u0130,", "\u01c5.", "\u00d7!", "\u00ba,", "a\u0301.", "e\u0301", "\u212b,", "<|EndOfText|>", "<|endoftext|>.", "x<|startoftext|>Y,", "A<|", "\u2003B.", "it's,", "!!!", "7,", "\u00e9.", "\u00c9.", "\u00ff;", "\x1cq,", "\x85r.", "\u4e2d,", "\U0001f600."]
+    rng = random.Random(3)
+    texts = [None, "", " ", *pieces, *["".join(rng.choice([*pieces, " ", "\n", "w"]) for _ in range(30)) for _ in range(200)]]
+    own = encode.WordEncoder(queries.tokenizer_path("word_bpe_49k.json"))
+    for part in (pa.array(texts), pa.array(texts).slice(1, 40), pa.array([None, ""], pa.string()), pa.array([], pa.string())):
+        ids = [np.frombuffer(x, "<u4").tolist() for x in own.encode(part)]
+        assert ids == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in part.to_pylist()]
+
+
 def naive_best_fit(lengths, capacity):
     """Rooms of the bins that best-fit decreasing leaves."""
     rooms = []
