@@ -50,9 +50,9 @@ def served(batch: DataFrame) -> DataFrame:
     return batch.select("session_id", "position", "id", rounded("score"))
 
 
-def latest_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest_candidates(spark: SparkSession, sf_dir: str, together: bool = False) -> DataFrame:
     """Neighbours of each session's latest signals."""
-    return shared.handed_out(*_latest_by_vector(spark, sf_dir))
+    return shared.handed_out(*_latest_by_vector(spark, sf_dir), together)
 
 
 def _latest_by_vector(spark: SparkSession, sf_dir: str, metric: str = "cosine_sim") -> tuple[DataFrame, DataFrame]:
@@ -490,7 +490,7 @@ def rank_candidates(spark, sf_dir):
 
 @query
 def remove_duplicates(spark, sf_dir):
-    return shown(postprocess.remove_duplicates(latest_candidates(spark, sf_dir)))
+    return shown(postprocess.remove_duplicates(latest_candidates(spark, sf_dir, together=True)))
 
 
 @query
@@ -558,20 +558,20 @@ def maximal_marginal_relevance_most_similar(spark, sf_dir):
 
 @query
 def truncate_per_query(spark, sf_dir):
-    unique = postprocess.remove_duplicates(latest_candidates(spark, sf_dir))
+    unique = postprocess.remove_duplicates(latest_candidates(spark, sf_dir, together=True))
     ranked = postprocess.rank_candidates(unique).withColumn("top_k", F.lit(3))
     return shown(postprocess.truncate_per_query(ranked))
 
 
 @query
 def shuffle_pool(spark, sf_dir):
-    unique = postprocess.remove_duplicates(latest_candidates(spark, sf_dir))
+    unique = postprocess.remove_duplicates(latest_candidates(spark, sf_dir, together=True))
     return served(postprocess.shuffle_pool(unique, seed=5))
 
 
 @query
 def take_batch(spark, sf_dir):
-    unique = postprocess.remove_duplicates(latest_candidates(spark, sf_dir))
+    unique = postprocess.remove_duplicates(latest_candidates(spark, sf_dir, together=True))
     return served(postprocess.take_batch(postprocess.shuffle_pool(unique, seed=5), 10))
 
 
