@@ -298,22 +298,24 @@ def block_top_k(q, m, ks, metric, blocked=None):
     if metric == "euclidean_dist":
         reach = 2 * reach + squares.max()
     slack = (reach * ((q.shape[1] + 4) * 2.4e-7 + 1e-8) + 1e-8).astype(np.float32)
-    q32, m32, squares = q.astype(np.float32), m.astype(np.float32).T, squares.astype(np.float32)
+    if metric == "euclidean_dist":
+        # 2 qm - mm orders items as their distance does; one product gives it.
+        q32 = np.column_stack([2 * q, np.full(len(q), -1.0)]).astype(np.float32)
+        m32 = np.column_stack([m, squares]).astype(np.float32).T
+    else:
+        q32, m32 = q.astype(np.float32), m.astype(np.float32).T
     step = max(1, TILE_CELLS // len(m))
+    tile = np.empty((min(step, len(q)), len(m)), np.float32)
     pieces = []
     for a in range(0, len(q), step):
-        goodness = q32[a : a + step] @ m32
-        if metric == "euclidean_dist":
-            goodness = 2 * goodness - squares
+        goodness = np.matmul(q32[a : a + step], m32, out=tile[: len(q) - a])
         if broken.any():
             goodness[:, broken] = -np.inf
         if blocked is not None:
             for r in range(len(goodness)):
                 goodness[r, blocked[a + r]] = -np.inf
-        floor = _kth_best(goodness, max(int(ks[a : a + step].max()), 1)) - slack[a : a + step]
-        rows, cols = np.nonzero(goodness >= floor[:, None])
-        allowed = goodness[rows, cols] > -np.inf
-        rows, cols = rows[allowed] + a, cols[allowed]
+        rows, cols = _among_best(goodness, max(int(ks[a : a + step].max()), 1), slack[a : a + step])
+        rows = rows + a
         score = np.concatenate(
             [np.zeros(0)]
             + [_scores(q[rows[i : i + RESCORE]], m[cols[i : i + RESCORE]], metric) for i in range(0, len(rows), RESCORE)]
@@ -326,19 +328,30 @@ def block_top_k(q, m, ks, metric, blocked=None):
     return tuple(np.concatenate(p) for p in zip(*pieces))
 
 
-def _kth_best(goodness: np.ndarray, k: int) -> np.ndarray:
-    """A lower bound of each row's k-th largest value.
+def _among_best(goodness: np.ndarray, k: int, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of all values that are at most ``slack`` below their row's k-th largest.
 
-    The k-th largest of the maxima of short runs will do, at a fraction of the
-    work of ranking the row.
+    The k-th largest of the maxima of short runs is a lower bound, at a fraction of the work of
+    ranking the row, and only runs whose maximum reaches it are looked at again.
     """
     n = goodness.shape[1]
-    run = min(64, n // (4 * k))
-    if run > 1:
-        runs = n // run
-        goodness = goodness[:, : runs * run].reshape(len(goodness), runs, run).max(axis=2)
-    at = max(goodness.shape[1] - k, 0)
-    return np.partition(goodness, at, axis=1)[:, at]
+    runs = math.ceil(n / max(min(64, n // (4 * k)), 1))
+    # A run is every column that has the same place in a piece of this length.
+    best = goodness[:, :runs].copy()
+    for start in range(runs, n, runs):
+        piece = goodness[:, start : start + runs]
+        np.maximum(best[:, : piece.shape[1]], piece, out=best[:, : piece.shape[1]])
+    at = max(runs - k, 0)
+    floor = np.partition(best, at, axis=1)[:, at] - slack
+    rows, first = np.nonzero((best >= floor[:, None]) & (best > -np.inf))
+    cells = [np.zeros((2, 0), np.int64)]
+    for start in range(0, n, runs):
+        inside = first + start < n
+        r, c = rows[inside], first[inside] + start
+        value = goodness[r, c]
+        kept = (value >= floor[r]) & (value > -np.inf)
+        cells.append(np.stack([r[kept], c[kept]]))
+    return tuple(np.concatenate(cells, axis=1))
 
 
 def _scores(q: np.ndarray, m: np.ndarray, metric: str) -> np.ndarray:

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +127,26 @@ def test_large_blocks(spark):
             np.testing.assert_allclose(score[rows == i], exact[i][order], atol=2e-9)
 
 
+@pytest.mark.parametrize("metric", knn.METRICS)
+def test_scores_of_a_tile_are_held_once(monkeypatch, metric):
+    """Neither a second array as large as a tile of scores nor a mask of it is made."""
+    monkeypatch.setattr(knn, "TILE_CELLS", 1 << 22)
+    # The last run is shorter than others.
+    m, q = vectors(8200).astype(float), vectors(1200, 1).astype(float)
+    m[8100:] = m[17]
+    q[:5] = m[17]
+    top_k = np.arange(1200) % 9
+    tracemalloc.start()
+    rows, cols, _ = knn.block_top_k(q, m, top_k, metric)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.2 * 4 * knn.TILE_CELLS
+    exact = scores(q, m, metric)
+    for i in range(0, 1200, 7):
+        order = np.lexsort((np.arange(8200), exact[i] if metric == "euclidean_dist" else -exact[i]))[: top_k[i]]
+        np.testing.assert_array_equal(cols[rows == i], order)
+
+
 def test_no_queries(spark):
     none = query_table(spark, vectors(4), np.full(4, 2)).where("session_id < 0")
     assert knn.knn_join(none, item_table(spark, vectors(10))).count() == 0
