@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -85,6 +86,16 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Give back the disk of shuffles and staged tables that nothing refers to any more.
+
+    The driver otherwise waits for its own garbage collection, which work that goes
+    slice by slice may not see before its end.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     """A table of literal rows."""
     if isinstance(schema, str):

@@ -14,6 +14,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionloom.config import BATCH_SIZE, MINIMUM_TOPK, stage
 from sessionloom.functions import vectors as V
@@ -70,7 +71,7 @@ def budgeted_queries(profile: DataFrame, requests: DataFrame, batch_size: int) -
         "batch_size",
         "session_id",
         "q_idx",
-        V.as_double("embedding").alias("embedding"),
+        _vector(asked).alias("embedding"),
         "budget",
         "params.threshold",
         "params.apply_mmr",
@@ -79,6 +80,12 @@ def budgeted_queries(profile: DataFrame, requests: DataFrame, batch_size: int) -
     return set_top_k(p, F.col("apply_mmr")).select(*_QUERY_COLUMNS)
 
 
+def _vector(rows: DataFrame):
+    """The vectors in DOUBLE; names that stand for vectors are left as they are."""
+    is_vector = isinstance(rows.schema["embedding"].dataType, T.ArrayType)
+    return V.as_double("embedding") if is_vector else F.col("embedding")
+
+
 def random_batch_queries(requests: DataFrame, dim: int, batch_size: int, seed: int) -> DataFrame:
     """Random queries: neither threshold nor MMR, whatever the node says."""
     top_k = 2 * MINIMUM_TOPK
@@ -279,7 +286,11 @@ def left_to_chance():
 def request_queries(
     requests: DataFrame, profile: DataFrame, items: DataFrame, topics: DataFrame, bias: DataFrame, options: Options = Options()
 ) -> DataFrame:
-    """The budgeted queries of requests of any type."""
+    """The budgeted queries of requests of any type.
+
+    Profile, topics and bias may name vectors instead of holding them, under policy
+    ``plain`` and without requests left to chance.
+    """
     chance = requests.where(left_to_chance())
     warm = requests.where(~left_to_chance())
     asked = bias.join(warm.where("batch_type = 'biased'").select("session_id"), "session_id", "left_semi")
@@ -290,7 +301,10 @@ def request_queries(
     own = _own_rows(profile, personal.unionByName(biased), items, options)
     drawn = profiles.sampled_profile(sampled, topics, options.seed)
     parts = [own, profiles.numbered_bias(own, asked), drawn]
-    weighted = reduce(DataFrame.unionByName, [x.withColumn("embedding", V.as_double("embedding")) for x in parts])
-    return budgeted_queries(weighted, warm, options.batch_size).unionByName(
+    weighted = reduce(DataFrame.unionByName, [x.withColumn("embedding", _vector(x)) for x in parts])
+    queries = budgeted_queries(weighted, warm, options.batch_size)
+    if not isinstance(queries.schema["embedding"].dataType, T.ArrayType):
+        return queries
+    return queries.unionByName(
         random_batch_queries(chance, embedding_width(items), options.batch_size, options.seed)
     )

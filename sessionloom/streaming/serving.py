@@ -15,23 +15,33 @@ repeated micro-batch replaces what its first try wrote:
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import partial, reduce
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.config import USER_EMBEDDINGS_LAST_N, stage
+from sessionloom.config import USER_EMBEDDINGS_LAST_N, release, stage
+from sessionloom.functions import vectors as V
 from sessionloom.operators.knn import knn_join
+from sessionloom.operators.postprocess import remove_duplicates, shuffle_pool, take_batch
 from sessionloom.operators.profiles import profile_depth
 from sessionloom.operators.running import running_sums
 from sessionloom.operators.skew import balanced_join
 from sessionloom.operators.states import session_state_trace
-from sessionloom.plans.batches import Options, left_to_chance, request_queries
+from sessionloom.plans.batches import Options, left_to_chance, random_batch_queries, request_queries
+from sessionloom.sources.items import embedding_width
 from sessionloom.sources.rejects import LATE, NO_BIAS, checked_actions
 from sessionloom.sources.signals import BATCH
+from sessionloom.streaming.lists import REQUEST, answer_from_lists, shared_lists, vector_name
 from sessionloom.streaming.turns import TURNS, answer_in_turn
 
+#: Numbers in the random vectors, and requests with searches of their own, of one slice.
+CHANCE_FLOATS = 1 << 24
+OWN_REQUESTS = 1 << 15
+
 SCHEMAS = {
     "states": "session_id {session}, state string, has_embeddings boolean, n_signals long",
     "snapshots": "session_id {session}, state string, has_embeddings boolean, n_signals long",
@@ -235,20 +245,28 @@ class Server(Fold):
         signals = stage(signals.join(values, "item_id", "left"))
         served = tables.read(spark, "served", before=batch_id).join(asking, "session_id", "left_semi")
         shown = stage(served.select("session_id", F.col("id").alias("item_id")).join(values, "item_id").select("session_id", "history_value"))
-        biased = stage(self.bias.join(asking, "session_id", "left_semi"))
-
-        answers, waiting = [], stage(requests)
+        with_bias = asked.where("batch_type = 'biased'").select("session_id").distinct()
+        biased = stage(self.bias.join(with_bias, "session_id", "left_semi"))
+
+        chance = F.coalesce(left_to_chance(), F.lit(False))
+        requests = stage(requests.withColumn("has_embeddings", F.col("seen") > 0).withColumn("chance", chance))
+        release(spark)
+        answers = self.by_chance(requests.where("chance"))
+        waiting = stage(requests.where("NOT chance"))
+        queries, lists = self.from_lists(waiting, signals, biased)
         while not waiting.isEmpty():
-            first = waiting.groupBy("session_id").agg(F.min("number").alias("_first"))
-            turn = waiting.join(first, "session_id").withColumn("place", (F.col("number") - F.col("_first")).cast("int"))
-            found = stage(self.answers(stage(turn.where(F.col("place") < TURNS).drop("_first")), signals, biased, shown))
-            answers.append(found.where("position > 0").join(waiting.select("request", "session_id", "ts", "seq"), "request"))
-            waiting = stage(waiting.join(found.where("position = 0").select("request"), "request", "left_anti"))
-            new = answers[-1].select("session_id", F.col("id").alias("item_id")).join(values, "item_id").select("session_id", "history_value")
-            shown = shown.unionByName(new)
+            if lists is not None:
+                known = self.hidden(signals, answers, values, shown)
+                answers.append(stage(answer_from_lists(waiting, queries, known, self.items, lists, options)))
+                waiting = self.unanswered(waiting, answers[-1:])
+            # The next requests of sessions whose lists have run out.
+            found = self.by_own_search(waiting, signals, biased, self.hidden(signals, answers, values), shown)
+            answers, waiting = answers + found, self.unanswered(waiting, found)
+        if lists is not None:
+            lists.destroy()
         columns = ["session_id", "ts", "seq", "position", "id", "score", "q_idx"]
         empty = spark.createDataFrame([], tables.schema("served"))
-        tables.write(reduce(DataFrame.unionByName, [a.select(*columns) for a in answers], empty), "served", batch_id)
+        tables.write(reduce(DataFrame.unionByName, [a.where("position > 0").select(*columns) for a in answers], empty), "served", batch_id)
         sizes = tables.read(spark, "served").where(F.col("batch_id") == batch_id)
         sizes = sizes.groupBy("session_id", "ts", "seq").agg(F.count(F.lit(1)).cast("int").alias("n"))
         answered = asked.join(sizes, ["session_id", "ts", "seq"], "left").withColumn("n_served", F.coalesce("n", F.lit(0)))
@@ -258,35 +276,100 @@ class Server(Fold):
         tables.write(answered.select("session_id", "ts", "seq", "state", "batch_type", "n_served", "problem"), "requests", batch_id)
 
     def in_order(self, log: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Signals with their ``number`` in the session, and requests with theirs and with how many
-        signals they have ``seen``."""
+        """Signals with their ``number`` in the session, requests with how many signals they have ``seen``,
+        and both with the ``clock`` of the session's signals and requests together."""
         is_request = F.col("request").isNotNull()
         rows = log.select("session_id", "ts", "seq", "item_id", "weight").unionByName(asked, allowMissingColumns=True)
-        counted = {"number": is_request.cast("long"), "seen": (~is_request).cast("long")}
+        counted = {"clock": F.lit(1), "seen": (~is_request).cast("long")}
         rows = stage(running_sums(rows, ["session_id"], ["ts", "seq"], counted))
-        signals = rows.where(~is_request).select("session_id", F.col("seen").alias("number"), "item_id", "weight")
-        return signals, rows.where(is_request).select(*asked.columns, "number", "seen")
-
-    def answers(self, turn: DataFrame, signals: DataFrame, bias: DataFrame, shown: DataFrame) -> DataFrame:
-        """Answers to the next requests of each session."""
+        signals = rows.where(~is_request).select("session_id", F.col("seen").alias("number"), "clock", "item_id", "weight")
+        return signals, rows.where(is_request).select(*asked.columns, "clock", "seen")
+
+    def hidden(self, signals: DataFrame, answers: list[DataFrame], values: DataFrame, shown: DataFrame | None = None) -> DataFrame:
+        """``(session_id, clock, history_value)``: what a session signals and is given, and when."""
+        given = [a.where("position > 0").select("session_id", "clock", F.col("id").alias("item_id")) for a in answers]
+        given = [g.join(values, "item_id") for g in given]
+        if shown is not None:
+            given.append(shown.withColumn("clock", F.lit(-1).cast("long")))
+        columns = ["session_id", "clock", "history_value"]
+        return reduce(DataFrame.unionByName, [x.select(*columns) for x in [signals, *given]])
+
+    def unanswered(self, waiting: DataFrame, answers: list[DataFrame]) -> DataFrame:
+        for a in answers:
+            waiting = waiting.join(a.where("position = 0").select("session_id", "clock"), ["session_id", "clock"], "left_anti")
+        return stage(waiting) if answers else waiting
+
+    def by_chance(self, requests: DataFrame) -> list[DataFrame]:
+        """Answers to requests of random vectors, which take no notice of the session, slice by slice."""
+        width, size = embedding_width(self.items), self.options.batch_size
+        numbers = (requests.agg(F.sum(F.col("batch_size").cast("long"))).first()[0] or 0) * width
+        slices, answers = math.ceil(numbers / CHANCE_FLOATS), []
+        for k in range(slices):
+            own = requests.where(F.pmod(F.xxhash64("request"), F.lit(slices)) == k)
+            asked = own.select(F.col("request").alias("session_id"), "params", "batch_size")
+            found = self.search()(stage(random_batch_queries(asked, width, size, self.options.seed)), exclude=None)
+            found = found.where(F.col("id").isNotNull()).select("session_id", "q_idx", "rank", "id", "score", "remove_duplicates", "batch_size")
+            pool = shuffle_pool(remove_duplicates(found.repartition("session_id")), self.options.seed)
+            batch = take_batch(pool, F.col("batch_size")).select(F.col("session_id").alias("request"), "position", "id", "score", "q_idx")
+            answers.append(stage(own.select(*REQUEST).join(batch, "request")))
+            release(requests.sparkSession)
+        return answers
+
+    def from_lists(self, waiting: DataFrame, signals: DataFrame, biased: DataFrame) -> tuple[DataFrame | None, Broadcast | None]:
+        """All requests' queries by vectors' names, and the vectors' lists; none where vectors are
+        made for a request, or too many."""
+        if self.options.policy != "plain":
+            return None, None
+        queries = stage(self.queries(waiting, signals, biased, vector_name))
+        signalled = self.items.join(signals.select(F.col("item_id").alias("id")).distinct(), "id", "left_semi")
+        vectors = [x.select(vector_name("embedding").alias("name"), V.as_double("embedding").alias("embedding")) for x in (signalled, self.topics, biased)]
+        return queries, shared_lists(queries, reduce(DataFrame.unionByName, vectors), self.items, self.search(), self.options.metric)
+
+    def by_own_search(self, waiting: DataFrame, signals: DataFrame, biased: DataFrame, hidden: DataFrame, shown: DataFrame) -> list[DataFrame]:
+        """Answers to the next requests of each session, slice by slice."""
+        turn = running_sums(waiting, ["session_id"], ["clock"], {"place": F.lit(1)})
+        turn = stage(turn.withColumn("place", F.col("place").cast("int")).where(F.col("place") < TURNS))
+        slices, answers = math.ceil(turn.count() / OWN_REQUESTS), []
+        for k in range(slices):
+            here = F.pmod(F.xxhash64("session_id"), F.lit(slices)) == k
+            found = self.answers(stage(turn.where(here)), *(x.where(here) for x in (signals, biased, hidden, shown)))
+            answers.append(stage(found.join(turn.where(here).select(*REQUEST), "request")))
+            if slices > 1:
+                release(turn.sparkSession)
+        return answers
+
+    def search(self):
+        return self.options.search or partial(knn_join, items=self.items, metric=self.options.metric)
+
+    def queries(self, turn: DataFrame, signals: DataFrame, bias: DataFrame, vector) -> DataFrame:
+        """Queries of requests; ``vector`` makes what stands for a vector of its column."""
         # What the request's node looks at, where it looks at signals.
         depth = F.when(F.col("params.last_n") > 0, F.col("params.last_n")).otherwise(USER_EMBEDDINGS_LAST_N)
         numbers = F.sequence(F.greatest(F.col("seen") - depth, F.lit(0)), F.col("seen") - 1)
         looking = turn.where("seen > 0 AND batch_type IN ('personalized', 'biased')")
         latest = looking.select("request", "session_id", "seen", F.explode(numbers).alias("number"))
-        latest = latest.join(signals, ["session_id", "number"]).join(self.items.select(F.col("id").alias("item_id"), "embedding"), "item_id")
+        latest = latest.join(signals, ["session_id", "number"])
+        wanted = signals.select("item_id").distinct()
+        vectors = self.items.select(F.col("id").alias("item_id"), vector("embedding").alias("embedding")).join(wanted, "item_id", "left_semi")
         place = (F.col("seen") - 1 - F.col("number")).cast("int")
-        profile = stage(latest.select(F.col("request").alias("session_id"), place.alias("q_idx"), "embedding", "weight"))
-        own = turn.select(F.col("request").alias("session_id"), "batch_type", "params", "batch_size", (F.col("seen") > 0).alias("has_embeddings"))
-        by_request = bias.join(turn.where("batch_type = 'biased'").select("session_id", "request"), "session_id")
+        # Many requests look at a popular item.
+        latest = balanced_join(latest.select("request", place.alias("q_idx"), "item_id", "weight"), vectors, "item_id", ["request", "q_idx"])
+        profile = stage(latest.select(F.col("request").alias("session_id"), "q_idx", "embedding", "weight"))
+        own = turn.select(F.col("request").alias("session_id"), "batch_type", "params", "batch_size", "has_embeddings")
+        by_request = bias.withColumn("embedding", vector("embedding"))
+        by_request = by_request.join(turn.where("batch_type = 'biased'").select("session_id", "request"), "session_id")
         by_request = by_request.drop("session_id").withColumnRenamed("request", "session_id")
-        queries = request_queries(stage(own), profile, self.items, self.topics, by_request, self.options)
+        topics = self.topics.withColumn("embedding", vector("embedding"))
+        return request_queries(stage(own), profile, self.items, topics, by_request, self.options)
+
+    def answers(self, turn: DataFrame, signals: DataFrame, bias: DataFrame, hidden: DataFrame, shown: DataFrame) -> DataFrame:
+        """Answers to the next requests of each session."""
+        queries = self.queries(turn, signals, bias, F.col)
         if self.options.metric != "cosine_sim":
             queries = queries.withColumn("query_embedding", F.col("embedding"))
-        search = self.options.search or partial(knn_join, items=self.items, metric=self.options.metric)
-        chance = own.select(F.col("session_id").alias("request"), left_to_chance().alias("chance"))
-        requests = turn.join(chance, "request").select("session_id", "request", "place", "seen", "chance", "batch_size")
-        return answer_in_turn(requests, queries.withColumnRenamed("session_id", "request").drop("batch_size"), signals, shown, self.items, search, self.options)
+        requests = turn.select("session_id", "request", "place", F.col("clock").alias("seen"), "chance", "batch_size")
+        hidden = hidden.withColumnRenamed("clock", "number")
+        return answer_in_turn(requests, queries.withColumnRenamed("session_id", "request").drop("batch_size"), hidden, shown, self.items, self.search(), self.options)
 
 
 def request_key():

@@ -30,7 +30,7 @@ TURNS = 32
 SPARE = 64
 
 
-def _passes(scores: np.ndarray, threshold: float | None, ascending: bool) -> np.ndarray:
+def passes(scores: np.ndarray, threshold: float | None, ascending: bool) -> np.ndarray:
     """Which scores stay; the limit is relaxed to the mean, and never empties a query."""
     if threshold is None:
         return np.ones(len(scores), bool)
@@ -40,6 +40,27 @@ def _passes(scores: np.ndarray, threshold: float | None, ascending: bool) -> np.
     return scores >= min(threshold, mean, scores.max())
 
 
+def draw(seed: int, request: str, item) -> str:
+    """What a candidate's place in its request's pool goes by."""
+    return hashlib.md5(f"{seed}:{request}:{item}".encode()).hexdigest()
+
+
+def diverse(vectors: list, scores: list, queries: list | None, wanted: list, mmr_seed: str, lam: float = 0.5) -> list:
+    """MMR of all lists of a request together: the places of each list's picks.
+
+    ``queries`` are the lists' own vectors, of length one, where scores are no cosines.
+    """
+    sizes, wanted = np.array([len(x) for x in scores]), np.array(wanted)
+    block = np.zeros((len(scores), sizes.max(), vectors[0].shape[1]))
+    sim = np.full(block.shape[:2], -np.inf)
+    for q, (rows, score) in enumerate(zip(vectors, scores)):
+        block[q, : len(rows)] = rows
+        sim[q, : len(rows)] = score if queries is None else np.round(block[q, : len(rows)] @ queries[q], SCORE_DECIMALS)
+    goal = np.where(wanted > 0, np.minimum(wanted, sizes), sizes)
+    picks = greedy_picks(block, sim, goal, lam, mmr_seed)
+    return [np.arange(n) if w <= 0 else picks[q, :g] for q, (n, w, g) in enumerate(zip(sizes, wanted, goal))]
+
+
 class _Session:
     """One session's candidates of a search, in the order of its requests."""
 
@@ -95,10 +116,10 @@ class _Session:
         return out
 
     def _batch(self, request: int, lists: list[np.ndarray]) -> list[int]:
-        lists = [rows[_passes(self.scores[rows], self.column("threshold", rows[0]), self.ascending)] for rows in lists]
-        diverse = [k for k, rows in enumerate(lists) if self.column("apply_mmr", rows[0])]
-        if diverse:
-            for k, rows in zip(diverse, self._diverse([lists[k] for k in diverse])):
+        lists = [rows[passes(self.scores[rows], self.column("threshold", rows[0]), self.ascending)] for rows in lists]
+        chosen = [k for k, rows in enumerate(lists) if self.column("apply_mmr", rows[0])]
+        if chosen:
+            for k, rows in zip(chosen, self._diverse([lists[k] for k in chosen])):
                 lists[k] = rows
         pool, met = [], set()
         for rows in lists:
@@ -108,27 +129,19 @@ class _Session:
                 met.add(self.ids[k])
         key = self.column("request", request)
 
-        def draw(k: int) -> tuple:
-            return hashlib.md5(f"{self.seed}:{key}:{self.ids[k]}".encode()).hexdigest(), self.query[k]
+        def place(k: int) -> tuple:
+            return draw(self.seed, key, self.ids[k]), self.query[k]
 
-        return sorted(pool, key=draw)[: self.column("batch_size", request)]
+        return sorted(pool, key=place)[: self.column("batch_size", request)]
 
     def _diverse(self, lists: list[np.ndarray]) -> list[np.ndarray]:
-        """MMR of all queries of a request together."""
-        sizes = np.array([len(rows) for rows in lists])
-        block = np.zeros((len(lists), sizes.max(), self.vectors.shape[1]))
-        sim = np.full(block.shape[:2], -np.inf)
-        wanted = np.array([self.column("top_k_mmr", rows[0]) for rows in lists])
-        for q, rows in enumerate(lists):
-            block[q, : len(rows)] = self.vectors[[self.vector_of[self.ids[k]] for k in rows]]
-            if self.metric == "cosine_sim":
-                sim[q, : len(rows)] = self.scores[rows]
-            else:
-                query = np.array([self.column("query_embedding", rows[0])], np.float64)
-                sim[q, : len(rows)] = np.round(block[q, : len(rows)] @ unit_rows(query)[0], SCORE_DECIMALS)
-        goal = np.where(wanted > 0, np.minimum(wanted, sizes), sizes)
-        picks = greedy_picks(block, sim, goal, self.lam, self.mmr_seed)
-        return [rows if w <= 0 else rows[picks[q, :g]] for q, (rows, w, g) in enumerate(zip(lists, wanted, goal))]
+        queries = None
+        if self.metric != "cosine_sim":
+            queries = [unit_rows(np.array([self.column("query_embedding", rows[0])], np.float64))[0] for rows in lists]
+        vectors = [self.vectors[[self.vector_of[self.ids[k]] for k in rows]] for rows in lists]
+        wanted = [self.column("top_k_mmr", rows[0]) for rows in lists]
+        picks = diverse(vectors, [self.scores[rows] for rows in lists], queries, wanted, self.mmr_seed, self.lam)
+        return [rows[p] for rows, p in zip(lists, picks)]
 
 
 def _answers(metric: str, mmr_seed: str, seed: int, schema: pa.Schema):

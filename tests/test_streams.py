@@ -11,7 +11,7 @@ from sessionloom.operators.states import session_state_trace
 from sessionloom.plans import batches
 from sessionloom.plans import workload as w
 from sessionloom.sources import sessions
-from sessionloom.streaming import events, serving, turns
+from sessionloom.streaming import events, lists, serving, turns
 
 
 @pytest.fixture(scope="module")
@@ -218,3 +218,39 @@ def test_profiles_are_as_deep_as_their_nodes_look(spark, world, tmp_path, monkey
     monkeypatch.setattr(serving, "request_queries", seen)
     served(spark, world, tmp_path, [], log=world[2].where("session_id < 3"))
     assert depths and all(kind in ("personalized", "biased") and count <= (n or 50) for count, kind, n in depths)
+
+
+def test_answers_come_from_lists_that_sessions_share(spark, world, at_once, tmp_path, monkeypatch):
+    """No request is searched by itself, and no candidate moves, while the lists last."""
+
+    def refused(*args):
+        raise AssertionError("a request was searched by itself")
+
+    monkeypatch.setattr(serving, "answer_in_turn", refused)
+    monkeypatch.setattr(turns, "SPARE", 500)
+    assert served(spark, world, tmp_path, [])[0] == at_once[0]
+
+
+def test_slices_and_single_searches(spark, world, at_once, tmp_path, monkeypatch):
+    """Answers are the same where vectors are too many to be shared, and slice by slice."""
+    freed = []
+    monkeypatch.setattr(lists, "LIST_ENTRIES", 0)
+    monkeypatch.setattr(serving, "OWN_REQUESTS", 20)
+    monkeypatch.setattr(serving, "CHANCE_FLOATS", 64 * 10)
+    monkeypatch.setattr(serving, "release", lambda session: freed.append(session))
+    assert served(spark, world, tmp_path, [])[0] == at_once[0]
+    assert len(freed) > 3
+
+
+def test_a_list_that_runs_out_stops_its_session_only(spark, world, at_once, tmp_path, monkeypatch):
+    alone, search = [], serving.answer_in_turn
+
+    def seen(requests, *args):
+        alone.extend(r.request for r in requests.select("request").collect())
+        return search(requests, *args)
+
+    monkeypatch.setattr(serving, "answer_in_turn", seen)
+    monkeypatch.setattr(turns, "SPARE", 12)
+    assert served(spark, world, tmp_path, [70])[0] == at_once[0]
+    asked = world[2].where("action = 'BATCH'").count()
+    assert 0 < len(set(alone)) < asked
