@@ -243,12 +243,14 @@ def block_search(queries: pa.Table, items: pa.Table, metric: str, carried: list[
     queries = queries.filter(is_query)
     names = [*QUERY_KEYS, "id", "score", *carried]
     items = items.sort_by("item_id")
+    if skips.num_rows:
+        queries = queries.sort_by("session_id")
     q, m = matrix(queries["embedding"]), matrix(items["item_embedding"])
     if not len(q):
         rows, cols, scores = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     else:
         ks = queries["top_k"].to_numpy()
-        rows, cols, scores = block_top_k(q, m, ks, metric, _blocked_columns(queries, items, skips))
+        rows, cols, scores = block_top_k(q, m, ks, metric, _Blocked(queries, items, skips) if skips.num_rows else None)
     # Without the vectors, which a row for each result would repeat.
     out = queries.select([*QUERY_KEYS, *carried]).take(pa.array(rows, pa.int64()))
     columns = {c: out[c] for c in [*QUERY_KEYS, *carried]}
@@ -257,29 +259,39 @@ def block_search(queries: pa.Table, items: pa.Table, metric: str, carried: list[
     return pa.table([columns[n] for n in names], names=names)
 
 
-def _blocked_columns(queries: pa.Table, items: pa.Table, skips: pa.Table) -> list[np.ndarray] | None:
-    """For each query row, the item positions its session must not see."""
-    if not skips.num_rows:
-        return None
-    values = items["item_value"].combine_chunks()
-    distinct = pc.unique(values)
-    code_of_item = pc.index_in(values, distinct).to_numpy(zero_copy_only=False)
-    order = np.argsort(code_of_item, kind="stable")
-    starts = np.searchsorted(code_of_item[order], np.arange(len(distinct) + 1))
-
-    sessions = pc.unique(queries["session_id"])
-    session_of_skip = pc.fill_null(pc.index_in(skips["session_id"], sessions), -1).to_numpy()
-    code_of_skip = pc.fill_null(pc.index_in(skips["history_value"], distinct), -1).to_numpy()
-    known = (session_of_skip >= 0) & (code_of_skip >= 0)
-    session, code = session_of_skip[known], code_of_skip[known]
-    by_session = np.argsort(session, kind="stable")
-    session, code = session[by_session], code[by_session]
-    # Every skipped value stands for the run of items that have it.
-    sizes = starts[code + 1] - starts[code]
-    within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    columns = order[np.repeat(starts[code], sizes) + within]
-    ends = np.concatenate([[0], np.cumsum(np.bincount(session, sizes, len(sessions)))]).astype(np.int64)
-    return [columns[ends[s] : ends[s + 1]] for s in pc.index_in(queries["session_id"], sessions).to_numpy()]
+class _Blocked:
+    """For each query row, the item positions its session must not see.
+
+    A value may stand for a large part of the items, so that they are told for one
+    session at a time; rows of a session should follow one another.
+    """
+
+    def __init__(self, queries: pa.Table, items: pa.Table, skips: pa.Table):
+        values = items["item_value"].combine_chunks()
+        distinct = pc.unique(values)
+        code_of_item = pc.index_in(values, distinct).to_numpy(zero_copy_only=False)
+        self.order = np.argsort(code_of_item, kind="stable")
+        self.starts = np.searchsorted(code_of_item[self.order], np.arange(len(distinct) + 1))
+
+        sessions = pc.unique(queries["session_id"])
+        session_of_skip = pc.fill_null(pc.index_in(skips["session_id"], sessions), -1).to_numpy()
+        code_of_skip = pc.fill_null(pc.index_in(skips["history_value"], distinct), -1).to_numpy()
+        known = (session_of_skip >= 0) & (code_of_skip >= 0)
+        session, code = session_of_skip[known], code_of_skip[known]
+        self.codes = code[np.argsort(session, kind="stable")]
+        self.ends = np.concatenate([[0], np.cumsum(np.bincount(session, minlength=len(sessions)))]).astype(np.int64)
+        self.session_of_row = pc.index_in(queries["session_id"], sessions).to_numpy()
+        self.session, self.columns = -1, None
+
+    def __getitem__(self, row: int) -> np.ndarray:
+        session = self.session_of_row[row]
+        if session != self.session:
+            codes = self.codes[self.ends[session] : self.ends[session + 1]]
+            # Every skipped value stands for the run of items that have it.
+            sizes = self.starts[codes + 1] - self.starts[codes]
+            within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            self.session, self.columns = session, self.order[np.repeat(self.starts[codes], sizes) + within]
+        return self.columns
 
 
 def block_top_k(q, m, ks, metric, blocked=None):

@@ -274,3 +274,36 @@ def test_results_don_t_carry_vectors():
     finally:
         pa.set_memory_pool(usual)
     assert rows == 200_000 and pool.max_memory() < 40_000_000
+
+
+def test_hidden_items_are_told_for_one_session_at_a_time(monkeypatch):
+    """A value that half of the items share takes no room for every session that hides it."""
+    import pyarrow as pa
+
+    n_items, n_sessions = 4000, 1500
+    monkeypatch.setattr(knn, "TILE_CELLS", 1 << 16)
+    q, m = vectors(n_sessions, 1), vectors(n_items)
+    sessions = list(range(n_sessions))
+    hides = [None if s % 5 == 0 else s % 2 for s in sessions]
+    asked = pa.table(
+        {
+            "session_id": sessions + [s for s in sessions if hides[s] is not None],
+            "q_idx": pa.array([0] * n_sessions + [None] * (n_sessions * 4 // 5), pa.int32()),
+            "embedding": pa.array([v.tolist() for v in q] + [None] * (n_sessions * 4 // 5), pa.list_(pa.float64())),
+            "top_k": pa.array([3] * n_sessions + [None] * (n_sessions * 4 // 5), pa.int32()),
+            "history_value": pa.array([None] * n_sessions + [h for h in hides if h is not None], pa.int64()),
+        }
+    )
+    held = pa.table({"item_id": range(n_items), "item_embedding": [v.tolist() for v in m], "item_value": [i % 2 for i in range(n_items)]})
+    tracemalloc.start()
+    found = knn.block_search(asked, held, "dot_product", ["top_k"])
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    all_scores = scores(q, m, "dot_product")
+    best = {s: sorted((-all_scores[s, i], i) for i in range(n_items) if i % 2 != hides[s])[:3] for s in sessions[::50]}
+    got = {s: [] for s in best}
+    for r in found.to_pylist():
+        if r["session_id"] in got:
+            got[r["session_id"]].append((-r["score"], r["id"]))
+    assert {s: sorted(rows) for s, rows in got.items()} == best
+    assert found.num_rows == 3 * n_sessions and most < 16 << 20
