@@ -1,11 +1,13 @@
 """Streams: whatever way they are cut, nothing is lost and answers are the same."""
 
+import os
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from sessionloom.config import stage
+from sessionloom.config import release, shared_dir, stage
 from sessionloom.operators.running import running_sums
 from sessionloom.operators.states import session_state_trace
 from sessionloom.plans import batches
@@ -254,3 +256,22 @@ def test_a_list_that_runs_out_stops_its_session_only(spark, world, at_once, tmp_
     assert served(spark, world, tmp_path, [70])[0] == at_once[0]
     asked = world[2].where("action = 'BATCH'").count()
     assert 0 < len(set(alone)) < asked
+
+
+def test_what_a_slice_has_staged_is_given_back(spark):
+    base = shared_dir(spark).removeprefix("file://")
+
+    def size():
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(base) for f in names if f.startswith("part-"))
+
+    release(spark)
+    time.sleep(1)
+    before = size()
+    rows = stage(spark.range(300_000).select(F.rand(1).alias("x")))
+    assert size() > before + 1_000_000
+    del rows
+    until = time.time() + 30
+    while size() > before + 100_000 and time.time() < until:
+        release(spark)
+        time.sleep(0.5)
+    assert size() <= before + 100_000
